@@ -9,8 +9,11 @@ from sentsift.functions import text as tx
 
 
 def sentence_table(articles: DataFrame, key: str = "doc_id", text: str = "body_text") -> DataFrame:
-    """``(key, pos, sentence)``: one row per sentence, ``pos`` 0-based in the article."""
-    return articles.select(key, F.posexplode(tx.split_sentences(F.col(text))).alias("pos", "sentence"))
+    """``(key, n_sent, pos, sentence)``: one row per sentence, ``pos`` 0-based in
+    the article, ``n_sent`` the article's sentence count (carried per row so no
+    aggregation is needed to get it)."""
+    return (articles.select(key, tx.split_sentences(F.col(text)).alias("_s"))
+            .select(key, F.size("_s").alias("n_sent"), F.posexplode("_s").alias("pos", "sentence")))
 
 
 def with_tokens(df: DataFrame, col: str = "sentence", out: str = "tokens") -> DataFrame:

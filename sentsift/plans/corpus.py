@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sentsift.operators import retrieve, sentences, vectors
@@ -24,5 +25,7 @@ def word_vectors(spark: SparkSession, sf_dir: str, sent_tok: DataFrame | None =
 
 
 def relevant_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = sentence_tokens(spark, sf_dir)
+    # The sentence-token table feeds the vocabulary ranking and the scoring;
+    # keep it (memory, spilling to disk) instead of splitting the corpus twice.
+    st = sentence_tokens(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     return retrieve.relevant_sentences(st, question_tokens(spark, sf_dir), word_vectors(spark, sf_dir, st))

@@ -14,6 +14,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster when a scan yields fewer partitions than cores.
+
+    Text work (sentence split, tokenising) is row-local and CPU heavy; a table
+    stored as one large row group would otherwise be processed by one task.
+    On a big multi-file table the scan already has enough splits and this is
+    a no-op (no shuffle is added).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows carry long texts, spread for row-local text work."""
+    return spread(table(spark, sf_dir, name))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article metadata + body built from ``documents``.
 
@@ -22,7 +41,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     every 20th article), ``body_text`` = the text, ``journal`` = source, plus
     derived ``authors``, ``publish_time`` and ``pdf_json_files``.
     """
-    d = table(spark, sf_dir, "documents")
+    d = text_table(spark, sf_dir, "documents")
     sid = d.doc_id.cast("string")
     return d.select(
         sid.alias("cord_uid"),
