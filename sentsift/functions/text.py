@@ -145,13 +145,20 @@ def words_for_ngrams(c, stopwords=None) -> Column:
 
 
 def ngrams(words, n: int) -> Column:
-    """Adjacent n-word groups joined by a space; empty when fewer than n words."""
+    """Adjacent n-word groups joined by a space; empty when fewer than n words.
+
+    Built from ``n`` aligned slices combined with ``zip_with`` — linear in the
+    number of words (a per-index ``slice`` inside a lambda would re-evaluate
+    the word array for every position).
+    """
     w = _col(words)
-    return F.when(
-        F.size(w) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)),
-                    lambda i: F.array_join(F.slice(w, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    if n == 1:
+        return w
+    m = F.greatest(F.size(w) - (n - 1), F.lit(0))
+    out = F.slice(w, 1, m)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(w, k + 1, m), lambda a, b: F.concat(a, F.lit(" "), b))
+    return out
 
 
 def symbol_runs(c) -> Column:

@@ -38,3 +38,219 @@ def oracle_sql() -> dict[str, str]:
 def q_relevant_sentences(spark, sf):
     r = corpus.relevant_sentences(spark, sf)
     return r.select("doc_id", "sentence", F.round("score", fv.SCORE_DECIMALS).alias("score"))
+
+
+# ------------------------------------------------------------ sources / prep
+from sentsift.operators import prepare, profile, terms  # noqa: E402
+from sentsift.operators import clean as cleaning  # noqa: E402
+from sentsift.sources import files, tables  # noqa: E402
+
+A = O.with_articles
+
+
+@register("read_articles", A("SELECT * FROM articles"))
+def q_read_articles(spark, sf):
+    return tables.articles(spark, sf)
+
+
+@register("assemble_body", """
+WITH per_section AS (
+  SELECT conv_id, role, min(turn) AS first_turn, string_agg(coalesce(text, ''), '' ORDER BY turn) AS txt
+  FROM conversations GROUP BY conv_id, role)
+SELECT conv_id, string_agg(coalesce(role, '') || chr(10) || chr(10) || txt || chr(10) || chr(10), ''
+                           ORDER BY first_turn) AS body_text
+FROM per_section GROUP BY conv_id""")
+def q_assemble_body(spark, sf):
+    conv = tables.text_table(spark, sf, "conversations")
+    return files.assemble_body(conv, "conv_id", "turn", "role", "text")
+
+
+@register("first_of_list", A("SELECT cord_uid, split_part(pdf_json_files, ';', 1) AS json_path FROM articles"))
+def q_first_of_list(spark, sf):
+    a = tables.articles(spark, sf)
+    return a.select("cord_uid", prepare.first_of_list("pdf_json_files").alias("json_path"))
+
+
+@register("drop_any_null", A("SELECT * FROM articles WHERE " + " AND ".join(
+    f"{c} IS NOT NULL" for c in ["cord_uid", "doc_id", "title", "abstract", "body_text", "journal", "authors",
+                                  "publish_time", "pdf_json_files"])))
+def q_drop_any_null(spark, sf):
+    return prepare.drop_any_null(tables.articles(spark, sf))
+
+
+SAMPLE_N = 120
+SAMPLE_SEED = "7"
+
+
+@register("sample_n", A(f"""SELECT * EXCLUDE (h) FROM (
+  SELECT *, md5(cord_uid || '{SAMPLE_SEED}') AS h FROM articles WHERE pdf_json_files IS NOT NULL)
+  ORDER BY h, cord_uid LIMIT {SAMPLE_N}"""))
+def q_sample_n(spark, sf):
+    a = prepare.drop_null_key(tables.articles(spark, sf), ["pdf_json_files"])
+    return prepare.sample_n(a, SAMPLE_N, "cord_uid", SAMPLE_SEED)
+
+
+CORPUS_N = 12000  # the reference's sample size
+
+
+@register("corpus_build", A(f"""
+, meta AS (SELECT cord_uid, title, abstract, publish_time, authors, journal, pdf_json_files FROM articles
+           WHERE pdf_json_files IS NOT NULL),
+samp AS (SELECT * EXCLUDE (h) FROM (SELECT *, md5(cord_uid || '{SAMPLE_SEED}') AS h FROM meta)
+         ORDER BY h, cord_uid LIMIT {CORPUS_N}),
+nn AS (SELECT cord_uid, title, abstract, publish_time, authors, journal,
+              trim(split_part(pdf_json_files, ';', 1)) AS pdf_json_files FROM samp
+       WHERE cord_uid IS NOT NULL AND title IS NOT NULL AND abstract IS NOT NULL AND publish_time IS NOT NULL
+         AND authors IS NOT NULL AND journal IS NOT NULL),
+per_section AS (
+  SELECT conv_id, role, min(turn) AS first_turn, string_agg(coalesce(text, ''), '' ORDER BY turn) AS txt
+  FROM conversations GROUP BY conv_id, role),
+bodies AS (SELECT 'a/' || CAST(conv_id AS VARCHAR) || '.json' AS json_path,
+                  string_agg(coalesce(role, '') || chr(10) || chr(10) || txt || chr(10) || chr(10), ''
+                             ORDER BY first_turn) AS body_text
+           FROM per_section GROUP BY conv_id)
+SELECT nn.*, b.body_text FROM nn JOIN bodies b ON nn.pdf_json_files = b.json_path""").replace(") ,", "),"))
+def q_corpus_build(spark, sf):
+    """Corpus build of the reference's first notebook over the test tables:
+    metadata = article view without its body, JSON bodies = conversations
+    (``role`` = section, ``turn`` = order) keyed by ``a/<conv_id>.json``."""
+    meta = tables.articles(spark, sf).drop("doc_id", "body_text")
+    conv = tables.text_table(spark, sf, "conversations")
+    bodies = files.assemble_body(conv, "conv_id", "turn", "role", "text").select(
+        F.concat(F.lit("a/"), F.col("conv_id").cast("string"), F.lit(".json")).alias("json_path"), "body_text")
+    return files.build_corpus_from(meta, bodies, CORPUS_N, SAMPLE_SEED)
+
+
+# ------------------------------------------------------------------ profiling
+ART_COLS = ["cord_uid", "doc_id", "title", "abstract", "body_text", "journal", "authors", "publish_time",
+            "pdf_json_files"]
+
+
+def _unpivot_sql(agg: str, value: str) -> str:
+    return A(" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({agg.format(c=c)} AS BIGINT) AS {value} FROM articles" for c in ART_COLS))
+
+
+@register("null_counts", _unpivot_sql("count(*) - count({c})", "null_count"))
+def q_null_counts(spark, sf):
+    return profile.null_counts(tables.articles(spark, sf))
+
+
+@register("nonnull_counts", _unpivot_sql("count({c})", "non_null"))
+def q_nonnull_counts(spark, sf):
+    return profile.nonnull_counts(tables.articles(spark, sf))
+
+
+@register("schema_profile", A(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", '{'bigint' if c == 'doc_id' else 'string'}' AS type, "
+    f"count({c}) AS non_null FROM articles" for i, c in enumerate(ART_COLS))))
+def q_schema_profile(spark, sf):
+    return profile.schema_profile(tables.articles(spark, sf))
+
+
+@register("duplicate_counts", A("""
+, g AS (SELECT title, abstract, body_text, count(*) AS c FROM articles GROUP BY ALL)
+SELECT * FROM (SELECT true AS is_duplicate, CAST(sum(c - 1) AS BIGINT) AS count FROM g
+               UNION ALL SELECT false, count(*) FROM g) WHERE count > 0""").replace(") ,", "),"))
+def q_duplicate_counts(spark, sf):
+    return profile.duplicate_counts(tables.articles(spark, sf), ["title", "abstract", "body_text"])
+
+
+@register("duplicate_flags", A("""SELECT doc_id, row_number() OVER (PARTITION BY title, abstract, body_text
+  ORDER BY doc_id) > 1 AS is_duplicate FROM articles"""))
+def q_duplicate_flags(spark, sf):
+    a = tables.articles(spark, sf)
+    return profile.duplicate_flags(a, ["title", "abstract", "body_text"], "doc_id").select("doc_id", "is_duplicate")
+
+
+@register("distinct_in_order", A("SELECT journal, min(doc_id) AS first_seen FROM articles GROUP BY journal"))
+def q_distinct_in_order(spark, sf):
+    return profile.distinct_in_order(tables.articles(spark, sf), "journal", "doc_id")
+
+
+def _vc_sql(expr: str, top: int = fv.TOP_PUBLICATIONS) -> str:
+    return A(f"""SELECT value, count(*) AS count FROM (SELECT {expr} AS value FROM articles)
+      WHERE value IS NOT NULL GROUP BY value ORDER BY count DESC, value LIMIT {top}""")
+
+
+@register("publications_by_date", _vc_sql("publish_time"))
+def q_pub_date(spark, sf):
+    return profile.publications_by(tables.articles(spark, sf), "publish_time")
+
+
+@register("publications_by_month", _vc_sql("strftime(date_trunc('month', CAST(publish_time AS DATE)), '%Y-%m-%d')"))
+def q_pub_month(spark, sf):
+    return profile.publications_by(tables.articles(spark, sf), "publish_time", granularity="month")
+
+
+@register("publications_by_author", _vc_sql("authors"))
+def q_pub_author(spark, sf):
+    return profile.publications_by(tables.articles(spark, sf), "authors")
+
+
+@register("publications_by_journal", _vc_sql("journal"))
+def q_pub_journal(spark, sf):
+    return profile.publications_by(tables.articles(spark, sf), "journal")
+
+
+@register("date_extremes", A("""
+, c AS (SELECT publish_time, count(*) AS n FROM articles WHERE publish_time IS NOT NULL GROUP BY ALL)
+SELECT max(n) AS max_count,
+       (SELECT publish_time FROM c ORDER BY n DESC, publish_time LIMIT 1) AS max_value,
+       min(n) AS min_count,
+       (SELECT publish_time FROM c ORDER BY n, publish_time LIMIT 1) AS min_value,
+       count(*) AS distinct_values FROM c""").replace(") ,", "),"))
+def q_date_extremes(spark, sf):
+    return profile.date_extremes(tables.articles(spark, sf), "publish_time")
+
+
+@register("preview", A("SELECT * FROM articles ORDER BY doc_id LIMIT 5"))
+def q_preview(spark, sf):
+    return profile.preview(tables.articles(spark, sf), "doc_id", 5)
+
+
+def _wordcloud_sql(col: str) -> str:
+    return A(f"""
+, w AS (SELECT lower(regexp_replace(unnest(regexp_extract_all(t, {O.lit(fv.WORDCLOUD_TOKEN)})), '''s$', '')) AS word
+        FROM (SELECT DISTINCT {col} AS t FROM articles WHERE {col} IS NOT NULL)),
+c AS (SELECT word, count(*) AS count FROM w
+      WHERE NOT list_contains({O.WC_STOPS}, word) AND NOT regexp_matches(word, '^[0-9]+$') AND word <> ''
+      GROUP BY word ORDER BY count DESC, word LIMIT {fv.WORDCLOUD_MAX_WORDS})
+SELECT word, count, count / max(count) OVER () AS weight FROM c""").replace(") ,", "),")
+
+
+for _c in ["abstract", "title", "body_text"]:
+    register(f"wordcloud_{_c}", _wordcloud_sql(_c))(
+        (lambda c: lambda spark, sf: profile.wordcloud_weights(tables.articles(spark, sf), c))(_c))
+
+
+@register("embedding_shape", """SELECT count(*) AS n_vectors, min(len(embedding)) AS min_dim,
+  max(len(embedding)) AS max_dim FROM embeddings""")
+def q_embedding_shape(spark, sf):
+    return profile.embedding_shape(tables.table(spark, sf, "embeddings"), "embedding")
+
+
+# ---------------------------------------------------------------------- terms
+def _ngram_sql(col: str, n: int) -> str:
+    words = O.words_for_ngrams(f"coalesce({col}, '')")
+    grams = O.ngrams("w", n)
+    return A(f"""SELECT term, count(*) AS count FROM (
+      SELECT unnest({grams}) AS term FROM (SELECT {words} AS w FROM articles))
+      GROUP BY term ORDER BY count DESC, term LIMIT {fv.TOP_TERMS}""")
+
+
+_NG = {1: "unigrams", 2: "bigrams", 3: "trigrams"}
+for _col, _short in [("abstract", "abstract"), ("body_text", "body")]:
+    for _n, _nm in _NG.items():
+        register(f"top_{_nm}_{_short}_raw", _ngram_sql(_col, _n))(
+            (lambda c, n: lambda spark, sf: terms.top_ngrams(tables.articles(spark, sf), c, n))(_col, _n))
+
+
+def _symbols_sql(col: str) -> str:
+    return A(f"""SELECT symbol, count(*) AS count FROM (
+      SELECT unnest({O.symbol_runs(f"coalesce({col}, '')")}) AS symbol FROM articles) GROUP BY symbol""")
+
+
+for _col, _short in [("abstract", "abstract"), ("body_text", "body")]:
+    register(f"symbols_{_short}", _symbols_sql(_col))(
+        (lambda c: lambda spark, sf: terms.symbol_inventory(tables.articles(spark, sf), c))(_col))

@@ -94,17 +94,22 @@ def assemble_body_from_json(bodies: DataFrame, key: str = "json_path") -> DataFr
     return assemble_body(parts, key, "pos", "section", "text")
 
 
-def build_corpus(metadata: DataFrame, bodies: DataFrame, n: int, seed: str = "0") -> DataFrame:
-    """Corpus build: drop id columns, keep rows with a JSON path, exact seeded
-    sample of ``n``, drop rows with any NULL, first JSON path, attach body."""
+def build_corpus(metadata: DataFrame, json_bodies: DataFrame, n: int, seed: str = "0") -> DataFrame:
+    """Corpus build from metadata and article JSON (``read_article_json``)."""
+    return build_corpus_from(metadata, assemble_body_from_json(json_bodies), n, seed)
+
+
+def build_corpus_from(metadata: DataFrame, bodies: DataFrame, n: int, seed: str = "0") -> DataFrame:
+    """Drop id columns, keep rows with a JSON path, exact seeded sample of
+    ``n``, drop rows with any NULL, first JSON path, attach the body by an
+    equi-join on the path (``bodies``: ``json_path, body_text``)."""
     from sentsift.operators.prepare import sample_n
 
     m = metadata.drop(*[c for c in DROPPED_METADATA if c in metadata.columns])
     m = m.na.drop(subset=["pdf_json_files"])
     m = sample_n(m, n, "cord_uid", seed).na.drop("any")
     m = m.withColumn("pdf_json_files", F.trim(F.split(F.col("pdf_json_files"), ";")[0]))
-    body = assemble_body_from_json(bodies)
-    return m.join(body, m.pdf_json_files == body.json_path, "inner").drop("json_path")
+    return m.join(bodies, m.pdf_json_files == bodies.json_path, "inner").drop("json_path")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
