@@ -177,3 +177,34 @@ relevant AS (SELECT t.doc_id, st.sentence, max(t.score) AS score
 
 def flagship_sql() -> str:
     return "WITH " + flagship_ctes() + " SELECT doc_id, sentence, score FROM relevant"
+
+
+def rules_values() -> str:
+    return "(VALUES " + ", ".join(f"({i}, {lit(s)}, {lit(r)})" for i, (s, r) in enumerate(fv.NOUN_SUFFIX_RULES)) \
+        + ") AS rules(r, suf, rep)"
+
+
+def preprocess_ctes() -> str:
+    """CTEs after ``articles``: cl (cleaned, no lemma), lem (word -> lemma), pre (preprocessed)."""
+    return f"""
+cl AS (SELECT doc_id, {clean_text_no_lemma('abstract')} AS a, {clean_text_no_lemma('body_text')} AS b FROM articles),
+cw AS (SELECT doc_id, 'a' AS f, generate_subscripts(arr, 1) AS p, unnest(arr) AS word
+       FROM (SELECT doc_id, {split_ws('a')} AS arr FROM cl)
+       UNION ALL
+       SELECT doc_id, 'b' AS f, generate_subscripts(arr, 1) AS p, unnest(arr) AS word
+       FROM (SELECT doc_id, {split_ws('b')} AS arr FROM cl)),
+vocab AS (SELECT DISTINCT word FROM cw),
+cands AS (SELECT v.word, rules.r, left(v.word, length(v.word) - length(rules.suf)) || rules.rep AS cand
+          FROM vocab v, {rules_values()} WHERE suffix(v.word, rules.suf)),
+best AS (SELECT word, arg_min(cand, length(cand) * 1000 + r) AS lemma
+         FROM cands WHERE cand IN (SELECT word FROM vocab) GROUP BY word),
+lem AS (SELECT word, lemma FROM best WHERE length(lemma) < length(word)),
+pre AS (SELECT cl.doc_id,
+          coalesce((SELECT string_agg(coalesce(l.lemma, w.word), ' ' ORDER BY w.p) FROM cw w
+                    LEFT JOIN lem l ON l.word = w.word WHERE w.doc_id = cl.doc_id AND w.f = 'a'), '')
+            AS preprocessed_abstract,
+          coalesce((SELECT string_agg(coalesce(l.lemma, w.word), ' ' ORDER BY w.p) FROM cw w
+                    LEFT JOIN lem l ON l.word = w.word WHERE w.doc_id = cl.doc_id AND w.f = 'b'), '')
+            AS preprocessed_body_text
+        FROM cl)
+"""

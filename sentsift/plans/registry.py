@@ -254,3 +254,75 @@ def _symbols_sql(col: str) -> str:
 for _col, _short in [("abstract", "abstract"), ("body_text", "body")]:
     register(f"symbols_{_short}", _symbols_sql(_col))(
         (lambda c: lambda spark, sf: terms.symbol_inventory(tables.articles(spark, sf), c))(_col))
+
+
+# ------------------------------------------------------------------- cleaning
+from sentsift.functions import text as tx  # noqa: E402
+
+
+@register("clean_text_body", A(f"SELECT doc_id, {O.clean_text_no_lemma('body_text')} AS cleaned FROM articles"))
+def q_clean_text_body(spark, sf):
+    a = tables.articles(spark, sf)
+    return a.select("doc_id", tx.clean_text_no_lemma("body_text").alias("cleaned"))
+
+
+@register("clean_text_pages", f"""SELECT page_id, {O.clean_text_no_lemma("url || ' ' || html")} AS cleaned
+  FROM pages""")
+def q_clean_text_pages(spark, sf):
+    p = tables.text_table(spark, sf, "pages")
+    return p.select("page_id", tx.clean_text_no_lemma(F.concat_ws(" ", "url", "html")).alias("cleaned"))
+
+
+@register("replace_urls_pages", f"""SELECT page_id, {O.replace_urls('url')} AS url_tagged,
+  {O.replace_urls("url || ' ' || html")} AS text_tagged FROM pages""")
+def q_replace_urls_pages(spark, sf):
+    p = tables.text_table(spark, sf, "pages")
+    return p.select("page_id", tx.replace_urls("url").alias("url_tagged"),
+                    tx.replace_urls(F.concat_ws(" ", "url", "html")).alias("text_tagged"))
+
+
+def _preprocessed(spark, sf):
+    return cleaning.preprocess_corpus(tables.articles(spark, sf))
+
+
+PRE = A(", " + O.preprocess_ctes() + " SELECT * FROM pre").replace(") ,", "),")
+
+
+@register("preprocess_corpus", PRE)
+def q_preprocess_corpus(spark, sf):
+    return _preprocessed(spark, sf)
+
+
+@register("lemma_table", A(", " + O.preprocess_ctes() + " SELECT word, lemma FROM lem").replace(") ,", "),"))
+def q_lemma_table(spark, sf):
+    a = tables.articles(spark, sf)
+    c = a.select(tx.clean_text_no_lemma("abstract").alias("a"), tx.clean_text_no_lemma("body_text").alias("b"))
+    words = (c.select(F.explode(tx.split_ws("a")).alias("word"))
+             .unionByName(c.select(F.explode(tx.split_ws("b")).alias("word"))))
+    return cleaning.lemma_table(words, words)
+
+
+def _ngram_clean_sql(col: str, n: int) -> str:
+    words = O.words_for_ngrams(f"coalesce({col}, '')")
+    grams = O.ngrams("w", n)
+    return A(", " + O.preprocess_ctes() + f"""
+      SELECT term, count(*) AS count FROM (
+      SELECT unnest({grams}) AS term FROM (SELECT {words} AS w FROM pre))
+      GROUP BY term ORDER BY count DESC, term LIMIT {fv.TOP_TERMS}""").replace(") ,", "),")
+
+
+for _col, _short in [("preprocessed_abstract", "abstract"), ("preprocessed_body_text", "body")]:
+    for _n, _nm in _NG.items():
+        register(f"top_{_nm}_{_short}_clean", _ngram_clean_sql(_col, _n))(
+            (lambda c, n: lambda spark, sf: terms.top_ngrams(_preprocessed(spark, sf), c, n))(_col, _n))
+
+
+@register("before_after", A(", " + O.preprocess_ctes() + f"""
+  SELECT a.doc_id, length(a.body_text) AS raw_chars, length(p.preprocessed_body_text) AS clean_chars,
+         len({O.split_ws("coalesce(a.body_text, '')")}) AS raw_words,
+         len({O.split_ws("coalesce(p.preprocessed_body_text, '')")}) AS clean_words
+  FROM articles a JOIN pre p USING (doc_id)""").replace(") ,", "),"))
+def q_before_after(spark, sf):
+    a = tables.articles(spark, sf).select("doc_id", "body_text")
+    p = _preprocessed(spark, sf).select("doc_id", "preprocessed_body_text")
+    return profile.before_after(a.join(p, "doc_id"), "doc_id", "body_text", "preprocessed_body_text")
