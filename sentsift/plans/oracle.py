@@ -208,3 +208,29 @@ pre AS (SELECT cl.doc_id,
             AS preprocessed_body_text
         FROM cl)
 """
+
+
+def qvec_ctes() -> str:
+    """After flagship CTEs: jq (joined question), qvec (mean word vector, list)."""
+    d = "ZZ"
+    return f"""
+jq AS (SELECT string_agg(text, ' ' ORDER BY item_id) AS joined FROM benchmark),
+jqt AS (SELECT unnest({sentence_tokens('joined')}) AS token FROM jq),
+jqd AS (SELECT unnest(vec) AS x, generate_subscripts(vec, 1) AS {d} FROM jqt JOIN wv USING (token)),
+qvec AS (SELECT list(v ORDER BY {d}) AS vec FROM (SELECT {d}, avg(x) AS v FROM jqd GROUP BY {d}))
+"""
+
+
+def cos_sql(a: str, b: str) -> str:
+    return (f"round(list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * "
+            f"sqrt(list_dot_product({b}, {b}))), {fv.SCORE_DECIMALS})")
+
+
+def mean_vec_ctes(name: str, src: str, key: str) -> str:
+    """``name``(key, vec): mean word vector of the token rows in ``src``(key, token)."""
+    d = "ZZ"
+    return f"""
+{name}_d AS (SELECT {key}, unnest(vec) AS x, generate_subscripts(vec, 1) AS {d} FROM {src} JOIN wv USING (token)),
+{name} AS (SELECT {key}, list(v ORDER BY {d}) AS vec FROM
+           (SELECT {key}, {d}, avg(x) AS v FROM {name}_d GROUP BY {key}, {d}) GROUP BY {key})
+"""

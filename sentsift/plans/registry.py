@@ -326,3 +326,207 @@ def q_before_after(spark, sf):
     a = tables.articles(spark, sf).select("doc_id", "body_text")
     p = _preprocessed(spark, sf).select("doc_id", "preprocessed_body_text")
     return profile.before_after(a.join(p, "doc_id"), "doc_id", "body_text", "preprocessed_body_text")
+
+
+# ------------------------------------------------- sentences, weights, vectors
+from sentsift.operators import rank as ranking  # noqa: E402
+from sentsift.operators import retrieve, sentences, vectors  # noqa: E402
+
+
+def F_sql(select: str) -> str:
+    """Flagship CTEs (over the article table) then a final select."""
+    return A(", " + O.flagship_ctes() + select).replace(") ,", "),")
+
+
+@register("split_sentences", F_sql("SELECT doc_id, pos, sentence FROM sent"))
+def q_split_sentences(spark, sf):
+    return sentences.sentence_table(tables.articles(spark, sf)).select("doc_id", "pos", "sentence")
+
+
+@register("tokenize_sentence", F_sql("SELECT doc_id, pos, array_to_string(tokens, ' ') AS tokens FROM senttok"))
+def q_tokenize_sentence(spark, sf):
+    return corpus.sentence_tokens(spark, sf).select("doc_id", "pos", F.array_join("tokens", " ").alias("tokens"))
+
+
+@register("question_frame", f"SELECT item_id AS q_id, array_to_string({O.sentence_tokens('text')}, ' ') AS tokens "
+                            "FROM benchmark")
+def q_question_frame(spark, sf):
+    return corpus.question_tokens(spark, sf).select("q_id", F.array_join("tokens", " ").alias("tokens"))
+
+
+@register("join_questions", "SELECT string_agg(text, ' ' ORDER BY item_id) AS joined_question FROM benchmark")
+def q_join_questions(spark, sf):
+    return sentences.join_questions(tables.questions(spark, sf))
+
+
+@register("word_vectors", F_sql("SELECT token, CAST(r AS INTEGER) AS idx FROM ranked WHERE r < (SELECT count(*) "
+                                "FROM embeddings)"))
+def q_word_vectors(spark, sf):
+    return corpus.word_vectors(spark, sf).select("token", "idx")
+
+
+@register("document_frequency", F_sql("""
+, alltok AS (SELECT DISTINCT doc_id, pos, token FROM tokall),
+qall AS (SELECT token, count(DISTINCT q_id) AS qdf FROM (SELECT q_id, unnest(tokens) AS token FROM q) GROUP BY token),
+d AS (SELECT doc_id, token, count(*) AS sdf FROM alltok GROUP BY ALL)
+SELECT d.doc_id, d.token, d.sdf + coalesce(qa.qdf, 0) AS df,
+       round(ln(n.n / (d.sdf + coalesce(qa.qdf, 0) + 1)), 6) AS idf
+FROM d LEFT JOIN qall qa USING (token) JOIN nsent n USING (doc_id)"""))
+def q_document_frequency(spark, sf):
+    st = corpus.sentence_tokens(spark, sf)
+    qt = corpus.question_tokens(spark, sf)
+    nq = F.lit(qt.count())
+    sdf = vectors.document_frequency(
+        st.select("doc_id", "pos", "n_sent", F.explode(F.array_distinct("tokens")).alias("token")),
+        ["doc_id", "n_sent"])
+    qdf = (qt.select("q_id", F.explode(F.array_distinct("tokens")).alias("token"))
+           .groupBy("token").agg(F.count(F.lit(1)).alias("qdf")))
+    df = sdf.join(qdf, "token", "left").select("doc_id", "token", (F.col("df") + F.coalesce("qdf", F.lit(0))).alias("df"),
+                                               (F.col("n_sent") + nq).alias("n"))
+    return df.select("doc_id", "token", "df", F.round(vectors.inverse_doc_frequency("n", "df"), 6).alias("idf"))
+
+
+@register("sentence_vectors", F_sql(f"""
+SELECT doc_id, pos, round(wsum, 6) AS weight_sum,
+       CASE WHEN abs(wsum) > {1e-12} THEN round(sqrt(list_dot_product(vec, vec)) / abs(wsum), 6) END AS vec_norm
+FROM sv"""))
+def q_sentence_vectors(spark, sf):
+    """Set-based weighted sentence vectors (the standalone operator chain)."""
+    st = corpus.sentence_tokens(spark, sf)
+    qt = corpus.question_tokens(spark, sf)
+    wv = corpus.word_vectors(spark, sf, st)
+    nq = qt.count()
+    tok = (st.select("doc_id", "pos", "n_sent", F.explode("tokens").alias("token"))
+           .join(wv.select("token"), "token", "left_semi")
+           .groupBy("doc_id", "pos", "token").agg(F.count(F.lit(1)).alias("cnt"), F.first("n_sent").alias("n_sent")))
+    sdf = vectors.document_frequency(tok, ["doc_id"]).withColumnRenamed("df", "sdf")
+    qdf = (qt.select("q_id", F.explode("tokens").alias("token")).join(wv.select("token"), "token", "left_semi")
+           .groupBy("token").agg(F.countDistinct("q_id").alias("qdf")))
+    w = (vectors.term_frequency(tok, ["doc_id", "pos"])
+         .join(sdf, ["doc_id", "token"]).join(qdf, "token", "left")
+         .withColumn("w", F.col("tf") * vectors.inverse_doc_frequency(F.col("n_sent") + nq,
+                                                                      F.col("sdf") + F.coalesce("qdf", F.lit(0))))
+         .join(wv.select("token", "vec"), "token"))
+    v = vectors.weighted_sentence_vector(w, ["doc_id", "pos"])
+    return v.select("doc_id", "pos", F.round("weight_sum", 6).alias("weight_sum"),
+                    F.round(vectors.norm("vec"), 6).alias("vec_norm"))
+
+
+@register("relevant_sentences_per_article", F_sql("""
+, agg AS (SELECT doc_id, string_agg(sentence, chr(10) ORDER BY -score, sentence) AS rs, count(*) AS n
+          FROM relevant GROUP BY doc_id)
+SELECT d.doc_id, coalesce(agg.rs, '') AS relevant_sentences, coalesce(agg.n, 0) AS n_relevant
+FROM documents d LEFT JOIN agg USING (doc_id)"""))
+def q_relevant_per_article(spark, sf):
+    return retrieve.relevant_sentences_per_article(tables.articles(spark, sf), corpus.relevant_sentences(spark, sf))
+
+
+@register("top_sentences_global", F_sql(f"""SELECT doc_id, sentence, score FROM relevant
+  ORDER BY score DESC, doc_id, sentence LIMIT {fv.TOP_DOCUMENTS}"""))
+def q_top_sentences_global(spark, sf):
+    return retrieve.top_sentences_global(corpus.relevant_sentences(spark, sf))
+
+
+# ------------------------------------------------------------ document ranking
+def _qvec(spark, sf, st=None):
+    st = corpus.sentence_tokens(spark, sf) if st is None else st
+    wv = corpus.word_vectors(spark, sf, st)
+    jq = sentences.join_questions(tables.questions(spark, sf))
+    qt = jq.select(tx.sentence_tokens("joined_question").alias("tokens"))
+    return wv, ranking.question_vector(qt, wv)
+
+
+QV = F_sql(", " + O.qvec_ctes() + " SELECT 1").replace(" SELECT 1", "")
+
+
+@register("rank_documents", QV + f""", e AS (SELECT vec_id AS doc_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+  FROM embeddings) SELECT doc_id, {O.cos_sql('e.v', 'qvec.vec')} AS score FROM e, qvec""")
+def q_rank_documents(spark, sf):
+    _, qv = _qvec(spark, sf)
+    e = tables.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    return ranking.rank_documents(e, qv)
+
+
+@register("top10_articles", QV + f""", e AS (SELECT vec_id AS doc_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+  FROM embeddings), s AS (SELECT doc_id, {O.cos_sql('e.v', 'qvec.vec')} AS score FROM e, qvec
+  ORDER BY score DESC, doc_id LIMIT {fv.TOP_DOCUMENTS}),
+  r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s)
+  SELECT r.rank, r.doc_id, r.score, a.title, a.abstract FROM r JOIN articles a USING (doc_id)""")
+def q_top10_articles(spark, sf):
+    _, qv = _qvec(spark, sf)
+    e = tables.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    top = ranking.top_documents(ranking.rank_documents(e, qv))
+    a = tables.articles(spark, sf).select("doc_id", "title", "abstract")
+    return top.join(a, "doc_id").select("rank", "doc_id", "score", "title", "abstract")
+
+
+def _field_vectors_sql(field: str, name: str) -> str:
+    return (f", {name}_t AS (SELECT doc_id, unnest({O.split_ws(field)}) AS token FROM pre), "
+            + O.mean_vec_ctes(name, f"{name}_t", "doc_id"))
+
+
+def _nearest_sql(field: str) -> str:
+    return (F_sql(", " + O.qvec_ctes() + ", " + O.preprocess_ctes() + _field_vectors_sql(field, "dv") + f"""
+      , s AS (SELECT doc_id, {O.cos_sql('dv.vec', 'qvec.vec')} AS score FROM dv, qvec
+              ORDER BY score DESC, doc_id LIMIT {fv.TOP_DOCUMENTS})
+      SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s""")).replace(") ,", "),")
+
+
+def _nearest(spark, sf, field: str):
+    st = corpus.sentence_tokens(spark, sf)
+    wv, qv = _qvec(spark, sf, st)
+    pre = _preprocessed(spark, sf).select("doc_id", tx.split_ws(field).alias("tokens"))
+    dv = ranking.mean_vector(pre, wv, ["doc_id"])
+    return ranking.top_documents(ranking.rank_documents(dv, qv))
+
+
+@register("nearest_documents", _nearest_sql("preprocessed_body_text"))
+def q_nearest_documents(spark, sf):
+    return _nearest(spark, sf, "preprocessed_body_text")
+
+
+@register("nearest_documents_abstract", _nearest_sql("preprocessed_abstract"))
+def q_nearest_documents_abstract(spark, sf):
+    return _nearest(spark, sf, "preprocessed_abstract")
+
+
+@register("compare_fields", (F_sql(", " + O.qvec_ctes() + ", " + O.preprocess_ctes()
+                                   + _field_vectors_sql("preprocessed_abstract", "av")
+                                   + _field_vectors_sql("preprocessed_body_text", "bv") + f"""
+  , sa AS (SELECT doc_id, {O.cos_sql('av.vec', 'qvec.vec')} AS score FROM av, qvec ORDER BY score DESC, doc_id
+           LIMIT {fv.TOP_DOCUMENTS}),
+  sb AS (SELECT doc_id, {O.cos_sql('bv.vec', 'qvec.vec')} AS score FROM bv, qvec ORDER BY score DESC, doc_id
+         LIMIT {fv.TOP_DOCUMENTS}),
+  ov AS (SELECT count(*) AS overlap FROM sa JOIN sb USING (doc_id))
+  SELECT 'abstract' AS field, round(avg(score), 6) AS mean_score, min(score) AS min_score, max(score) AS max_score,
+         (SELECT overlap FROM ov) AS overlap FROM sa
+  UNION ALL
+  SELECT 'body_text', round(avg(score), 6), min(score), max(score), (SELECT overlap FROM ov) FROM sb"""))
+  .replace(") ,", "),"))
+def q_compare_fields(spark, sf):
+    a = _nearest(spark, sf, "preprocessed_abstract")
+    b = _nearest(spark, sf, "preprocessed_body_text")
+    from pyspark.sql import Window as W
+    u = (a.select(F.lit("abstract").alias("field"), "doc_id", "score")
+         .unionByName(b.select(F.lit("body_text").alias("field"), "doc_id", "score")))
+    u = u.withColumn("_both", (F.count(F.lit(1)).over(W.partitionBy("doc_id")) == 2).cast("long"))
+    return u.groupBy("field").agg(F.round(F.avg("score"), 6).alias("mean_score"), F.min("score").alias("min_score"),
+                                  F.max("score").alias("max_score"), F.sum("_both").alias("overlap"))
+
+
+@register("similar_articles", _nearest_sql("preprocessed_body_text").replace(
+    "SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s", """
+    , r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s),
+    rel AS (SELECT doc_id, count(*) AS n_relevant, string_agg(sentence, chr(10) ORDER BY -score, sentence) AS rs
+            FROM relevant GROUP BY doc_id)
+    SELECT r.rank, r.doc_id, r.score, a.abstract, coalesce(rel.rs, '') AS relevant_sentences,
+           coalesce(rel.n_relevant, 0) AS n_relevant
+    FROM r JOIN articles a USING (doc_id) LEFT JOIN rel USING (doc_id)"""))
+def q_similar_articles(spark, sf):
+    top = _nearest(spark, sf, "preprocessed_body_text")
+    a = tables.articles(spark, sf).select("doc_id", "abstract")
+    rel = retrieve.relevant_sentences_per_article(top.select("doc_id"), corpus.relevant_sentences(spark, sf))
+    return top.join(a, "doc_id").join(rel, "doc_id").select(
+        "rank", "doc_id", "score", "abstract", "relevant_sentences", "n_relevant")
