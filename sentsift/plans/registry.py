@@ -530,3 +530,83 @@ def q_similar_articles(spark, sf):
     rel = retrieve.relevant_sentences_per_article(top.select("doc_id"), corpus.relevant_sentences(spark, sf))
     return top.join(a, "doc_id").join(rel, "doc_id").select(
         "rank", "doc_id", "score", "abstract", "relevant_sentences", "n_relevant")
+
+
+# ------------------------------------- trained models, encoder, approximate, stream
+# No oracle: trained or approximate results; the driver checks rows only.
+from sentsift.operators import models  # noqa: E402
+
+
+@register("sentence_embedding_model")
+def q_sentence_embedding_model(spark, sf):
+    """Corpus-wide 100-d model; output = its vocabulary with vector norms."""
+    m = models.sentence_embedding_model(corpus.sentence_tokens(spark, sf))
+    return models.model_vectors(m).select("token", F.round(vectors.norm("vec"), 6).alias("norm"))
+
+
+@register("mean_vector_similarity")
+def q_mean_vector_similarity(spark, sf):
+    """Relevant sentences scored by cosine of plain mean vectors of a trained model."""
+    st = corpus.sentence_tokens(spark, sf)
+    m = models.sentence_embedding_model(st)
+    return retrieve.relevant_sentences(st, corpus.question_tokens(spark, sf), models.model_vectors(m),
+                                       weighting="mean")
+
+
+@register("document_embedding_model")
+def q_document_embedding_model(spark, sf):
+    """250-d document model on cleaned bodies; the 10 documents nearest the joined question."""
+    pre = _preprocessed(spark, sf).select("doc_id", tx.split_ws("preprocessed_body_text").alias("tokens"))
+    m = models.document_embedding_model(pre)
+    dv = models.transform_documents(m, pre, "doc_id")
+    jq = sentences.join_questions(tables.questions(spark, sf)).select(
+        F.lit(-1).cast("long").alias("doc_id"), tx.split_ws(F.lower("joined_question")).alias("tokens"))
+    qv = models.transform_documents(m, jq, "doc_id").first()["vec"]
+    return ranking.top_documents(ranking.rank_documents(dv, qv))
+
+
+@register("embed_documents")
+def q_embed_documents(spark, sf):
+    """Encoder vectors of every cleaned body: ``(doc_id, dim, norm)``."""
+    pre = _preprocessed(spark, sf)
+    e = models.embed_documents(pre, "doc_id", "preprocessed_body_text")
+    return e.select("doc_id", F.size("vec").alias("dim"), F.round(vectors.norm("vec"), 4).alias("norm"))
+
+
+@register("rank_documents_encoder")
+def q_rank_documents_encoder(spark, sf):
+    """Encoder path end to end: encode bodies and the joined question, top 10 by cosine."""
+    pre = _preprocessed(spark, sf)
+    e = models.embed_documents(pre, "doc_id", "preprocessed_body_text").select(
+        "doc_id", F.transform("vec", lambda x: x.cast("double")).alias("vec"))
+    jq = sentences.join_questions(tables.questions(spark, sf)).select(
+        F.lit(-1).cast("long").alias("doc_id"), F.lower("joined_question").alias("t"))
+    qv = [float(x) for x in models.embed_documents(jq, "doc_id", "t").first()["vec"]]
+    return ranking.top_documents(ranking.rank_documents(e, qv))
+
+
+ALL_PAIRS_THRESHOLD = 0.4
+
+
+@register("all_pairs_similarity")
+def q_all_pairs_similarity(spark, sf):
+    """Document pairs of ``embeddings`` with cosine >= 0.4 via LSH (approximate)."""
+    e = tables.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    return ranking.similarity_join_lsh(e, ALL_PAIRS_THRESHOLD)
+
+
+@register("answer_stream", O.flagship_sql())
+def q_answer_stream(spark, sf):
+    """Question stream over the ``benchmark`` file, answered per micro-batch."""
+    import uuid
+
+    from sentsift.session import ensure_checkpoint_dir
+    from sentsift.streaming.answer_stream import answer_stream
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/answer_stream-{uuid.uuid4().hex}"
+    st = corpus.sentence_tokens(spark, sf)
+    wv = spark.createDataFrame(corpus.word_vectors(spark, sf, st).select("token", "vec").toPandas())
+    q = answer_stream(spark, sf, st, wv, base + "/out", base + "/ckpt", file_filter="benchmark.parquet")
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out").select("doc_id", "sentence",
+                                                    F.round("score", fv.SCORE_DECIMALS).alias("score"))
