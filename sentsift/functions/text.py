@@ -69,7 +69,7 @@ def remove_stopwords(c, stopwords=None) -> Column:
     return F.array_join(F.filter(split_ws(c), lambda w: ~F.array_contains(stops, w)), " ")
 
 
-def clean_text_no_lemma(c, contractions_first: bool = False) -> Column:
+def clean_text_no_lemma(c, contractions_first: bool = False, stopwords=None) -> Column:
     """Math/URL tags, symbols, contractions, stop words, lower case — in that order.
 
     With the default order every contraction has already lost its apostrophe
@@ -81,7 +81,7 @@ def clean_text_no_lemma(c, contractions_first: bool = False) -> Column:
         c = clear_punct(expand_contractions(c))
     else:
         c = expand_contractions(clear_punct(c))
-    return F.lower(remove_stopwords(c))
+    return F.lower(remove_stopwords(c, stopwords))
 
 
 # -------------------------------------------------------------------- sentences
