@@ -52,15 +52,21 @@ def split_ws(c) -> Column:
 
 
 def expand_contractions(c, mapping: dict[str, str] | None = None) -> Column:
-    """Map quote variants to ``'`` then replace exact tokens split on one space."""
+    """Map quote variants to ``'`` then replace exact tokens split on one space.
+
+    Every key holds an apostrophe, so a text without one (after the quote
+    mapping) is returned as is without splitting it — same result, no work.
+    """
     mapping = fv.contraction_map() if mapping is None else mapping
     c = _col(c)
     for q in fv.QUOTE_VARIANTS:
         c = F.replace(c, F.lit(q), F.lit("'"))
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.array_join(
-        F.transform(F.split(c, " "), lambda t: F.coalesce(F.try_element_at(m, t), t)), " "
-    )
+    expanded = F.array_join(
+        F.transform(F.split(c, " "), lambda t: F.coalesce(F.try_element_at(m, t), t)), " ")
+    if all("'" in k for k in mapping):
+        return F.when(c.contains("'"), expanded).otherwise(c)
+    return expanded
 
 
 def remove_stopwords(c, stopwords=None) -> Column:
@@ -104,8 +110,13 @@ def split_sentences(c) -> Column:
     marked = F.regexp_replace(F.coalesce(_col(c), F.lit("")),
                               "([.!?])" + fv.WS_CLASS + "+", "$1" + fv.SENTENCE_MARK)
     pieces = F.split(strip_citations(marked), r"\*\*\*")
-    ws = fv.WS_CLASS
-    return F.transform(pieces, lambda s: F.regexp_replace(s, f"^{ws}+|{ws}+$", ""))
+    chars = F.lit(WS_CHARS)
+    return F.transform(pieces, lambda s: F.btrim(s, chars))
+
+
+# The characters of ``fixed_values.WS_CLASS`` as a plain set (for btrim).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def normalize_sentence(c) -> Column:
@@ -134,7 +145,13 @@ def tokenize_sentence(c, stopwords=None) -> Column:
 
 
 def sentence_tokens(c) -> Column:
-    return tokenize_sentence(normalize_sentence(c))
+    """Tokens of a raw sentence. After normalisation a token holds only
+    ``.a-z`` and must be longer than 2 characters, so stop words outside that
+    shape can never match and are left out of the comparison list."""
+    import re
+    stops = [w for w in fv.NLTK_STOPWORDS
+             if len(w) > fv.MIN_TOKEN_LEN_EXCLUSIVE and re.fullmatch(r"[.a-z]+", w)]
+    return tokenize_sentence(normalize_sentence(c), stops)
 
 
 # ------------------------------------------------------------------------ terms

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ def lemma_table(words: DataFrame, vocabulary: DataFrame | None = None) -> DataFr
     to a singular that also occurs in the corpus.
     """
     distinct = words.select("word").distinct()
-    vocab = (distinct if vocabulary is None else vocabulary.select("word").distinct()).select(
+    same_vocab = vocabulary is None or vocabulary is words
+    vocab = (distinct if same_vocab else vocabulary.select("word").distinct()).select(
         F.col("word").alias("cand"))
     rules = F.array(*[F.struct(F.lit(i).alias("r"), F.lit(suf).alias("suf"), F.lit(rep).alias("rep"))
                       for i, (suf, rep) in enumerate(fv.NOUN_SUFFIX_RULES)])
@@ -31,39 +34,82 @@ def lemma_table(words: DataFrame, vocabulary: DataFrame | None = None) -> DataFr
     hits = cands.join(vocab, "cand", "left_semi")
     best = hits.groupBy("word").agg(F.min_by("cand", F.struct(F.length("cand"), F.col("r"))).alias("lemma"))
     # The word itself is a candidate when it is in the vocabulary and wins ties.
-    self_ok = distinct.join(vocab.select(F.col("cand").alias("word")), "word", "left_semi") \
-        .select("word", F.lit(1).alias("_self"))
-    out = best.join(self_ok, "word", "left")
+    if same_vocab:
+        out = best.withColumn("_self", F.lit(1))
+    else:
+        self_ok = distinct.join(vocab.select(F.col("cand").alias("word")), "word", "left_semi") \
+            .select("word", F.lit(1).alias("_self"))
+        out = best.join(self_ok, "word", "left")
     keep = F.when(F.col("_self").isNotNull() & (F.length("word") <= F.length("lemma")), F.col("word")) \
         .otherwise(F.col("lemma"))
     return out.select("word", keep.alias("lemma")).where(F.col("lemma") != F.col("word"))
 
 
-def lemmatize(df: DataFrame, key: str, col: str, out: str, vocabulary: DataFrame | None = None) -> DataFrame:
+def lemmatize(df: DataFrame, key: str, col: str, out: str, vocabulary: DataFrame | None = None,
+              lemmas: DataFrame | None = None) -> DataFrame:
     """Replace each whitespace word of ``col`` by its lemma, order kept.
 
     Words are exploded with their position, joined to the lemma table
     (broadcast when small, else a shuffle join) and re-assembled per row.
     """
     words = df.select(key, F.posexplode(tx.split_ws(F.coalesce(F.col(col), F.lit("")))).alias("p", "word"))
-    lemmas = lemma_table(words, vocabulary)
+    lemmas = lemma_table(words, vocabulary) if lemmas is None else lemmas
     mapped = words.join(lemmas, "word", "left").select(key, "p", F.coalesce("lemma", "word").alias("w"))
     joined = mapped.groupBy(key).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("p", "w"))), lambda x: x["w"]), " ").alias(out))
     return df.join(joined, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
 
 
+# Largest lemma table applied through a broadcast dictionary; beyond it the
+# words are exploded, joined to the table and re-assembled in order.
+MAX_BROADCAST_LEMMAS = 2_000_000
+
+
+def apply_lemmas(df: DataFrame, key: str, cols: dict[str, str], lemmas: DataFrame) -> DataFrame:
+    """Replace the words of each ``cols`` column (input -> output name) by their lemma.
+
+    A lemma table within ``MAX_BROADCAST_LEMMAS`` rows is broadcast and applied
+    by a pandas UDF (split on whitespace, dictionary lookup, join) — no shuffle
+    of the words. A larger table goes through ``lemmatize`` (explode, join,
+    ordered re-assembly).
+    """
+    rows = lemmas.limit(MAX_BROADCAST_LEMMAS + 1).collect()   # one pass, bounded
+    if len(rows) > MAX_BROADCAST_LEMMAS:
+        out = df
+        for src, dst in cols.items():
+            out = lemmatize(out, key, src, dst, vocabulary=None, lemmas=lemmas)
+        return out.drop(*cols.keys())
+    from pyspark.sql.functions import pandas_udf
+
+    from sentsift.session import ship_package
+    ship_package(df.sparkSession)
+    table = {r["word"]: r["lemma"] for r in rows}
+    bc = df.sparkSession.sparkContext.broadcast(table)
+
+    @pandas_udf("string")
+    def lemmatize_udf(texts: pd.Series) -> pd.Series:
+        m = bc.value
+        return texts.map(lambda t: " ".join(m.get(w, w) for w in t.split()) if t is not None else "")
+
+    return df.select(key, *[lemmatize_udf(F.col(src)).alias(dst) for src, dst in cols.items()],
+                     *[c for c in df.columns if c != key and c not in cols])
+
+
 def preprocess_corpus(articles: DataFrame, key: str = "doc_id", lemma: bool = True,
                       contractions_first: bool = False) -> DataFrame:
-    """Adds ``preprocessed_abstract`` and ``preprocessed_body_text``."""
+    """Adds ``preprocessed_abstract`` and ``preprocessed_body_text``.
+
+    The cleaned texts are computed once and kept (memory, spilling to disk):
+    they feed both the vocabulary of the lemma table and its application.
+    """
     df = articles.select(
         key,
         tx.clean_text_no_lemma("abstract", contractions_first).alias("_a"),
         tx.clean_text_no_lemma("body_text", contractions_first).alias("_b"))
     if not lemma:
         return df.select(key, F.col("_a").alias("preprocessed_abstract"), F.col("_b").alias("preprocessed_body_text"))
-    vocab = (df.select(F.explode(tx.split_ws("_a")).alias("word"))
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    words = (df.select(F.explode(tx.split_ws("_a")).alias("word"))
              .unionByName(df.select(F.explode(tx.split_ws("_b")).alias("word"))))
-    a = lemmatize(df.select(key, "_a"), key, "_a", "preprocessed_abstract", vocab)
-    b = lemmatize(df.select(key, "_b"), key, "_b", "preprocessed_body_text", vocab)
-    return a.select(key, "preprocessed_abstract").join(b.select(key, "preprocessed_body_text"), key)
+    lemmas = lemma_table(words, words)
+    return apply_lemmas(df, key, {"_a": "preprocessed_abstract", "_b": "preprocessed_body_text"}, lemmas)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sentsift.operators import retrieve, sentences, vectors
 from sentsift.sources import tables
@@ -18,10 +19,33 @@ def question_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.question_frame(tables.questions(spark, sf_dir))
 
 
+# Vocabularies up to this many vector cells are materialised once on the
+# driver (they are then shipped to tasks anyway); larger ones stay lazy.
+MAX_MATERIALISED_VECTOR_CELLS = 8_000_000
+# One small vocabulary per (application, input folder), like loading a
+# pretrained vector file once per session.
+_VOCAB_MEMO: dict = {}
+
+
 def word_vectors(spark: SparkSession, sf_dir: str, sent_tok: DataFrame | None = None) -> DataFrame:
-    """Word vectors for the test tables (see ``vectors.vocabulary_ranked_vectors``)."""
+    """Word vectors for the test tables (see ``vectors.vocabulary_ranked_vectors``).
+
+    The vocabulary has at most one row per ``embeddings`` row; when that is
+    small it is computed once and kept as a local table, so the size checks
+    and broadcasts downstream do not re-run the corpus ranking.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _VOCAB_MEMO:
+        return _VOCAB_MEMO[key]
     sent_tok = sentence_tokens(spark, sf_dir) if sent_tok is None else sent_tok
-    return vectors.vocabulary_ranked_vectors(sent_tok, tables.table(spark, sf_dir, "embeddings"))
+    emb = tables.table(spark, sf_dir, "embeddings")
+    wv = vectors.vocabulary_ranked_vectors(sent_tok, emb)
+    first = emb.select(F.size("embedding").alias("d")).first()
+    if first is None or emb.count() * first["d"] > MAX_MATERIALISED_VECTOR_CELLS:
+        return wv
+    local = spark.createDataFrame(wv.toPandas(), "token string, idx int, vec array<double>")
+    _VOCAB_MEMO[key] = local
+    return local
 
 
 def relevant_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

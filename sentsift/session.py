@@ -50,3 +50,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sentsift`` importable in executor Python workers (like ``--py-files``).
+
+    Operators whose tasks run Python call this once per SparkContext; the
+    package is zipped on the driver and distributed by Spark.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="sentsift-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "sentsift"), "zip", os.path.dirname(pkg), "sentsift")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
