@@ -610,3 +610,36 @@ def q_answer_stream(spark, sf):
     q.awaitTermination()
     return spark.read.parquet(base + "/out").select("doc_id", "sentence",
                                                     F.round("score", fv.SCORE_DECIMALS).alias("score"))
+
+
+# ------------------------------------------------------------- more §2.F items
+GENERIC_QUESTION = "What is covid-19?"
+
+
+@register("sentence_ids", F_sql("""
+, allrows AS (SELECT 0 AS part, doc_id AS a, pos AS b, sentence AS text FROM sent
+              UNION ALL SELECT 1, item_id, 0, text FROM benchmark),
+last AS (SELECT text, part AS id_part, a AS id_a, b AS id_b FROM (
+           SELECT *, row_number() OVER (PARTITION BY text ORDER BY part DESC, a DESC, b DESC) AS rn FROM allrows)
+         WHERE rn = 1)
+SELECT r.part, r.a, r.b, r.text, l.id_part, l.id_a, l.id_b FROM allrows r JOIN last l USING (text)"""))
+def q_sentence_ids(spark, sf):
+    st = sentences.sentence_table(tables.articles(spark, sf))
+    out = sentences.sentence_ids(st, tables.questions(spark, sf))
+    return out.select(F.col("part").cast("int").alias("part"), F.col("a").cast("long").alias("a"),
+                      F.col("b").cast("int").alias("b"), "text", F.col("id_part").cast("int").alias("id_part"),
+                      F.col("id_a").cast("long").alias("id_a"), F.col("id_b").cast("int").alias("id_b"))
+
+
+@register("question_prefix", f"""SELECT 2 * item_id AS q_id, {O.lit(GENERIC_QUESTION)} AS question FROM benchmark
+  UNION ALL SELECT 2 * item_id + 1, text FROM benchmark""")
+def q_question_prefix(spark, sf):
+    return sentences.question_prefix(tables.questions(spark, sf), GENERIC_QUESTION)
+
+
+@register("document_tokens", A(f"""SELECT doc_id, len({O.split_ws("lower(coalesce(body_text, ''))")}) AS n_tokens,
+  array_to_string({O.split_ws("lower(coalesce(body_text, ''))")}[1:5], ' ') AS first_tokens FROM articles"""))
+def q_document_tokens(spark, sf):
+    d = sentences.document_tokens(tables.articles(spark, sf), "doc_id", "body_text")
+    return d.select("doc_id", F.size("tokens").alias("n_tokens"),
+                    F.array_join(F.slice("tokens", 1, 5), " ").alias("first_tokens"))
