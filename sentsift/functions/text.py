@@ -83,11 +83,15 @@ def clean_text_no_lemma(c, contractions_first: bool = False, stopwords=None) ->
     ``contractions_first=True`` runs the expansion before symbol removal.
     """
     c = replace_urls(replace_math(F.coalesce(_col(c), F.lit(""))))
+    stops = fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords
     if contractions_first:
         c = clear_punct(expand_contractions(c))
     else:
         c = expand_contractions(clear_punct(c))
-    return F.lower(remove_stopwords(c, stopwords))
+    # After symbol removal no word holds an apostrophe (it is in the symbol
+    # class), so such stop words can never match and are not compared.
+    stops = [w for w in stops if "'" not in w]
+    return F.lower(remove_stopwords(c, stops))
 
 
 # -------------------------------------------------------------------- sentences
