@@ -58,12 +58,19 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``sentsift`` importable in executor Python workers (like ``--py-files``).
 
-    Operators whose tasks run Python call this once per SparkContext; the
-    package is zipped on the driver and distributed by Spark.
+    Operators whose tasks run Python call this once per SparkContext. In local
+    mode the package is zipped on the driver and distributed by Spark; on a
+    cluster it is expected from ``--py-files`` or the executor environment.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
+    shipped = spark.conf.get("spark.submit.pyFiles", "") or ""
+    if "sentsift" in shipped or not sc.master.startswith("local"):
+        # On a cluster the launcher ships the package (spark-submit --py-files
+        # sentsift.zip) or it is installed on the executors.
+        _SHIPPED.add(sc.applicationId)
+        return
     import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = tempfile.mkdtemp(prefix="sentsift-pkg-")
