@@ -17,8 +17,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _str_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def _not_in(w: Column, values) -> Column:
+    """Membership test against a word list. ``isin`` over more than ten
+    literals is rewritten by the optimizer to a hash-set lookup (``InSet``),
+    unlike ``array_contains``, which scans the list for every word."""
+    values = list(values)
+    return ~w.isin(*values) if values else F.lit(True)
 
 
 # --------------------------------------------------------------------- cleaning
@@ -71,8 +75,8 @@ def expand_contractions(c, mapping: dict[str, str] | None = None) -> Column:
 
 def remove_stopwords(c, stopwords=None) -> Column:
     """Split on whitespace, drop listed words (case-sensitive), join with one space."""
-    stops = _str_array(fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords)
-    return F.array_join(F.filter(split_ws(c), lambda w: ~F.array_contains(stops, w)), " ")
+    stops = fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords
+    return F.array_join(F.filter(split_ws(c), lambda w: _not_in(w, stops)), " ")
 
 
 def clean_text_no_lemma(c, contractions_first: bool = False, stopwords=None) -> Column:
@@ -135,16 +139,13 @@ def tokenize_sentence(c, stopwords=None) -> Column:
     tokens (treebank style; inner dots as in ``e.g.`` stay). Drops stop words,
     ``.``, ``shown``, ``fig.``, ``figure`` and tokens of length <= 2.
     """
-    stops = _str_array(fv.NLTK_STOPWORDS if stopwords is None else stopwords)
-    custom = _str_array(fv.CUSTOM_TOKEN_DROP)
+    drop = list(fv.NLTK_STOPWORDS if stopwords is None else stopwords) + fv.CUSTOM_TOKEN_DROP
     t = F.regexp_replace(_col(c), r"\.{2,}", " $0 ")
     t = F.regexp_replace(t, r"([^.])\. *$", "$1 . ")
     toks = F.split(t, " +")
     return F.filter(
         toks,
-        lambda w: (F.length(w) > fv.MIN_TOKEN_LEN_EXCLUSIVE)
-        & ~F.array_contains(stops, w)
-        & ~F.array_contains(custom, w),
+        lambda w: (F.length(w) > fv.MIN_TOKEN_LEN_EXCLUSIVE) & _not_in(w, drop),
     )
 
 
@@ -161,8 +162,8 @@ def sentence_tokens(c) -> Column:
 # ------------------------------------------------------------------------ terms
 def words_for_ngrams(c, stopwords=None) -> Column:
     """Lower-case, split on whitespace, drop word-cloud stop words."""
-    stops = _str_array(fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords)
-    return F.filter(split_ws(F.lower(_col(c))), lambda w: ~F.array_contains(stops, w))
+    stops = fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords
+    return F.filter(split_ws(F.lower(_col(c))), lambda w: _not_in(w, stops))
 
 
 def ngrams(words, n: int) -> Column:

@@ -110,11 +110,11 @@ def wordcloud_weights(df: DataFrame, col: str, stopwords=None, max_words: int =
     Words are ``\\w[\\w']*`` runs, lower-cased; stop words (case-insensitive)
     and pure digit words are dropped; ``weight = count / max(count)``.
     """
-    stops = F.array(*[F.lit(s) for s in (fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords)])
+    stops = list(fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords)
     words = (df.select(col).where(F.col(col).isNotNull()).distinct()
              .select(F.explode(F.regexp_extract_all(F.col(col), F.lit(fv.WORDCLOUD_TOKEN), 0)).alias("w"))
              .select(F.lower(F.regexp_replace("w", "'s$", "")).alias("word"))
-             .where(~F.array_contains(stops, F.col("word")) & ~F.col("word").rlike(r"^[0-9]+$")
+             .where(~F.col("word").isin(*stops) & ~F.col("word").rlike(r"^[0-9]+$")
                     & (F.col("word") != "")))
     counts = words.groupBy("word").count()
     top = counts.orderBy(F.desc("count"), F.asc("word")).limit(max_words)
