@@ -643,3 +643,14 @@ def q_document_tokens(spark, sf):
     d = sentences.document_tokens(tables.articles(spark, sf), "doc_id", "body_text")
     return d.select("doc_id", F.size("tokens").alias("n_tokens"),
                     F.array_join(F.slice("tokens", 1, 5), " ").alias("first_tokens"))
+
+
+@register("sentence_frame_nested", A(f"""SELECT doc_id, len(s) AS n_sentences,
+  list_sum(list_transform(s, lambda x: len({O.sentence_tokens('x')}))) AS n_tokens
+  FROM (SELECT doc_id, {O.split_sentences('body_text')} AS s FROM articles)"""))
+def q_sentence_frame_nested(spark, sf):
+    """Nested sentence frame (sentence list + token list per sentence) as counts per article."""
+    n = sentences.sentence_frame_nested(tables.articles(spark, sf).select("doc_id", "body_text"))
+    return n.select("doc_id", F.size("sentences").alias("n_sentences"),
+                    F.aggregate(F.transform("token_sentences", lambda t: F.size(t)), F.lit(0),
+                                lambda acc, x: acc + x).cast("long").alias("n_tokens"))

@@ -112,6 +112,16 @@ def build_corpus_from(metadata: DataFrame, bodies: DataFrame, n: int, seed: str
     return m.join(bodies, m.pdf_json_files == bodies.json_path, "inner").drop("json_path")
 
 
+def read_word_vectors(spark: SparkSession, path: str, token: str = "token", vec: str = "vec") -> DataFrame:
+    """Token -> vector lookup stored as Parquet: ``(token, vec array<double>)``.
+
+    Pretrained vectors are converted once to this table; vectors are cast to
+    double before any arithmetic.
+    """
+    df = spark.read.parquet(path)
+    return df.select(F.col(token).alias("token"), F.transform(vec, lambda x: x.cast("double")).alias("vec"))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     w = df.write.mode("overwrite")
     if fmt == "csv":

@@ -49,3 +49,11 @@ def test_question_slices(spark):
     assert [r["q_id"] for r in sentences.question_explode(q, 1, 3).orderBy("q_id").collect()] == [1, 2]
     p = sentences.question_prefix(q.where("q_id = 2"), "G?").orderBy("q_id").collect()
     assert [(r["q_id"], r["question"]) for r in p] == [(4, "G?"), (5, "q2")]
+
+
+def test_read_word_vectors(spark, tmp_path):
+    p = str(tmp_path / "wv")
+    spark.createDataFrame([("a", [1.0, 2.0]), ("b", [0.5, -1.0])], "token string, vec array<float>") \
+        .write.parquet(p)
+    out = {r["token"]: r["vec"] for r in files.read_word_vectors(spark, p).collect()}
+    assert out == {"a": [1.0, 2.0], "b": [0.5, -1.0]}
