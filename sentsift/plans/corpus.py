@@ -52,4 +52,7 @@ def relevant_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The sentence-token table feeds the vocabulary ranking and the scoring;
     # keep it (memory, spilling to disk) instead of splitting the corpus twice.
     st = sentence_tokens(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    # Fill the cache once here: otherwise the plan's branches (token rows,
+    # question-token df, sentence text) race to compute it concurrently.
+    st.count()
     return retrieve.relevant_sentences(st, question_tokens(spark, sf_dir), word_vectors(spark, sf_dir, st))
