@@ -62,7 +62,7 @@ def lemmatize(df: DataFrame, key: str, col: str, out: str, vocabulary: DataFrame
 
 # Largest lemma table applied through a broadcast dictionary; beyond it the
 # words are exploded, joined to the table and re-assembled in order.
-MAX_BROADCAST_LEMMAS = 2_000_000
+MAX_BROADCAST_LEMMAS = 500_000
 
 
 def apply_lemmas(df: DataFrame, key: str, cols: dict[str, str], lemmas: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Questions as a stream: each micro-batch of questions is answered by the batch scorer.
 
 File source of question rows -> ``foreachBatch`` -> relevant sentences per
-article appended to a Parquet table. Stateless; the checkpoint folder makes
-the stream restartable after a failure (each batch is written exactly once).
+article written to a Parquet table partitioned by ``batch``. Stateless; the
+checkpoint folder makes the stream restartable, and each micro-batch
+overwrites its own partition, so a replayed batch does not duplicate rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ def answer_stream(spark: SparkSession, question_path: str, sentences_tok: DataFr
         if qtok.isEmpty():
             return
         rel = retrieve.relevant_sentences(sentences_tok, qtok, vocab)
-        rel.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out_path)
+        # One folder per micro-batch, overwritten on a retry: a batch re-run
+        # after a failure replaces its own output instead of appending twice.
+        rel.write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
     w = qs.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
