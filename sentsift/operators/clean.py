@@ -109,7 +109,10 @@ def preprocess_corpus(articles: DataFrame, key: str = "doc_id", lemma: bool = Tr
     if not lemma:
         return df.select(key, F.col("_a").alias("preprocessed_abstract"), F.col("_b").alias("preprocessed_body_text"))
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    words = (df.select(F.explode(tx.split_ws("_a")).alias("word"))
-             .unionByName(df.select(F.explode(tx.split_ws("_b")).alias("word"))))
+    # Cleaned text is words joined by single spaces, so a plain split plus a
+    # row filter (for the empty text) equals the whitespace split.
+    words = (df.select(F.explode(F.split("_a", " ")).alias("word"))
+             .unionByName(df.select(F.explode(F.split("_b", " ")).alias("word")))
+             .where(F.col("word") != ""))
     lemmas = lemma_table(words, words)
     return apply_lemmas(df, key, {"_a": "preprocessed_abstract", "_b": "preprocessed_body_text"}, lemmas)

@@ -477,7 +477,9 @@ def _nearest_sql(field: str) -> str:
 def _nearest(spark, sf, field: str):
     st = corpus.sentence_tokens(spark, sf)
     wv, qv = _qvec(spark, sf, st)
-    pre = _preprocessed(spark, sf).select("doc_id", tx.split_ws(field).alias("tokens"))
+    # Preprocessed text is single-space separated; an empty piece of an empty
+    # text has no vector and is ignored by the lookup.
+    pre = _preprocessed(spark, sf).select("doc_id", F.split(field, " ").alias("tokens"))
     dv = ranking.mean_vector(pre, wv, ["doc_id"])
     return ranking.top_documents(ranking.rank_documents(dv, qv))
 
