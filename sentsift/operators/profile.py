@@ -126,12 +126,12 @@ def wordcloud_weights(df: DataFrame, col: str, stopwords=None, max_words: int =
 def before_after(df: DataFrame, key: str, raw: str, cleaned: str) -> DataFrame:
     """Raw against cleaned text per row as length statistics."""
     return df.select(
-        key, F.length(raw).alias("raw_chars"), F.length(cleaned).alias("clean_chars"),
-        F.size(tx.split_ws(F.coalesce(F.col(raw), F.lit("")))).alias("raw_words"),
-        F.size(tx.split_ws(F.coalesce(F.col(cleaned), F.lit("")))).alias("clean_words"))
+        key, F.length(raw).cast("long").alias("raw_chars"), F.length(cleaned).cast("long").alias("clean_chars"),
+        F.size(tx.split_ws(F.coalesce(F.col(raw), F.lit("")))).cast("long").alias("raw_words"),
+        F.size(tx.split_ws(F.coalesce(F.col(cleaned), F.lit("")))).cast("long").alias("clean_words"))
 
 
 def embedding_shape(df: DataFrame, col: str) -> DataFrame:
     """Number of vectors and their dimension range."""
-    return df.agg(F.count(F.lit(1)).alias("n_vectors"), F.min(F.size(col)).alias("min_dim"),
-                  F.max(F.size(col)).alias("max_dim"))
+    return df.agg(F.count(F.lit(1)).alias("n_vectors"), F.min(F.size(col)).cast("long").alias("min_dim"),
+                  F.max(F.size(col)).cast("long").alias("max_dim"))

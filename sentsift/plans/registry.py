@@ -340,12 +340,14 @@ def F_sql(select: str) -> str:
 
 @register("split_sentences", F_sql("SELECT doc_id, pos, sentence FROM sent"))
 def q_split_sentences(spark, sf):
-    return sentences.sentence_table(tables.articles(spark, sf)).select("doc_id", "pos", "sentence")
+    return sentences.sentence_table(tables.articles(spark, sf)).select(
+        "doc_id", F.col("pos").cast("long").alias("pos"), "sentence")
 
 
 @register("tokenize_sentence", F_sql("SELECT doc_id, pos, array_to_string(tokens, ' ') AS tokens FROM senttok"))
 def q_tokenize_sentence(spark, sf):
-    return corpus.sentence_tokens(spark, sf).select("doc_id", "pos", F.array_join("tokens", " ").alias("tokens"))
+    return corpus.sentence_tokens(spark, sf).select("doc_id", F.col("pos").cast("long").alias("pos"),
+                                                    F.array_join("tokens", " ").alias("tokens"))
 
 
 @register("question_frame", f"SELECT item_id AS q_id, array_to_string({O.sentence_tokens('text')}, ' ') AS tokens "
@@ -408,7 +410,7 @@ def q_sentence_vectors(spark, sf):
                                                                       F.col("sdf") + F.coalesce("qdf", F.lit(0))))
          .join(wv.select("token", "vec"), "token"))
     v = vectors.weighted_sentence_vector(w, ["doc_id", "pos"])
-    return v.select("doc_id", "pos", F.round("weight_sum", 6).alias("weight_sum"),
+    return v.select("doc_id", F.col("pos").cast("long").alias("pos"), F.round("weight_sum", 6).alias("weight_sum"),
                     F.round(vectors.norm("vec"), 6).alias("vec_norm"))
 
 
@@ -629,8 +631,8 @@ def q_sentence_ids(spark, sf):
     st = sentences.sentence_table(tables.articles(spark, sf))
     out = sentences.sentence_ids(st, tables.questions(spark, sf))
     return out.select(F.col("part").cast("int").alias("part"), F.col("a").cast("long").alias("a"),
-                      F.col("b").cast("int").alias("b"), "text", F.col("id_part").cast("int").alias("id_part"),
-                      F.col("id_a").cast("long").alias("id_a"), F.col("id_b").cast("int").alias("id_b"))
+                      F.col("b").cast("long").alias("b"), "text", F.col("id_part").cast("int").alias("id_part"),
+                      F.col("id_a").cast("long").alias("id_a"), F.col("id_b").cast("long").alias("id_b"))
 
 
 @register("question_prefix", f"""SELECT 2 * item_id AS q_id, {O.lit(GENERIC_QUESTION)} AS question FROM benchmark
@@ -643,16 +645,16 @@ def q_question_prefix(spark, sf):
   array_to_string({O.split_ws("lower(coalesce(body_text, ''))")}[1:5], ' ') AS first_tokens FROM articles"""))
 def q_document_tokens(spark, sf):
     d = sentences.document_tokens(tables.articles(spark, sf), "doc_id", "body_text")
-    return d.select("doc_id", F.size("tokens").alias("n_tokens"),
+    return d.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"),
                     F.array_join(F.slice("tokens", 1, 5), " ").alias("first_tokens"))
 
 
 @register("sentence_frame_nested", A(f"""SELECT doc_id, len(s) AS n_sentences,
-  list_sum(list_transform(s, lambda x: len({O.sentence_tokens('x')}))) AS n_tokens
+  CAST(list_sum(list_transform(s, lambda x: len({O.sentence_tokens('x')}))) AS BIGINT) AS n_tokens
   FROM (SELECT doc_id, {O.split_sentences('body_text')} AS s FROM articles)"""))
 def q_sentence_frame_nested(spark, sf):
     """Nested sentence frame (sentence list + token list per sentence) as counts per article."""
     n = sentences.sentence_frame_nested(tables.articles(spark, sf).select("doc_id", "body_text"))
-    return n.select("doc_id", F.size("sentences").alias("n_sentences"),
+    return n.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
                     F.aggregate(F.transform("token_sentences", lambda t: F.size(t)), F.lit(0),
                                 lambda acc, x: acc + x).cast("long").alias("n_tokens"))
