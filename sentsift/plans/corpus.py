@@ -21,7 +21,7 @@ def question_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Vocabularies up to this many vector cells are materialised once on the
 # driver (they are then shipped to tasks anyway); larger ones stay lazy.
-MAX_MATERIALISED_VECTOR_CELLS = 8_000_000
+MAX_MATERIALISED_VECTOR_CELLS = 4_000_000
 # One small vocabulary per (application, input folder), like loading a
 # pretrained vector file once per session.
 _VOCAB_MEMO: dict = {}

@@ -23,6 +23,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Text rows multiply into sentences and tokens: 64 MB input splits and
+        # 64 MB shuffle partitions keep a task's working set moderate.
+        .config("spark.sql.files.maxPartitionBytes", "64m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SENTSIFT_DRIVER_MEMORY", "16g"))
