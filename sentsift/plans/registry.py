@@ -109,7 +109,7 @@ bodies AS (SELECT 'a/' || CAST(conv_id AS VARCHAR) || '.json' AS json_path,
                   string_agg(coalesce(role, '') || chr(10) || chr(10) || txt || chr(10) || chr(10), ''
                              ORDER BY first_turn) AS body_text
            FROM per_section GROUP BY conv_id)
-SELECT nn.*, b.body_text FROM nn JOIN bodies b ON nn.pdf_json_files = b.json_path""").replace(") ,", "),"))
+SELECT nn.*, b.body_text FROM nn JOIN bodies b ON nn.pdf_json_files = b.json_path"""))
 def q_corpus_build(spark, sf):
     """Corpus build of the reference's first notebook over the test tables:
     metadata = article view without its body, JSON bodies = conversations
@@ -151,7 +151,7 @@ def q_schema_profile(spark, sf):
 @register("duplicate_counts", A("""
 , g AS (SELECT title, abstract, body_text, count(*) AS c FROM articles GROUP BY ALL)
 SELECT * FROM (SELECT true AS is_duplicate, CAST(sum(c - 1) AS BIGINT) AS count FROM g
-               UNION ALL SELECT false, count(*) FROM g) WHERE count > 0""").replace(") ,", "),"))
+               UNION ALL SELECT false, count(*) FROM g) WHERE count > 0"""))
 def q_duplicate_counts(spark, sf):
     return profile.duplicate_counts(tables.articles(spark, sf), ["title", "abstract", "body_text"])
 
@@ -199,7 +199,7 @@ SELECT max(n) AS max_count,
        (SELECT publish_time FROM c ORDER BY n DESC, publish_time LIMIT 1) AS max_value,
        min(n) AS min_count,
        (SELECT publish_time FROM c ORDER BY n, publish_time LIMIT 1) AS min_value,
-       count(*) AS distinct_values FROM c""").replace(") ,", "),"))
+       count(*) AS distinct_values FROM c"""))
 def q_date_extremes(spark, sf):
     return profile.date_extremes(tables.articles(spark, sf), "publish_time")
 
@@ -216,7 +216,7 @@ def _wordcloud_sql(col: str) -> str:
 c AS (SELECT word, count(*) AS count FROM w
       WHERE NOT list_contains({O.WC_STOPS}, word) AND NOT regexp_matches(word, '^[0-9]+$') AND word <> ''
       GROUP BY word ORDER BY count DESC, word LIMIT {fv.WORDCLOUD_MAX_WORDS})
-SELECT word, count, count / max(count) OVER () AS weight FROM c""").replace(") ,", "),")
+SELECT word, count, count / max(count) OVER () AS weight FROM c""")
 
 
 for _c in ["abstract", "title", "body_text"]:
@@ -285,7 +285,7 @@ def _preprocessed(spark, sf):
     return cleaning.preprocess_corpus(tables.articles(spark, sf))
 
 
-PRE = A(", " + O.preprocess_ctes() + " SELECT * FROM pre").replace(") ,", "),")
+PRE = A(", " + O.preprocess_ctes() + " SELECT * FROM pre")
 
 
 @register("preprocess_corpus", PRE)
@@ -293,7 +293,7 @@ def q_preprocess_corpus(spark, sf):
     return _preprocessed(spark, sf)
 
 
-@register("lemma_table", A(", " + O.preprocess_ctes() + " SELECT word, lemma FROM lem").replace(") ,", "),"))
+@register("lemma_table", A(", " + O.preprocess_ctes() + " SELECT word, lemma FROM lem"))
 def q_lemma_table(spark, sf):
     a = tables.articles(spark, sf)
     c = a.select(tx.clean_text_no_lemma("abstract").alias("a"), tx.clean_text_no_lemma("body_text").alias("b"))
@@ -308,7 +308,7 @@ def _ngram_clean_sql(col: str, n: int) -> str:
     return A(", " + O.preprocess_ctes() + f"""
       SELECT term, count(*) AS count FROM (
       SELECT unnest({grams}) AS term FROM (SELECT {words} AS w FROM pre))
-      GROUP BY term ORDER BY count DESC, term LIMIT {fv.TOP_TERMS}""").replace(") ,", "),")
+      GROUP BY term ORDER BY count DESC, term LIMIT {fv.TOP_TERMS}""")
 
 
 for _col, _short in [("preprocessed_abstract", "abstract"), ("preprocessed_body_text", "body")]:
@@ -321,7 +321,7 @@ for _col, _short in [("preprocessed_abstract", "abstract"), ("preprocessed_body_
   SELECT a.doc_id, length(a.body_text) AS raw_chars, length(p.preprocessed_body_text) AS clean_chars,
          len({O.split_ws("coalesce(a.body_text, '')")}) AS raw_words,
          len({O.split_ws("coalesce(p.preprocessed_body_text, '')")}) AS clean_words
-  FROM articles a JOIN pre p USING (doc_id)""").replace(") ,", "),"))
+  FROM articles a JOIN pre p USING (doc_id)"""))
 def q_before_after(spark, sf):
     a = tables.articles(spark, sf).select("doc_id", "body_text")
     p = _preprocessed(spark, sf).select("doc_id", "preprocessed_body_text")
@@ -335,7 +335,7 @@ from sentsift.operators import retrieve, sentences, vectors  # noqa: E402
 
 def F_sql(select: str) -> str:
     """Flagship CTEs (over the article table) then a final select."""
-    return A(", " + O.flagship_ctes() + select).replace(") ,", "),")
+    return A(", " + O.flagship_ctes() + select)
 
 
 @register("split_sentences", F_sql("SELECT doc_id, pos, sentence FROM sent"))
@@ -473,7 +473,7 @@ def _nearest_sql(field: str) -> str:
     return (F_sql(", " + O.qvec_ctes() + ", " + O.preprocess_ctes() + _field_vectors_sql(field, "dv") + f"""
       , s AS (SELECT doc_id, {O.cos_sql('dv.vec', 'qvec.vec')} AS score FROM dv, qvec
               ORDER BY score DESC, doc_id LIMIT {fv.TOP_DOCUMENTS})
-      SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s""")).replace(") ,", "),")
+      SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s"""))
 
 
 def _nearest(spark, sf, field: str):
@@ -496,7 +496,7 @@ def q_nearest_documents_abstract(spark, sf):
     return _nearest(spark, sf, "preprocessed_abstract")
 
 
-@register("compare_fields", (F_sql(", " + O.qvec_ctes() + ", " + O.preprocess_ctes()
+COMPARE_FIELDS_SQL = (F_sql(", " + O.qvec_ctes() + ", " + O.preprocess_ctes()
                                    + _field_vectors_sql("preprocessed_abstract", "av")
                                    + _field_vectors_sql("preprocessed_body_text", "bv") + f"""
   , sa AS (SELECT doc_id, {O.cos_sql('av.vec', 'qvec.vec')} AS score FROM av, qvec ORDER BY score DESC, doc_id
@@ -508,7 +508,9 @@ def q_nearest_documents_abstract(spark, sf):
          (SELECT overlap FROM ov) AS overlap FROM sa
   UNION ALL
   SELECT 'body_text', round(avg(score), 6), min(score), max(score), (SELECT overlap FROM ov) FROM sb"""))
-  .replace(") ,", "),"))
+
+
+@register("compare_fields", COMPARE_FIELDS_SQL)
 def q_compare_fields(spark, sf):
     a = _nearest(spark, sf, "preprocessed_abstract")
     b = _nearest(spark, sf, "preprocessed_body_text")
