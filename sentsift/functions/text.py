@@ -27,8 +27,12 @@ def _not_in(w: Column, values) -> Column:
 
 # --------------------------------------------------------------------- cleaning
 def replace_math(c) -> Column:
-    """``[math] ... math]`` (not crossing a newline) becomes ``MATH EQUATION``."""
-    return F.regexp_replace(_col(c), fv.MATH_PATTERN, fv.MATH_TAG)
+    """``[math] ... math]`` (not crossing a newline) becomes ``MATH EQUATION``.
+
+    The pattern needs the literal ``[math]``; texts without it skip the scan.
+    """
+    c = _col(c)
+    return F.when(c.contains("[math]"), F.regexp_replace(c, fv.MATH_PATTERN, fv.MATH_TAG)).otherwise(c)
 
 
 def replace_urls(c) -> Column:

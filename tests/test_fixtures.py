@@ -142,3 +142,12 @@ def test_cosine_range(spark):
     df = spark.createDataFrame(rows, "a array<double>, b array<double>")
     for r in df.select(vectors.cosine("a", "b").alias("c")).collect():
         assert -1.0 - 1e-12 <= r["c"] <= 1.0 + 1e-12 and not math.isnan(r["c"])
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("x [math]a[math] y [math]b math] z", "x MATH EQUATION y MATH EQUATION z"),
+    ("[math]a\nb math] end", "[math]a\nb math] end"),
+    ("no tag here math]", "no tag here math]"),
+])
+def test_replace_math(spark, text, expected):
+    assert one(spark, text).select(tx.replace_math("t").alias("o")).first()["o"] == expected
