@@ -88,8 +88,8 @@ def publications_by(df: DataFrame, col: str, top: int | None = fv.TOP_PUBLICATIO
     if granularity:
         c = F.date_format(F.date_trunc(granularity, F.to_date(c)), "yyyy-MM-dd")
     if split:
-        c = F.explode(F.split(c, split))
-        return value_counts(df.select(F.trim(c).alias(col)), col, top)
+        parts = df.select(F.explode(F.split(c, split)).alias(col))
+        return value_counts(parts.select(F.trim(col).alias(col)), col, top)
     return value_counts(df.select(c.alias(col)), col, top)
 
 

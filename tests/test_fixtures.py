@@ -151,3 +151,28 @@ def test_cosine_range(spark):
 ])
 def test_replace_math(spark, text, expected):
     assert one(spark, text).select(tx.replace_math("t").alias("o")).first()["o"] == expected
+
+
+def test_small_preparation_operators(spark):
+    df = spark.createDataFrame([("3", "0.7", "a;b"), ("1", "x", "c"), ("2", "0.2", None)],
+                               "k string, s string, p string")
+    idx = {r["k"]: r["index"] for r in prepare.add_row_index(df, ["k"]).collect()}
+    assert idx == {"1": 0, "2": 1, "3": 2}
+    parsed = {r["k"]: r["v"] for r in df.select("k", prepare.parse_number("s").alias("v")).collect()}
+    assert parsed == {"3": 0.7, "1": None, "2": 0.2}
+    kept = prepare.score_threshold(df.select("k", prepare.parse_number("s").alias("score")), 0.2)
+    assert [r["k"] for r in kept.collect()] == ["3"]
+    assert prepare.drop_columns(df, ["s", "p"]).columns == ["k"]
+    assert [r["f"] for r in df.select(prepare.first_of_list("p").alias("f")).orderBy("k").collect()] == \
+        ["c", None, "a"]
+    assert prepare.drop_null_key(df, ["p"]).count() == 2
+
+
+def test_publications_split_and_granularity(spark):
+    df = spark.createDataFrame([("a; b", "2020-01-03"), ("b", "2020-01-20"), ("c;a", "2020-02-01")],
+                               "authors string, publish_time string")
+    by_author = {r["value"]: r["count"] for r in profile.publications_by(df, "authors", split=";").collect()}
+    assert by_author == {"a": 2, "b": 2, "c": 1}
+    by_month = {r["value"]: r["count"] for r in
+                profile.publications_by(df, "publish_time", granularity="month").collect()}
+    assert by_month == {"2020-01-01": 2, "2020-02-01": 1}
