@@ -6,8 +6,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentsift.operators import retrieve, sentences, vectors
-from sentsift.sources import tables
+from sentsift.operators import clean, retrieve, sentences, vectors
+from sentsift.session import ensure_checkpoint_dir
+from sentsift.sources import files, tables
 
 
 def sentence_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,3 +57,23 @@ def relevant_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     # question-token df, sentence text) race to compute it concurrently.
     st.count()
     return retrieve.relevant_sentences(st, question_tokens(spark, sf_dir), word_vectors(spark, sf_dir, st))
+
+
+def _input_key(spark: SparkSession, path: str) -> str:
+    """Identity of an input file: path, size and modification time."""
+    import hashlib
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    raw = f"{path}|{st.getLen()}|{st.getModificationTime()}"
+    return hashlib.md5(raw.encode("utf-8")).hexdigest()[:16]
+
+
+def preprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned abstracts and bodies, written once to the shared checkpoint
+    folder and read back by later steps (the reference's preprocessed-corpus
+    hand-over). The table name carries the input's identity, so a changed
+    input is rebuilt, never served stale."""
+    key = _input_key(spark, f"{sf_dir}/documents.parquet")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/preprocessed-{key}"
+    return files.reuse_or_build(spark, path, lambda: clean.preprocess_corpus(tables.articles(spark, sf_dir)))

@@ -282,7 +282,7 @@ def q_replace_urls_pages(spark, sf):
 
 
 def _preprocessed(spark, sf):
-    return cleaning.preprocess_corpus(tables.articles(spark, sf))
+    return corpus.preprocessed(spark, sf)
 
 
 PRE = A(", " + O.preprocess_ctes() + " SELECT * FROM pre")

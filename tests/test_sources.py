@@ -57,3 +57,17 @@ def test_read_word_vectors(spark, tmp_path):
         .write.parquet(p)
     out = {r["token"]: r["vec"] for r in files.read_word_vectors(spark, p).collect()}
     assert out == {"a": [1.0, 2.0], "b": [0.5, -1.0]}
+
+
+def test_preprocessed_corpus_is_stored_once(spark):
+    from conftest import SF_SMALL
+    from sentsift.operators import clean
+    from sentsift.plans import corpus
+    from sentsift.sources import tables
+    a = corpus.preprocessed(spark, SF_SMALL)
+    b = corpus.preprocessed(spark, SF_SMALL)      # read back from the shared folder
+    fresh = clean.preprocess_corpus(tables.articles(spark, SF_SMALL))
+    rows = lambda df: sorted(tuple(r) for r in df.select(
+        "doc_id", "preprocessed_abstract", "preprocessed_body_text").collect())
+    assert rows(a) == rows(b) == rows(fresh)
+    assert "preprocessed-" in b.inputFiles()[0]
