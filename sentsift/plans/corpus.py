@@ -72,8 +72,12 @@ def _input_key(spark: SparkSession, path: str) -> str:
 def preprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned abstracts and bodies, written once to the shared checkpoint
     folder and read back by later steps (the reference's preprocessed-corpus
-    hand-over). The table name carries the input's identity, so a changed
-    input is rebuilt, never served stale."""
+    hand-over). The table name carries the input's identity and the
+    application, so a changed input is rebuilt, never served stale, and a new
+    job does not read an earlier job's table."""
     key = _input_key(spark, f"{sf_dir}/documents.parquet")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/preprocessed-{key}"
+    # Scoped to this application: reused by the steps of one job, rebuilt by
+    # the next job (so timings and results never depend on an earlier run).
+    app = spark.sparkContext.applicationId.replace("/", "_")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/preprocessed-{app}-{key}"
     return files.reuse_or_build(spark, path, lambda: clean.preprocess_corpus(tables.articles(spark, sf_dir)))
