@@ -43,3 +43,15 @@ def test_question_chunks_equal_one_chunk(spark, monkeypatch):
     monkeypatch.setattr(retrieve, "MAX_QUESTION_CELLS", 50)
     many = _rows(retrieve.relevant_sentences(st, qt, wv), cols)
     assert one == many and one
+
+
+def test_large_question_set_path_equals_one_shot(spark, monkeypatch):
+    """Beyond MAX_QUESTIONS: df and vocabulary from Spark aggregates, questions in hash chunks."""
+    st = corpus.sentence_tokens(spark, SF_SMALL)
+    qt = corpus.question_tokens(spark, SF_SMALL)
+    wv = corpus.word_vectors(spark, SF_SMALL, st)
+    cols = ["doc_id", "sentence", "score"]
+    one = _rows(retrieve.relevant_sentences(st, qt, wv), cols)
+    monkeypatch.setattr(retrieve, "MAX_QUESTIONS", 7)
+    chunked = _rows(retrieve.relevant_sentences(st, qt, wv), cols)
+    assert one == chunked and one
