@@ -72,7 +72,7 @@ def queries() -> dict:
         op7_html_extract, op8_quality, op9_pii, op10_decontaminate)}
 
 
-_WORDS = r"list_filter(regexp_split_to_array({t}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array({t}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 OP2_SQL = f"""
 with recursive w as (
@@ -80,7 +80,7 @@ with recursive w as (
   from documents),
 s as (select distinct doc_id, unnest(case when len(ws) = 0 then []::varchar[]
         when len(ws) < 5 then [array_to_string(ws, ' ')]
-        else list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) end) g from w),
+        else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) g from w),
 n as (select doc_id, count(*) n from s group by 1),
 o as (select a.doc_id a, b.doc_id b, count(*) o from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
 l as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * o >= 75 * (x.n + y.n - o)),
