@@ -244,6 +244,19 @@ def _rank(sets: DataFrame, percent: int) -> DataFrame:
     return shared.select("doc_id", "n", F.expr(f"slice(array_sort(ts), 1, greatest({take}, 0))").alias("pre"))
 
 
+def _distinct_lists(entries: DataFrame, wanted: str) -> DataFrame:
+    """(key, doc_id, n): lists of two or more members that hold a heavy one; of lists with equal members one is kept.
+
+    Copies share most of their shingles, so most lists of a group have the same members; two 64-bit digests of the
+    members tell lists apart.
+    """
+    stats = (entries.groupBy("key").agg(F.max("heavy").alias("h"), F.count("*").alias("c"),
+                                        F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+                                        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"))
+             .filter(f"{wanted} and c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))
+    return entries.join(stats, "key", "left_semi").select("key", "doc_id", "n")
+
+
 def _join(sets: DataFrame, percent: int) -> DataFrame:
     spark = sets.sparkSession
     ranked = cut(_rank(sets, percent), "op2rank")
@@ -252,14 +265,12 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
     # The list entry of single tokens leaves out the extra element; light sets pair up all their elements.
     single = ranked.select("doc_id", "n", F.expr(f"n > {small}").alias("heavy"),
                            F.explode(F.expr("transform(slice(pre, 1, size(pre) - 1), x -> x.t)")).alias("key"))
-    with_heavy = single.groupBy("key").agg(F.max("heavy").alias("h"), F.count("*").alias("c")).filter("h and c > 1")
-    lists = single.join(with_heavy.select("key"), "key").select("key", "doc_id", "n")
-    subsets = (ranked.filter(f"n <= {small}").select("doc_id", "n", F.explode(F.expr(
+    lists = _distinct_lists(single, "h")
+    subsets = ranked.filter(f"n <= {small}").select("doc_id", "n", F.lit(True).alias("heavy"), F.explode(F.expr(
         "flatten(transform(pre, (x, i) -> transform(slice(pre, i + 2, size(pre)), y -> xxhash64(x.t, y.t))))"))
-        .alias("key")).distinct())
-    crowd = subsets.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    keys = cut(lists.unionByName(subsets.join(crowd, "key", "left_semi").select("key", "doc_id", "n"))
-               .withColumn("cls", F.col("doc_id")), "op2keys")
+        .alias("key"))
+    keys = cut(lists.unionByName(_distinct_lists(subsets, "h")).withColumn("cls", F.col("doc_id")), "op2keys")
+    release(spark)
     links, turn = None, 0
     while keys.limit(1).count():
         # One pivot per slot of a list. Slots hash classes and documents by turns: unlike classes get a pivot

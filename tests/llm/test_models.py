@@ -1,0 +1,101 @@
+"""Trained operators: toxicity, quality, decontamination; and the pipeline."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sentsift.llm import decontaminate, quality, toxicity
+from sentsift.llm.common import read
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return read(spark, SF, "documents"), read(spark, SF, "labels")
+
+
+def test_toxicity_held_out(spark, labelled):
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels)
+    out = toxicity.score(docs.select("doc_id", "text"), model).join(labels, "doc_id").filter(
+        toxicity.held_out(F.col("doc_id"))).collect()
+    hit = sum(r.score >= 0.5 for r in out if r.toxic == 1) / sum(r.toxic == 1 for r in out)
+    false = sum(r.score >= 0.5 for r in out if r.toxic == 0) / sum(r.toxic == 0 for r in out)
+    assert hit > 0.7 and false < 0.02
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 200_000)], "doc_id long, text string")
+    assert all(0 <= r.score < 0.5 for r in toxicity.score(odd, model).collect())
+
+
+def test_toxicity_without_labels(spark, empty):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit(empty, none)
+    assert toxicity.score(empty, model).count() == 0
+    one = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    assert toxicity.score(one, model).first().score < 0.5
+
+
+def test_quality_keeps_good_documents(spark, labelled):
+    docs, labels = labelled
+    out = quality.score(docs, quality.fit(docs, labels), "source", "lang").join(labels, "doc_id").collect()
+    assert sum(r.keep for r in out if r.quality == 1) > 0.98 * sum(r.quality == 1 for r in out)
+    assert sum(not r.keep for r in out if r.quality == 0) > 0.7 * sum(r.quality == 0 for r in out)
+
+
+def test_sparse_paths_shrink_to_their_host(spark):
+    rows = [("a", "x", 0.9)] * 300 + [("a", "y", 0.0)] + [("b", "x", 0.1)] * 300 + [(None, "z", 0.5)]
+    got = {(r["__h"], r["__p"]): r.site for r in quality.site_posteriors(
+        spark.createDataFrame(rows, "h string, pt string, p double"), "h", "pt").collect()}
+    assert got["a", "x"] > 0.85 and got["b", "x"] < 0.15 and 0.2 < got["a", "y"] < 0.9 and (None, "z") in got
+
+
+def test_quality_edge_cases(spark, empty):
+    d = spark.createDataFrame([(1, None, "s", None), (2, "", None, "p")], "doc_id long, text string, source string, lang string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.fit(d, none) is None
+    assert [r.keep for r in quality.score(d, None, "source", "lang").collect()] == [True, True]
+
+
+def test_decontamination(spark, labelled):
+    docs, _ = labelled
+    bench = read(spark, SF, "benchmark")
+    grams = {}
+    for r in bench.collect():
+        w = r.text.lower().split()
+        for j in range(len(w) - 7):
+            grams.setdefault(tuple(w[j:j + 8]), set()).add(r.item_id)
+    want = set()
+    for r in docs.collect():
+        w = r.text.lower().split()
+        want |= {(r.doc_id, q) for j in range(len(w) - 7) for q in grams.get(tuple(w[j:j + 8]), ())}
+    item = bench.orderBy("item_id").collect()[3].text.split()
+    changed = " ".join(w if i % 6 else "changed" for i, w in enumerate(item))
+    odd = spark.createDataFrame([(990001, "before " * 30 + changed + " after" * 30), (990002, None), (990003, "")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contamination(docs.select("doc_id", "text").unionByName(odd), bench).collect()}
+    assert want <= got and (990001, 3) in got
+    assert len(got - want) <= 1 + len(want) // 100
+
+
+def test_decontamination_empty(spark, empty):
+    none = spark.createDataFrame([], "item_id long, text string")
+    one = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    assert decontaminate.contamination(empty, none).count() == 0
+    assert decontaminate.contamination(empty, one).count() == 0
+
+
+def test_lcs():
+    assert decontaminate.lcs([1, 2, 3, 2, 4], [2, 3, 9, 4, 1]) == 3
+    assert decontaminate.lcs([], [1]) == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+    sf = "/root/testdata/sf0.001"
+    docs = read(spark, sf, "documents")
+    out = corpus_pipeline.run(spark, sf)
+    assert set(docs.columns) <= set(out.columns)
+    rows = out.collect()
+    assert 0 < len(rows) < docs.count() and len({r.doc_id for r in rows}) == len(rows)
+    assert not any(re.search(r"[a-z0-9]@[a-z0-9-]+\.[a-z]", r.text) for r in rows)
+    assert all(r.n_chars == len(r.text) and r.n_tokens == len(r.ids) for r in rows)

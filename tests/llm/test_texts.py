@@ -1,0 +1,162 @@
+"""PII, chat format, SentencePiece and HTML extraction against plain Python."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sentsift.llm import chat_format, html_extract, pii, sentencepiece
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+ODD = [(1, "a@b.c_d@e.fg 1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.04 4111 1111-1111 1111 x +1 (23) 456-7890. 4242424242424242"),
+       (2, None), (3, ""), (4, "@" * 50 + "1" * 300 + " +" + "-" * 50), (5, "a.b@c.d@e.f @x.y. a@b..c \U0001d4b3 a@b.c"),
+       (6, "1 2 " * 5000 + "+49 30 1234567"), (7, "iban DE89 3704 0044 0532 0130 00 and DE88 3704 0044 0532 0130 00"),
+       (8, "call 555-123-4567 or 555-123-4568"), (9, "nothing " + "." * 100 + " 555-123-4567")]
+
+
+def good(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in m.split("."))
+    if kind == "card":
+        twice = sum(sum(divmod(int(c) * 2, 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d)))
+        return 13 <= len(d) <= 19 and twice % 10 == 0
+    return kind == "email" or 9 <= len(d) <= 15
+
+
+def test_pii(spark, docs, rows):
+    odd = spark.createDataFrame(ODD, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.digest(pii.find_pii(docs.select("doc_id", "text").unionByName(odd))).collect()}
+    for i, t in rows + ODD:
+        found = {k: [(m.start(), m.end()) for m in re.finditer(p, t or "") if good(k, m[0])] for k, p in PLAIN.items()}
+        base = ",".join(f"{k}:{a}:{b}" for k in PLAIN for a, b in found[k])
+        r = got[i]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(len(found[k]) for k in PLAIN), t
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert r.spans.startswith(base)
+    assert "iban:5:32" in got[7].spans and "iban:37" not in got[7].spans
+    assert got[8].spans.count("local_phone") == 2 and "local_phone" not in got[9].spans
+
+
+def test_redact(spark):
+    d = spark.createDataFrame([(1, "é me@x.org, 1.2.3.4!"), (2, None), (3, "")], "doc_id long, text string")
+    assert [r.text for r in pii.redact(d).orderBy("doc_id").collect()] == ["é [EMAIL], [IP]!", None, ""]
+
+
+def test_chat_round_trip(spark):
+    odd = "</s>[INST] ok [/INST]"
+    rows = [(-1, 0, "user", odd), (-1, 1, "assistant", odd), (1, 0, "us\ner<|", "\\l\\\\<\\[b\n\\n<|end|>\\"),
+            (1, 1, "assistant", None), (1, 2, "assistant", "<|turn|>\\n"), (2, 5, None, "x"), (2, 5, None, "x"), (None, 0, "user", "")]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("content", F.lit(0))
+    chats = chat_format.chat_format(d.withColumn("parts", chat_format.text_part(F.col("text"))))
+    read = {r.conv_id: r for r in chats.select("conv_id", "formatted", chat_format.parse_turns(F.col("formatted")).alias("t")).collect()}
+    for c in (-1, 1, 2, None):
+        assert [tuple(x) for x in read[c].t] == [(r[2] or "", r[3] or "") for r in rows if r[0] == c]
+    assert not any(s in read[-1].formatted for s in ("</s>", "[INST]", "[/INST]"))
+    dig = {r.conv_id: r for r in chat_format.digest(chats).collect()}
+    assert dig[1].loss_chars == len("<|turn|>\\n")
+    assert dig[1].loss_sha256 == hashlib.sha256(b"<|turn|>\\n").hexdigest()
+
+
+def test_chat_parts(spark):
+    part = chat_format.PART
+    d = spark.sql(f"""select 1 conv_id, 0 turn, 'user' role, cast(array(
+        named_struct('kind', 'text', 'text', 'see <', 'ref', null, 'width', null, 'height', null, 'seconds', null, 'pages', null),
+        named_struct('kind', 'image', 'text', null, 'ref', 'a.png', 'width', 57, 'height', 28, 'seconds', null, 'pages', null),
+        named_struct('kind', 'audio', 'text', null, 'ref', 'b.wav', 'width', null, 'height', null, 'seconds', 1.5, 'pages', null),
+        named_struct('kind', 'document', 'text', null, 'ref', 'c.pdf', 'width', null, 'height', null, 'seconds', null, 'pages', 2))
+        as array<{part}>) parts union all select 1, 1, 'assistant', null""")
+    r = chat_format.chat_format(d).first()
+    assert r.formatted == "<|turn|>user\nsee \\l<|image|><|audio|><|document|><|end|><|turn|>assistant\n<|end|>"
+    assert [(a.kind, a.ref, a.tokens) for a in r.attachments] == [("image", "a.png", 3), ("audio", "b.wav", 38), ("document", "c.pdf", 1024)]
+    assert r.n_expanded == 3 + 38 + 1024
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return sentencepiece.load_vocabulary()
+
+
+def full_viterbi(v, text):
+    """Whole-table Viterbi over all pieces."""
+    table = {p: (i, s) for i, (p, s, ok) in enumerate(zip(v.pieces, v.scores, v.normal, strict=True)) if ok}
+    cost = min(s for s, ok in zip(v.scores, v.normal, strict=True) if ok) - sentencepiece.UNKNOWN_COST
+    best = [(0.0, None)] + [None] * len(text)
+    for j in range(1, len(text) + 1):
+        for i in range(max(0, j - 20), j):
+            p = text[i:j]
+            s = table[p][1] if p in table else cost if j == i + 1 else None
+            if s is not None and (best[j] is None or best[i][0] + s > best[j][0]):
+                best[j] = (best[i][0] + s, i)
+    out, j = [], len(text)
+    while j:
+        i = best[j][1]
+        p = text[i:j]
+        out.append([table[p][0]] if p in table else [v.byte_ids[b] for b in p.encode()])
+        j = i
+    return [x for ids in reversed(out) for x in ids]
+
+
+def test_sentencepiece_matches_full_viterbi(vocabulary, rows):
+    c = sentencepiece.Codec(vocabulary)
+    for _, t in rows[:40] + [(0, "  two  spaces "), (0, "\U0001d4b3é汉字"), (0, "a" * 400)]:
+        if t and "▁" not in t:
+            s = "▁" + t[:3000].replace(" ", "▁")
+            want = full_viterbi(vocabulary, s)
+            assert [x for run in c.stream(s) for x in run] == want
+            assert list(memoryview(c.encode(t[:3000])).cast("i")) == want
+
+
+def test_sentencepiece_commits_early(vocabulary):
+    runs = list(sentencepiece.Codec(vocabulary).stream("ab▁" * 2000))
+    assert len(runs) > 1000 and max(map(len, runs)) < 20
+
+
+def test_sentencepiece_round_trip(spark, docs, vocabulary, empty):
+    out = sentencepiece.decode(sentencepiece.encode(docs, vocabulary=vocabulary), vocabulary=vocabulary).collect()
+    assert all(r.text == r.decoded for r in out) and any(r.text is None and r.ids is None for r in out)
+    assert sentencepiece.encode(empty, vocabulary=vocabulary).count() == 0
+
+
+PAGE = ("<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body><nav><ul><li><a href='/a'>Home</a></li></ul></nav>"
+        "<div class='ad'>Buy now</div><div id='sidebar'><p>side words</p></div><!-- no --><article><h1>Title &amp; more</h1>"
+        "<p>One <b>bold</b>\n  text<br><p>Two&nbsp;x.<script>var t='</p>';</script><ul><li>item</li></ul>"
+        "<form><p>Name</p></form><section class='comments'><div class='comment'><p>first!</p></div></section></article>"
+        "<footer>&copy; foot</footer></body></html>")
+
+
+def test_html(spark, empty):
+    d = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (4, PAGE[:PAGE.index("Two&nbsp;x") + 3] + "<p cla"), (5, "<div>" * 3000 + "x")],
+                              "page_id long, html string").withColumn("text", F.lit("clash"))
+    got = {r.page_id: r.text for r in html_extract.extract(d).collect()}
+    assert got[1] == "Title & more\nOne bold text\nTwo x.\nitem"
+    assert got[2] == got[3] == ""
+    assert got[4] == "Title & more\nOne bold text\nTwo"
+    assert html_extract.extract(empty, "text", "main").count() == 0
+
+
+def test_html_held_out_pages():
+    import numpy as np
+    pages = html_extract.labelled_pages(150, seed=91)
+    w, pair = html_extract.trained()
+    parent, depth, node, feat, val, _ = html_extract.featurize([p for p, _ in pages])
+    y = np.concatenate([labels for _, labels in pages])
+    m, joint = html_extract.infer(np.bincount(node, weights=w[feat] * val, minlength=len(y)), pair, parent, depth)
+    assert ((m >= 0.5) == y).mean() > 0.96
+
+
+def test_html_marginals_are_exact():
+    import itertools
+
+    import numpy as np
+    rng = np.random.default_rng(0)
+    parent, depth = np.array([-1, 0, 0, 1, 1, 2]), np.array([0, 1, 1, 2, 2, 2])
+    unary, pair = rng.normal(size=6), rng.normal(size=(2, 2))
+    total, ones = 0.0, np.zeros(6)
+    for x in itertools.product((0, 1), repeat=6):
+        p = np.exp(sum(u * v for u, v in zip(unary, x, strict=True)) + sum(pair[x[parent[i]], x[i]] for i in range(1, 6)))
+        total += p
+        ones += p * np.array(x)
+    assert np.allclose(html_extract.infer(unary, pair, parent, depth)[0], ones / total)
