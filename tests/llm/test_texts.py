@@ -10,10 +10,10 @@ from sentsift.llm import chat_format, html_extract, pii, sentencepiece
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
-ODD = [(1, "a@b.c_d@e.fg 1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.04 4111 1111-1111 1111 x +1 (23) 456-7890. 4242424242424242"),
-       (2, None), (3, ""), (4, "@" * 50 + "1" * 300 + " +" + "-" * 50), (5, "a.b@c.d@e.f @x.y. a@b..c \U0001d4b3 a@b.c"),
-       (6, "1 2 " * 5000 + "+49 30 1234567"), (7, "iban DE89 3704 0044 0532 0130 00 and DE88 3704 0044 0532 0130 00"),
-       (8, "call 555-123-4567 or 555-123-4568"), (9, "nothing " + "." * 100 + " 555-123-4567")]
+ODD = [(910001, "a@b.c_d@e.fg 1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.04 4111 1111-1111 1111 x +1 (23) 456-7890. 4242424242424242"),
+       (910002, None), (910003, ""), (910004, "@" * 50 + "1" * 300 + " +" + "-" * 50), (910005, "a.b@c.d@e.f @x.y. a@b..c \U0001d4b3 a@b.c"),
+       (910006, "1 2 " * 5000 + "+49 30 1234567"), (910007, "iban DE89 3704 0044 0532 0130 00 and DE88 3704 0044 0532 0130 00"),
+       (910008, "call 555-123-4567 or 555-123-4568"), (910009, "nothing " + "." * 100 + " 555-123-4567")]
 
 
 def good(kind, m):
@@ -36,8 +36,8 @@ def test_pii(spark, docs, rows):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(len(found[k]) for k in PLAIN), t
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
         assert r.spans.startswith(base)
-    assert "iban:5:32" in got[7].spans and "iban:37" not in got[7].spans
-    assert got[8].spans.count("local_phone") == 2 and "local_phone" not in got[9].spans
+    assert "iban:5:32" in got[910007].spans and "iban:37" not in got[910007].spans
+    assert got[910008].spans.count("local_phone") == 2 and "local_phone" not in got[910009].spans
 
 
 def test_redact(spark):
