@@ -67,8 +67,12 @@ def _frequencies(batches):
         if len(flat):
             at = _passages(offsets)
             total += int(at[-1]) + 1
-            once = np.unique(at << TERM_BITS | _terms(flat).astype(np.int64))
-            df += np.bincount(once & ((1 << TERM_BITS) - 1), minlength=1 << TERM_BITS)
+            terms = _terms(flat)
+            for lo in range(0, int(at[-1]) + 1, 1024):  # a table of 1024 passages by terms
+                a, b = np.searchsorted(at, (lo, lo + 1024))
+                table = np.zeros((1024, 1 << TERM_BITS), bool)
+                table[at[a:b] - lo, terms[a:b]] = True
+                df += np.count_nonzero(table, axis=0)
     some = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(df[some], total))],
                                      names=["term", "df"])
@@ -201,6 +205,18 @@ def _search(space, items, threshold: float):
             offsets, flat = _flat(batch.column(1))
             ids = batch.column(0).to_pylist()
             best: dict[tuple, tuple] = {}
+
+            def confirm(d, words, start, stop, item, w, answer, cosine):
+                near = words[max(0, start - len(w) // 2): stop + len(w) // 2].tolist()
+                share = lcs(w.tolist(), near) / len(w)
+                if share < LCS_SHARE:
+                    return
+                said = lcs(answer, near) / len(answer) if answer else 1.0
+                found = (share, float(cosine), said, int(start))
+                if said >= ANSWER_SHARE and found > best.get((d, item), (-1.0,)):
+                    best[d, item] = found
+
+            here = np.zeros((1 << TERM_BITS) + 1, bool)
             for d in range(batch.num_rows):
                 words = flat[offsets[d]: offsets[d + 1]]
                 if len(words) < MIN_ITEM:
@@ -221,20 +237,18 @@ def _search(space, items, threshold: float):
                     v = sums[stop] - sums[start]
                     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
                     cos = v @ q[may].T
-                    for i, j in zip(*np.nonzero(cos >= threshold), strict=True):
-                        item, w, answer = own[may[j]]
-                        lo = max(0, start[i] - len(w) // 2)
-                        region = words[lo: stop[i] + len(w) // 2]
-                        if np.isin(w, region).sum() < LCS_SHARE * len(w):
-                            continue
-                        near = region.tolist()
-                        share = lcs(w.tolist(), near) / len(w)
-                        if share < LCS_SHARE:
-                            continue
-                        said = lcs(answer, near) / len(answer) if answer else 1.0
-                        found = (share, float(cos[i, j]), said, int(start[i]))
-                        if said >= ANSWER_SHARE and found > best.get((d, item), (-1.0,)):
-                            best[d, item] = found
+                    near_rows, near_items = np.nonzero(cos >= threshold)
+                    for i in np.unique(near_rows):
+                        # Words of the window's surroundings as a table: bounds the subsequence of every candidate at once.
+                        js = near_items[slice(*np.searchsorted(near_rows, (i, i + 1)))]
+                        half = grid.shape[1] // 2
+                        around = terms[max(0, start[i] - half): stop[i] + half]
+                        here[around] = True
+                        some = may[js]
+                        fit_here = here[grid[some]].sum(axis=1) >= least[some]
+                        here[around] = False
+                        for j in js[fit_here]:
+                            confirm(d, words, start[i], stop[i], *own[may[j]], cos[i, j])
             yield pa.RecordBatch.from_arrays([
                 pa.array([ids[d] for d, _ in best], pa.int64()), pa.array([i for _, i in best], pa.int64()),
                 pa.array([f[1] for f in best.values()], pa.float64()), pa.array([f[0] for f in best.values()], pa.float64()),
