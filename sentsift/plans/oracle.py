@@ -102,8 +102,8 @@ def symbol_runs(e: str) -> str:
 
 ARTICLES = """
 SELECT CAST(doc_id AS VARCHAR) AS cord_uid, doc_id,
-       split_part(text, '. ', 1) AS title,
-       CASE WHEN doc_id % 20 = 0 THEN NULL ELSE substr(text, 1, 600) END AS abstract,
+       concat_ws(' ', lang, source) AS title,
+       CASE WHEN doc_id % 20 = 0 THEN NULL ELSE text END AS abstract,
        text AS body_text, source AS journal,
        'author ' || CAST(doc_id % 97 AS VARCHAR) AS authors,
        CAST(CAST(DATE '2020-01-01' + CAST(doc_id % 97 AS INTEGER) AS DATE) AS VARCHAR) AS publish_time,

@@ -454,14 +454,14 @@ def q_rank_documents(spark, sf):
   FROM embeddings), s AS (SELECT doc_id, {O.cos_sql('e.v', 'qvec.vec')} AS score FROM e, qvec
   ORDER BY score DESC, doc_id LIMIT {fv.TOP_DOCUMENTS}),
   r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s)
-  SELECT r.rank, r.doc_id, r.score, a.title, a.abstract FROM r JOIN articles a USING (doc_id)""")
+  SELECT r.rank, r.doc_id, r.score, a.title, a.abstract, a.body_text FROM r JOIN articles a USING (doc_id)""")
 def q_top10_articles(spark, sf):
     _, qv = _qvec(spark, sf)
     e = tables.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
     top = ranking.top_documents(ranking.rank_documents(e, qv))
-    a = tables.articles(spark, sf).select("doc_id", "title", "abstract")
-    return top.join(a, "doc_id").select("rank", "doc_id", "score", "title", "abstract")
+    a = tables.articles(spark, sf).select("doc_id", "title", "abstract", "body_text")
+    return top.join(a, "doc_id").select("rank", "doc_id", "score", "title", "abstract", "body_text")
 
 
 def _field_vectors_sql(field: str, name: str) -> str:
@@ -527,15 +527,15 @@ def q_compare_fields(spark, sf):
     , r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s),
     rel AS (SELECT doc_id, count(*) AS n_relevant, string_agg(sentence, chr(10) ORDER BY -score, sentence) AS rs
             FROM relevant GROUP BY doc_id)
-    SELECT r.rank, r.doc_id, r.score, a.abstract, coalesce(rel.rs, '') AS relevant_sentences,
+    SELECT r.rank, r.doc_id, r.score, a.abstract, a.body_text, coalesce(rel.rs, '') AS relevant_sentences,
            coalesce(rel.n_relevant, 0) AS n_relevant
     FROM r JOIN articles a USING (doc_id) LEFT JOIN rel USING (doc_id)"""))
 def q_similar_articles(spark, sf):
     top = _nearest(spark, sf, "preprocessed_body_text")
-    a = tables.articles(spark, sf).select("doc_id", "abstract")
+    a = tables.articles(spark, sf).select("doc_id", "abstract", "body_text")
     rel = retrieve.relevant_sentences_per_article(top.select("doc_id"), corpus.relevant_sentences(spark, sf))
     return top.join(a, "doc_id").join(rel, "doc_id").select(
-        "rank", "doc_id", "score", "abstract", "relevant_sentences", "n_relevant")
+        "rank", "doc_id", "score", "abstract", "body_text", "relevant_sentences", "n_relevant")
 
 
 # ------------------------------------- trained models, encoder, approximate, stream
@@ -594,14 +594,6 @@ def q_rank_documents_encoder(spark, sf):
 ALL_PAIRS_THRESHOLD = 0.4
 
 
-@register("all_pairs_similarity")
-def q_all_pairs_similarity(spark, sf):
-    """Document pairs of ``embeddings`` with cosine >= 0.4 via LSH (approximate)."""
-    e = tables.table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("doc_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
-    return ranking.similarity_join_lsh(e, ALL_PAIRS_THRESHOLD)
-
-
 @register("answer_stream", O.flagship_sql())
 def q_answer_stream(spark, sf):
     """Question stream over the ``benchmark`` file, answered per micro-batch."""

@@ -42,7 +42,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article metadata + body built from ``documents``.
 
     Stand-in for the metadata + JSON-body corpus: ``cord_uid``/``doc_id`` key,
-    ``title`` = first sentence, ``abstract`` = first 600 characters (missing for
+    ``title`` = language and source, ``abstract`` = the whole text (missing for
     every 20th article), ``body_text`` = the text, ``journal`` = source, plus
     derived ``authors``, ``publish_time`` and ``pdf_json_files``.
     """
@@ -51,9 +51,9 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         sid.alias("cord_uid"),
         d.doc_id,
-        F.split_part(d.text, F.lit(". "), F.lit(1)).alias("title"),
+        F.concat_ws(" ", d.lang, d.source).alias("title"),
         F.when(d.doc_id % 20 == 0, F.lit(None).cast("string"))
-        .otherwise(F.substring(d.text, 1, 600)).alias("abstract"),
+        .otherwise(d.text).alias("abstract"),
         d.text.alias("body_text"),
         d.source.alias("journal"),
         F.concat(F.lit("author "), (d.doc_id % 97).cast("string")).alias("authors"),

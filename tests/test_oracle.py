@@ -49,7 +49,7 @@ def test_every_query_has_oracle_or_is_marked():
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
     assert rows_only <= {"sentence_embedding_model", "mean_vector_similarity", "document_embedding_model",
-                         "embed_documents", "rank_documents_encoder", "all_pairs_similarity"}
+                         "embed_documents", "rank_documents_encoder"}
 
 
 def test_entry_smoke(spark):
