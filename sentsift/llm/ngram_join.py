@@ -193,9 +193,12 @@ def _overlaps(percent: int):
 
 
 def boundary(ranked: DataFrame) -> int:
-    """Largest light size: least total of subsets enumerated below it and list entries scanned above it."""
-    cost = (ranked.groupBy("n").agg(F.sum(F.expr("(size(pre) + 1) * size(pre) / 2")).alias("subsets"),
-                                    F.sum(F.expr("aggregate(pre, 0L, (s, t) -> s + t.df)")).alias("scanned"))
+    """Largest light size: least total of list entries, subsets below it and single shingles above it.
+
+    Lists are worked off by pivots, so an entry costs the same in a list of any length.
+    """
+    cost = (ranked.groupBy("n").agg(F.sum(F.expr("size(pre) * (size(pre) - 1) / 2")).alias("subsets"),
+                                    F.sum(F.expr("greatest(size(pre) - 1, 0)")).alias("scanned"))
             .withColumn("gain", F.col("scanned") - F.col("subsets")))
     # One row per distinct size; the running total needs its order only.
     best = (cost.withColumn("total", F.sum("gain").over(Window.orderBy("n")))
