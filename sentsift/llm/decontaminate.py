@@ -33,6 +33,8 @@ TERM_BITS, RANK, OVERSAMPLE, PASSAGE = 14, 48, 8, 32
 SIZES = (16, 32, 56)  # windows for items under 24, under 48, and longer
 COSINE, LCS_SHARE, ANSWER_SHARE, MIN_ITEM = 0.4, 0.6, 0.5, 8
 ITEM_BLOCK = 2048
+STEP = 16_384  # words whose vectors are added up at a time
+CELLS = 1 << 22  # item by word table of the search
 SEED = 11
 FOUND = "doc_id long, item_id long, cosine double, lcs double, answer double, at int"
 
@@ -68,11 +70,11 @@ def _frequencies(batches):
             at = _passages(offsets)
             total += int(at[-1]) + 1
             terms = _terms(flat)
-            for lo in range(0, int(at[-1]) + 1, 1024):  # a table of 1024 passages by terms
+            for lo in range(0, int(at[-1]) + 1, 1024):  # passage and term in one number, counted once
                 a, b = np.searchsorted(at, (lo, lo + 1024))
-                table = np.zeros((1024, 1 << TERM_BITS), bool)
-                table[at[a:b] - lo, terms[a:b]] = True
-                df += np.count_nonzero(table, axis=0)
+                code = np.sort(((at[a:b] - lo) << TERM_BITS).astype(np.int32) | terms[a:b])
+                once = code[np.r_[True, code[1:] != code[:-1]]]
+                df += np.bincount(_terms(once), minlength=len(df))
     some = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(df[some], total))],
                                      names=["term", "df"])
@@ -95,7 +97,7 @@ def _range_part(idf: np.ndarray):
         used = np.zeros(1 << TERM_BITS, bool)
         for batch in batches:
             offsets, flat = _flat(batch.column(0))
-            cuts = np.searchsorted(offsets, np.arange(0, offsets[-1] + 60_000, 60_000))
+            cuts = np.searchsorted(offsets, np.arange(0, offsets[-1] + STEP, STEP))
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 t = _terms(flat[offsets[lo]: offsets[min(hi, len(offsets) - 1)]])
                 if not len(t):
@@ -105,7 +107,7 @@ def _range_part(idf: np.ndarray):
                 y = _sums(test[t], first)
                 norm = np.add.reduceat(idf[t] ** 2, first)
                 y /= np.maximum(norm, 1e-9)[:, None]
-                order = np.argsort(t, kind="stable")
+                order = np.argsort(t.astype(np.uint16), kind="stable")  # TERM_BITS is at most 16: a radix sort
                 s = t[order]
                 start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
                 out[s[start]] += _sums(y[at[order]], start)
@@ -186,6 +188,27 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def _enough(terms, rows, items, start, stop, may, has, length):
+    """Of the (window, item) pairs those whose surroundings hold enough words of the item for ``LCS_SHARE`` of it.
+
+    Running counts over the text, one for each item met, give the count of every window at once.
+    """
+    met, at = np.unique(items, return_inverse=True)
+    held = np.zeros(len(rows), np.int64)
+    step = max(1, CELLS // max(1, len(terms)))
+    for k in range(0, len(met), step):
+        here = may[met[k: k + step]]
+        count = np.zeros((len(here), len(terms) + 1), np.int32)
+        np.cumsum(has[here][:, terms], axis=1, out=count[:, 1:])
+        own = np.flatnonzero((at >= k) & (at < k + step)) if len(met) > step else slice(None)
+        half = length[may[items[own]]] // 2
+        lo = np.maximum(start[rows[own]] - half, 0)
+        hi = np.minimum(stop[rows[own]] + half, len(terms))
+        held[own] = count[at[own] - k, hi] - count[at[own] - k, lo]
+    keep = held >= LCS_SHARE * length[may[items]]
+    return rows[keep], items[keep]
+
+
 def _search(space, items, threshold: float):
     """items: (item_id, word hashes, answer hashes)."""
     def run(batches):
@@ -200,7 +223,10 @@ def _search(space, items, threshold: float):
                 grid = np.full((len(own), longest), 1 << TERM_BITS)  # the last slot is never present
                 for r, (_, w, _) in enumerate(own):
                     grid[r, : len(w)] = _terms(w)
-                classes.append((size, own, q, grid, LCS_SHARE * np.array([len(w) for _, w, _ in own])))
+                has = np.zeros((len(own), 1 << TERM_BITS), bool)
+                for r, (_, w, _) in enumerate(own):
+                    has[r, _terms(w)] = True
+                classes.append((size, own, q, grid, has, np.array([len(w) for _, w, _ in own])))
         for batch in batches:
             offsets, flat = _flat(batch.column(1))
             ids = batch.column(0).to_pylist()
@@ -225,7 +251,8 @@ def _search(space, items, threshold: float):
                 terms = _terms(words)
                 present[terms] = True
                 sums = None
-                for size, own, q, grid, least in classes:
+                for size, own, q, grid, has, length in classes:
+                    least = LCS_SHARE * length
                     may = np.flatnonzero(present[grid].sum(axis=1) >= least)
                     if not len(may):
                         continue
@@ -237,7 +264,7 @@ def _search(space, items, threshold: float):
                     v = sums[stop] - sums[start]
                     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
                     cos = v @ q[may].T
-                    near_rows, near_items = np.nonzero(cos >= threshold)
+                    near_rows, near_items = _enough(terms, *np.nonzero(cos >= threshold), start, stop, may, has, length)
                     for i in np.unique(near_rows):
                         # Words of the window's surroundings as a table: bounds the subsequence of every candidate at once.
                         js = near_items[slice(*np.searchsorted(near_rows, (i, i + 1)))]
