@@ -141,9 +141,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         shared.setdefault(int(_buckets(np.array([r.h]))[0][0]), set()).add(r.k)
     languages = {b: next(iter(ks)) for b, ks in shared.items() if len(ks) == 1}  # words of one language only
     rows = (sample_labels(docs, labels, label_col, id_col, text_col)
-            .select("__id", "label", tokens(F.col("text")).alias("t")).orderBy("__id").collect())
-    one = {(r.label, tuple(r.t)): r for r in rows}.values()  # copies teach once
-    return train([np.array(r.t, np.int64) for r in one], np.array([r.label for r in one], np.int64), languages)
+            .select("__id", F.col("label").cast("int"), tokens(F.col("text")).alias("t")).orderBy("__id").toArrow())
+    lists = rows["t"].combine_chunks()
+    at, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy(zero_copy_only=False)
+    at = at - at[0] if len(at) else at
+    y = rows["label"].to_pylist()
+    one = {(k, flat[lo:hi].tobytes()): (flat[lo:hi], k)  # copies teach once
+           for k, lo, hi in zip(y, at[:-1], at[1:], strict=True)}.values()
+    return train([t for t, _ in one], np.array([k for _, k in one], np.int64), languages)
 
 
 def _empty(languages: dict) -> ToxicityModel:
