@@ -11,7 +11,8 @@ Exact for the threshold. Three lossless cuts precede the join, each in one shuff
 
 The join is size-aware. Small ("light") sets enumerate the fixed-size subsets (pairs) of their rarest
 shingles; two light sets that link share such a pair. Large ("heavy") sets scan inverted lists of single
-shingles. The boundary is the size with the smallest total cost, from grouped sums per size. A list of any length is worked off by
+shingles. An entry carries the overlap that is still possible when its key is the first one that two sets share, so
+pairs, and entries against the smallest set of their list, leave when that is below what the threshold asks. The boundary is the size with the smallest total cost, from grouped sums per size. A list of any length is worked off by
 pivots: all members are verified against the list's pivots, members that turn out connected to a pivot need no
 further comparison with its class, and the number of pivots grows fourfold per round until every list is done. No
 list is cut and no pair is skipped unless its two ends are already known to be connected.
@@ -235,7 +236,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
 
 def _rank(sets: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, n, pre): the shared part of each set's rarest ``n - ceil(t n) + 1`` shingles, rarest first.
+    """(doc_id, n, s, pre): the number of shared shingles, and the shared part of each set's rarest ``n - ceil(t n) + 1`` shingles, rarest first.
 
     One more shingle than single-token lists need is kept as the last element for the subset enumeration.
     """
@@ -244,20 +245,30 @@ def _rank(sets: DataFrame, percent: int) -> DataFrame:
     shared = rows.join(df, "t").groupBy("doc_id", "n").agg(F.collect_list(F.struct("df", "t")).alias("ts"))
     shared = shared.withColumn("least", F.expr(f"cast(ceil({percent} * n / 100) as int)")).filter("size(ts) >= least")
     take = "cast(n - least + 2 - (n - size(ts)) as int)"
-    return shared.select("doc_id", "n", F.expr(f"slice(array_sort(ts), 1, greatest({take}, 0))").alias("pre"))
+    return shared.select("doc_id", "n", F.size("ts").alias("s"), F.expr(f"slice(array_sort(ts), 1, greatest({take}, 0))").alias("pre"))
 
 
-def _distinct_lists(entries: DataFrame, wanted: str) -> DataFrame:
-    """(key, doc_id, n): lists of two or more members that hold a heavy one; of lists with equal members one is kept.
+def _distinct_lists(entries: DataFrame, percent: int) -> DataFrame:
+    """(key, doc_id, n, rem): lists of two or more members that hold a heavy one; of lists with equal members one is kept.
 
-    Copies share most of their shingles, so most lists of a group have the same members; two 64-bit digests of the
-    members tell lists apart.
+    An entry whose ``rem`` is too small for the smallest set of its list leaves first. Copies share most of their
+    shingles, so most lists of a group have the same members; two 64-bit digests of the members tell lists apart. The
+    one kept has the rarest last shingle: it comes first in every member, so every ``rem`` is the largest there.
     """
-    stats = (entries.groupBy("key").agg(F.max("heavy").alias("h"), F.count("*").alias("c"),
-                                        F.bit_xor(F.xxhash64("doc_id")).alias("x"),
-                                        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"))
-             .filter(f"{wanted} and c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))
-    return entries.join(stats, "key", "left_semi").select("key", "doc_id", "n")
+    floor = (entries.groupBy("key").agg(F.min("n").alias("lo"), F.max("heavy").alias("h"), F.count("*").alias("c"))
+             .filter("h and c > 1").select("key", "lo"))
+    able = entries.join(floor, "key").filter(_reaches("rem", "lo", percent))
+    stats = (able.groupBy("key", "last").agg(F.max("heavy").alias("h"), F.count("*").alias("c"),
+                                             F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+                                             F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"))
+             .filter("h and c > 1").groupBy("c", "x", "y").agg(F.min(F.struct("last", "key")).alias("k"))
+             .select("k.key"))
+    return able.join(stats, "key", "left_semi").select("key", "doc_id", "n", "rem")
+
+
+def _reaches(rem: str, other: str, percent: int) -> str:
+    """Whether an overlap of ``rem`` is enough for sets of ``n`` and ``other`` shingles."""
+    return f"{100 + percent} * {rem} >= {percent} * (n + {other})"
 
 
 def _join(sets: DataFrame, percent: int) -> DataFrame:
@@ -266,13 +277,16 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
     release(spark)
     small = boundary(ranked)
     # The list entry of single tokens leaves out the extra element; light sets pair up all their elements.
-    single = ranked.select("doc_id", "n", F.expr(f"n > {small}").alias("heavy"),
-                           F.explode(F.expr("transform(slice(pre, 1, size(pre) - 1), x -> x.t)")).alias("key"))
-    lists = _distinct_lists(single, "h")
-    subsets = ranked.filter(f"n <= {small}").select("doc_id", "n", F.lit(True).alias("heavy"), F.explode(F.expr(
-        "flatten(transform(pre, (x, i) -> transform(slice(pre, i + 2, size(pre)), y -> xxhash64(x.t, y.t))))"))
-        .alias("key"))
-    keys = cut(lists.unionByName(_distinct_lists(subsets, "h")).withColumn("cls", F.col("doc_id")), "op2keys")
+    # rem: shingles from the key on, the most that two sets can share if the key holds their first common ones.
+    single = (ranked.select("doc_id", "n", "s", F.posexplode(F.expr("slice(pre, 1, size(pre) - 1)")).alias("i", "last"))
+              .select(F.col("last.t").alias("key"), "last", "doc_id", "n", F.expr(f"n > {small}").alias("heavy"),
+                      F.expr("s - i").alias("rem")))
+    subsets = (ranked.filter(f"n <= {small}").select("doc_id", "n", F.explode(F.expr(
+        "flatten(transform(pre, (x, i) -> transform(slice(pre, i + 2, size(pre)), (y, k) -> "
+        "struct(xxhash64(x.t, y.t) as key, y as last, s - i - k as rem))))")).alias("e"))
+        .select("e.key", "e.last", "doc_id", "n", F.lit(True).alias("heavy"), "e.rem"))
+    lists = _distinct_lists(single, percent)
+    keys = cut(lists.unionByName(_distinct_lists(subsets, percent)).withColumn("cls", F.col("doc_id")), "op2keys")
     release(spark)
     links, turn = None, 0
     while keys.limit(1).count():
@@ -281,11 +295,11 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
         slot = F.pmod(F.xxhash64("cls" if turn % 2 else "doc_id"), F.lit(4 ** turn))
         top = (keys.groupBy("key", slot.alias("slot"))
                .agg(F.min(F.struct(F.xxhash64("doc_id").alias("o"), F.col("doc_id").alias("d"), F.col("n"),
-                                   F.col("cls").alias("c"))).alias("p"))
+                                   F.col("rem"), F.col("cls").alias("c"))).alias("p"))
                .groupBy("key").agg(F.collect_list("p").alias("ps")))
         met = keys.join(top.select("key", F.explode("ps").alias("p")), "key")
         pairs = (met.filter("doc_id <> p.d and cls <> p.c")
-                 .filter(f"100 * least(n, p.n) >= {percent} * greatest(n, p.n)")
+                 .filter(_reaches("least(rem, p.rem)", "p.n", percent))
                  .select(F.least("doc_id", "p.d").alias("a"), F.greatest("doc_id", "p.d").alias("b")).distinct())
         sa = sets.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa"))
         sb = sets.select(F.col("doc_id").alias("b"), F.col("sh").alias("sb"))
@@ -298,10 +312,13 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
         cls = (ends.join(known, "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("cls").alias("now")))
         rest = (keys.join(top, "key").filter(~F.exists("ps", lambda p: p["d"] == F.col("doc_id")))
                 .join(cls, "doc_id", "left")
-                .select("key", "doc_id", "n", F.least("cls", F.coalesce("now", "cls")).alias("cls")))
+                .select("key", "doc_id", "n", "rem", F.least("cls", F.coalesce("now", "cls")).alias("cls")))
         # A list goes on while members outside one class remain; its pivots have met all members.
-        open_ = rest.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi")
-        new = cut(rest.join(open_.select("key"), "key", "left_semi"), "op2keys")
+        open_ = (rest.groupBy("key").agg(F.min("cls").alias("first"), F.max("cls").alias("final"),
+                                         F.min("n").alias("lo"), F.max("rem").alias("most"))
+                 .filter("first <> final").select("key", "lo", "most"))
+        new = cut(rest.join(open_, "key").filter(_reaches("least(rem, most)", "lo", percent))
+                  .select("key", "doc_id", "n", "rem", "cls"), "op2keys")
         drop_cut(keys)
         keys, turn = new, turn + 1
         release(spark)
