@@ -288,6 +288,10 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
     lists = _distinct_lists(single, percent)
     keys = cut(lists.unionByName(_distinct_lists(subsets, percent)).withColumn("cls", F.col("doc_id")), "op2keys")
     release(spark)
+    # Only sets in some list are compared; the rest need not be moved again.
+    pool = cut(sets.join(keys.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "sh"), "op2pool")
+    drop_cut(sets)
+    release(spark)
     links, turn = None, 0
     while keys.limit(1).count():
         # One pivot per slot of a list. Slots hash classes and documents by turns: unlike classes get a pivot
@@ -298,11 +302,14 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
                                    F.col("rem"), F.col("cls").alias("c"))).alias("p"))
                .groupBy("key").agg(F.collect_list("p").alias("ps")))
         met = keys.join(top.select("key", F.explode("ps").alias("p")), "key")
-        pairs = (met.filter("doc_id <> p.d and cls <> p.c")
+        pairs = cut(met.filter("doc_id <> p.d and cls <> p.c")
                  .filter(_reaches("least(rem, p.rem)", "p.n", percent))
-                 .select(F.least("doc_id", "p.d").alias("a"), F.greatest("doc_id", "p.d").alias("b")).distinct())
-        sa = sets.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa"))
-        sb = sets.select(F.col("doc_id").alias("b"), F.col("sh").alias("sb"))
+                 .select(F.least("doc_id", "p.d").alias("a"), F.greatest("doc_id", "p.d").alias("b")).distinct(),
+                    "op2pairs")
+        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+        here = pool.join(ids, "doc_id", "left_semi")  # few in late rounds: then the pool stays where it is
+        sa = here.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa"))
+        sb = here.select(F.col("doc_id").alias("b"), F.col("sh").alias("sb"))
         found = cut(pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
                     .mapInArrow(_overlaps(percent), "a long, b long"), "op2links")
         links = found if links is None else links.unionByName(found)
@@ -320,9 +327,11 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
         new = cut(rest.join(open_, "key").filter(_reaches("least(rem, most)", "lo", percent))
                   .select("key", "doc_id", "n", "rem", "cls"), "op2keys")
         drop_cut(keys)
+        drop_cut(pairs)
         keys, turn = new, turn + 1
         release(spark)
-    drop_cut(ranked)
+    for spent in (keys, pool, ranked):
+        drop_cut(spent)
     return links if links is not None else spark.createDataFrame([], "a long, b long")
 
 
