@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,27 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Spark's own Bloom filters before a shuffle join: of at most 8 MB, whatever the join's sides hold.
+BLOOM = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1t",
+         "expectedNumItems": "4000000", "numBits": str(1 << 26)}
+#: Spark builds a filter only from a filtered side; this one holds for every id.
+ANY_ID = f"doc_id >= {-2 ** 63}"
+
+
+@contextmanager
+def bloom_joins(spark: SparkSession):
+    """Semi joins written inside drop most rows without a partner before they are shuffled; a full filter drops none."""
+    keys = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in BLOOM.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b); component = smallest node reachable.
 

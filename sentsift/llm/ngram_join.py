@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentsift.llm.common import ascii_lower, components, cut, drop_cut, release, word_hashes
+from sentsift.llm.common import ANY_ID, ascii_lower, bloom_joins, components, cut, drop_cut, release, word_hashes
 
 WIDTH = 5
 PERCENT = 75
@@ -227,9 +227,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 .filter(f"coalesce(met, 0) >= q - n + ceil({percent} * n / 100)").select("doc_id"), "op2alive")
     drop_cut(sig)
     release(spark)
-    sets = cut(base.join(alive, "doc_id", "left_semi")
-               .select("doc_id", word_hashes(ascii_lower(F.col("text"))).alias("wh"))
-               .mapInArrow(_sets(width), "doc_id long, n long, sh array<long>"), "op2sets")
+    with bloom_joins(spark):  # whole texts of documents that left are not shuffled
+        sets = cut(base.join(alive.filter(ANY_ID), "doc_id", "left_semi")
+                   .select("doc_id", word_hashes(ascii_lower(F.col("text"))).alias("wh"))
+                   .mapInArrow(_sets(width), "doc_id long, n long, sh array<long>"), "op2sets")
     release(spark)
     links = _join(sets, percent)
     return member, links
@@ -289,7 +290,9 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
     keys = cut(lists.unionByName(_distinct_lists(subsets, percent)).withColumn("cls", F.col("doc_id")), "op2keys")
     release(spark)
     # Only sets in some list are compared; the rest need not be moved again.
-    pool = cut(sets.join(keys.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "sh"), "op2pool")
+    with bloom_joins(spark):
+        pool = cut(sets.join(keys.select("doc_id").filter(ANY_ID), "doc_id", "left_semi").select("doc_id", "sh"),
+                   "op2pool")
     drop_cut(sets)
     release(spark)
     links, turn = None, 0
@@ -303,8 +306,8 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
                .groupBy("key").agg(F.collect_list("p").alias("ps")))
         met = keys.join(top.select("key", F.explode("ps").alias("p")), "key")
         pairs = cut(met.filter("doc_id <> p.d and cls <> p.c")
-                 .filter(_reaches("least(rem, p.rem)", "p.n", percent))
-                 .select(F.least("doc_id", "p.d").alias("a"), F.greatest("doc_id", "p.d").alias("b")).distinct(),
+                    .filter(_reaches("least(rem, p.rem)", "p.n", percent))
+                    .select(F.least("doc_id", "p.d").alias("a"), F.greatest("doc_id", "p.d").alias("b")).distinct(),
                     "op2pairs")
         ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
         here = pool.join(ids, "doc_id", "left_semi")  # few in late rounds: then the pool stays where it is
