@@ -65,7 +65,7 @@ def expand_contractions(c, mapping: dict[str, str] | None = None) -> Column:
     Every key holds an apostrophe, so a text without one (after the quote
     mapping) is returned as is without splitting it — same result, no work.
     """
-    mapping = fv.contraction_map() if mapping is None else mapping
+    mapping = fv.CONTRACTIONS if mapping is None else mapping
     c = _col(c)
     for q in fv.QUOTE_VARIANTS:
         c = F.replace(c, F.lit(q), F.lit("'"))

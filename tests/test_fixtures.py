@@ -35,8 +35,14 @@ def test_f2_replace_urls(spark, text, expected):
 
 def test_f3_expand_contractions(spark):
     out = one(spark, "They’re late, I can't").select(tx.expand_contractions("t").alias("o")).first()["o"]
-    # Rule-built table: the enumerated table's "They' are" typo is not reproduced.
-    assert out == "They are late, I cannot"
+    assert out == "They' are late, I cannot"  # the fixture's value, with the table's typo
+
+
+def test_expand_every_contraction(spark):
+    """Every key alone, and case that is not listed stays."""
+    rows = [(k, v) for k, v in tx.fv.CONTRACTIONS.items()] + [("CoULDN'T", "CoULDN'T"), ("he've", "he've")]
+    out = spark.createDataFrame(rows, "t string, v string").select(tx.expand_contractions("t").alias("o"), "v")
+    assert len(rows) == 198 and out.filter("o <> v").count() == 0
 
 
 @pytest.mark.parametrize("text,expected", [
