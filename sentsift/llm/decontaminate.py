@@ -9,9 +9,12 @@
    that the frequent words of the leading directions do not drown the rest.
 4. Candidate search: cosine of every window, three sizes with half overlap, to every item of its size class, in blocks
    of items; windows are differences of running sums, so a text is read once whatever the window sizes. Items of
-   which a text lacks so many words that step 5 must fail are not searched in it.
+   which a text lacks so many words that step 5 must fail are not searched in it. Beside it, stretches of ``SEED_WORDS`` words
+   (fewer for short items) that stand in the item too: a verbatim excerpt long enough for step 5 holds one, however
+   little its surroundings resemble the item. Pairs found that way may have a cosine below the threshold.
 5. A candidate is confirmed on its stretch of the text: the longest common subsequence must cover ``LCS_SHARE`` of
-   the item's words and ``ANSWER_SHARE`` of its answer's words (the answer column, or the last quarter of the item).
+   the item's words and, if the benchmark has an answer column, ``ANSWER_SHARE`` of the answer's words; ``answer`` is null
+   without one.
 
 Edge cases: null and empty texts and items match nothing; items under ``MIN_ITEM`` words are left out, as any text holds
 their words by chance; copies are all found; texts of any length are searched whole; null ids are kept apart by
@@ -32,10 +35,12 @@ from sentsift.llm.common import cut
 TERM_BITS, RANK, OVERSAMPLE, PASSAGE = 14, 48, 8, 32
 SIZES = (16, 32, 56)  # windows for items under 24, under 48, and longer
 COSINE, LCS_SHARE, ANSWER_SHARE, MIN_ITEM = 0.4, 0.6, 0.5, 8
+SEED_WORDS = 8
 ITEM_BLOCK = 2048
 STEP = 16_384  # words whose vectors are added up at a time
 CELLS = 1 << 22  # item by word table of the search
 SEED = 11
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 FOUND = "doc_id long, item_id long, cosine double, lcs double, answer double, at int"
 
 
@@ -209,10 +214,55 @@ def _enough(terms, rows, items, start, stop, may, has, length):
     return rows[keep], items[keep]
 
 
+def _grams(flat: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hash of every stretch of k words."""
+    x = flat.astype(np.int64).view(np.uint64)
+    n = max(0, len(x) - k + 1)
+    h = x[:n].copy()
+    for j in range(1, k):
+        h = h * _MULT + x[j: n + j]
+    return (h ^ (h >> np.uint64(31))) * _MULT
+
+
+def _seed_tables(items) -> list[tuple]:
+    """Per stretch length k: sorted hashes of the items' stretches, their item and place, and a table of leading bits."""
+    by_k: dict[int, list] = {}
+    for r, (_, w, _) in enumerate(items):
+        by_k.setdefault(min(SEED_WORDS, int(np.ceil(LCS_SHARE * len(w) - 1e-9))), []).append((r, np.asarray(w, np.int32)))
+    out = []
+    for k, own in sorted(by_k.items()):
+        grams = [_grams(w, k) for _, w in own]
+        h = np.concatenate(grams)
+        row = np.repeat([r for r, _ in own], [len(g) for g in grams])
+        place = np.concatenate([np.arange(len(g)) for g in grams])
+        order = np.argsort(h, kind="stable")
+        lead = np.zeros(1 << 18, bool)
+        lead[h >> np.uint64(46)] = True
+        out.append((k, h[order], row[order], place[order], lead))
+    return out
+
+
+def _seeded(tables, offsets: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Distinct (text, item row, place in the text where the item would begin) of equal stretches."""
+    out = [np.zeros((0, 3), np.int64)]
+    for k, h, row, place, lead in tables:
+        g = _grams(flat, k)
+        at = np.flatnonzero(lead[g >> np.uint64(46)])
+        d = np.searchsorted(offsets, at, "right") - 1
+        inside = at + k <= offsets[d + 1]
+        at, d = at[inside], d[inside]
+        lo, hi = np.searchsorted(h, g[at], "left"), np.searchsorted(h, g[at], "right")
+        n = hi - lo
+        hit = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out.append(np.unique(np.stack([np.repeat(d, n), row[hit], np.repeat(at - offsets[d], n) - place[hit]], axis=1), axis=0))
+    return np.concatenate(out)
+
+
 def _search(space, items, threshold: float):
     """items: (item_id, word hashes, answer hashes)."""
     def run(batches):
         s = space.value
+        tables = _seed_tables(items.value)
         classes = []
         for k, size in enumerate(SIZES):
             lo, hi = (0, 24, 48)[k], (24, 48, 1 << 30)[k]
@@ -237,9 +287,9 @@ def _search(space, items, threshold: float):
                 share = lcs(w.tolist(), near) / len(w)
                 if share < LCS_SHARE:
                     return
-                said = lcs(answer, near) / len(answer) if answer else 1.0
-                found = (share, float(cosine), said, int(start))
-                if said >= ANSWER_SHARE and found > best.get((d, item), (-1.0,)):
+                said = lcs(answer, near) / len(answer) if answer else None
+                found = (share, float(cosine), -1.0 if said is None else said, int(start))
+                if (said is None or said >= ANSWER_SHARE) and found > best.get((d, item), (-1.0,)):
                     best[d, item] = found
 
             here = np.zeros((1 << TERM_BITS) + 1, bool)
@@ -276,10 +326,18 @@ def _search(space, items, threshold: float):
                         here[around] = False
                         for j in js[fit_here]:
                             confirm(d, words, start[i], stop[i], *own[may[j]], cos[i, j])
+            met = set(best)
+            for d, r, begin in _seeded(tables, offsets, flat).tolist():
+                item, w, answer = items.value[r]
+                if (d, item) in met:
+                    continue
+                w, words = np.asarray(w, np.int32), flat[offsets[d]: offsets[d + 1]]
+                start, stop = max(0, begin), min(begin + len(w), len(words))
+                confirm(d, words, start, stop, item, w, answer, s.embed(_terms(words[start:stop])) @ s.embed(_terms(w)))
             yield pa.RecordBatch.from_arrays([
                 pa.array([ids[d] for d, _ in best], pa.int64()), pa.array([i for _, i in best], pa.int64()),
                 pa.array([f[1] for f in best.values()], pa.float64()), pa.array([f[0] for f in best.values()], pa.float64()),
-                pa.array([f[2] for f in best.values()], pa.float64()), pa.array([f[3] for f in best.values()], pa.int32())],
+                pa.array([None if f[2] < 0 else f[2] for f in best.values()], pa.float64()), pa.array([f[3] for f in best.values()], pa.int32())],
                 names=["doc_id", "item_id", "cosine", "lcs", "answer", "at"])
     return run
 
@@ -292,8 +350,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ids = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), word_ids(F.col(text_col)).alias("ids")), "op10ids")
     space = spark.sparkContext.broadcast(fit_space(ids))  # size fixed by TERM_BITS and RANK
     words = word_ids(F.col(item_text))
-    answer = word_ids(F.col(answer_col)) if answer_col else F.slice(
-        "w", F.size("w") - F.floor(F.size("w") / 4).cast("int") + 1, F.size("w"))
+    answer = word_ids(F.col(answer_col)) if answer_col else F.array().cast("array<int>")
     bench = (benchmark.select(F.col(item_col).cast("long").alias("item"), words.alias("w"),
                               *([F.col(answer_col)] if answer_col else []))
              .filter(f"item is not null and size(w) >= {MIN_ITEM}").select("item", "w", answer.alias("a")))

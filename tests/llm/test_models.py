@@ -77,6 +77,25 @@ def test_decontamination(spark, labelled):
     assert len(got - want) <= 1 + len(want) // 100
 
 
+def test_decontamination_without_the_tail(spark, labelled):
+    docs, _ = labelled
+    bench = read(spark, SF, "benchmark")
+    items = [(r.item_id, r.text.split()) for r in bench.orderBy("item_id").collect() if len(r.text.split()) >= 32][:6]
+    planted, want = [], set()
+    for k, (i, w) in enumerate(items):
+        head = w[: -(-len(w) * 17 // 20)]
+        reworded = w[: len(w) * 3 // 4] + [f"other{j}" for j in range(len(w) - len(w) * 3 // 4)]
+        for j, text in enumerate((head, reworded, w[: -(-len(w) * 7 // 10)])):
+            planted.append((991000 + 10 * k + j, " ".join(["before"] * 30 + text + ["after"] * 30)))
+            want.add((991000 + 10 * k + j, i))
+    odd = spark.createDataFrame(planted, "doc_id long, text string")
+    out = decontaminate.contamination(docs.select("doc_id", "text").unionByName(odd), bench).filter("doc_id >= 991000").collect()
+    assert want <= {(r.doc_id, r.item_id) for r in out}
+    assert all(r.answer is None for r in out)
+    told = bench.withColumn("told", F.lit("words that no document has"))
+    assert not decontaminate.contamination(odd, told, answer_col="told").count()
+
+
 def test_decontamination_empty(spark, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
