@@ -16,8 +16,8 @@
    the item's words and, if the benchmark has an answer column, ``ANSWER_SHARE`` of the answer's words; ``answer`` is null
    without one.
 
-Edge cases: null and empty texts and items match nothing; items under ``MIN_ITEM`` words are left out, as any text holds
-their words by chance; copies are all found; texts of any length are searched whole; null ids are kept apart by
+Edge cases: null and empty texts and items match nothing; items under ``SHORT_ITEM`` words must stand in the text whole and
+in one piece, as any text holds most of their words by chance; copies are all found; texts of any length are searched whole; null ids are kept apart by
 row and never dropped by ``drop_contaminated``; extra columns are kept; empty tables give an empty result.
 """
 
@@ -34,7 +34,7 @@ from sentsift.llm.common import cut
 
 TERM_BITS, RANK, OVERSAMPLE, PASSAGE = 14, 48, 8, 32
 SIZES = (16, 32, 56)  # windows for items under 24, under 48, and longer
-COSINE, LCS_SHARE, ANSWER_SHARE, MIN_ITEM = 0.4, 0.6, 0.5, 8
+COSINE, LCS_SHARE, ANSWER_SHARE, SHORT_ITEM = 0.4, 0.6, 0.5, 8
 SEED_WORDS = 8
 ITEM_BLOCK = 2048
 STEP = 16_384  # words whose vectors are added up at a time
@@ -228,7 +228,8 @@ def _seed_tables(items) -> list[tuple]:
     """Per stretch length k: sorted hashes of the items' stretches, their item and place, and a table of leading bits."""
     by_k: dict[int, list] = {}
     for r, (_, w, _) in enumerate(items):
-        by_k.setdefault(min(SEED_WORDS, int(np.ceil(LCS_SHARE * len(w) - 1e-9))), []).append((r, np.asarray(w, np.int32)))
+        k = len(w) if len(w) < SHORT_ITEM else min(SEED_WORDS, int(np.ceil(LCS_SHARE * len(w) - 1e-9)))
+        by_k.setdefault(k, []).append((r, np.asarray(w, np.int32)))
     out = []
     for k, own in sorted(by_k.items()):
         grams = [_grams(w, k) for _, w in own]
@@ -266,7 +267,7 @@ def _search(space, items, threshold: float):
         classes = []
         for k, size in enumerate(SIZES):
             lo, hi = (0, 24, 48)[k], (24, 48, 1 << 30)[k]
-            own = [(i, np.asarray(w, np.int32), list(a)) for i, w, a in items.value if lo <= len(w) < hi]
+            own = [(i, np.asarray(w, np.int32), list(a)) for i, w, a in items.value if max(lo, SHORT_ITEM) <= len(w) < hi]
             if own:
                 q = np.stack([s.embed(_terms(w)) for _, w, _ in own]).astype(np.float32)
                 longest = max(len(w) for _, w, _ in own)
@@ -283,7 +284,10 @@ def _search(space, items, threshold: float):
             best: dict[tuple, tuple] = {}
 
             def confirm(d, words, start, stop, item, w, answer, cosine):
-                near = words[max(0, start - len(w) // 2): stop + len(w) // 2].tolist()
+                if len(w) < SHORT_ITEM and not np.array_equal(words[start:stop], w):
+                    return
+                half = len(w) // 2 if len(w) >= SHORT_ITEM else len(w) // 2 + len(answer)
+                near = words[max(0, start - half): stop + half].tolist()
                 share = lcs(w.tolist(), near) / len(w)
                 if share < LCS_SHARE:
                     return
@@ -295,7 +299,7 @@ def _search(space, items, threshold: float):
             here = np.zeros((1 << TERM_BITS) + 1, bool)
             for d in range(batch.num_rows):
                 words = flat[offsets[d]: offsets[d + 1]]
-                if len(words) < MIN_ITEM:
+                if not len(words):
                     continue
                 present = np.zeros((1 << TERM_BITS) + 1, bool)
                 terms = _terms(words)
@@ -329,7 +333,7 @@ def _search(space, items, threshold: float):
             met = set(best)
             for d, r, begin in _seeded(tables, offsets, flat).tolist():
                 item, w, answer = items.value[r]
-                if (d, item) in met:
+                if (d, item) in met or (d, item) in best and len(w) < SHORT_ITEM and not answer:
                     continue
                 w, words = np.asarray(w, np.int32), flat[offsets[d]: offsets[d + 1]]
                 start, stop = max(0, begin), min(begin + len(w), len(words))
@@ -353,7 +357,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     answer = word_ids(F.col(answer_col)) if answer_col else F.array().cast("array<int>")
     bench = (benchmark.select(F.col(item_col).cast("long").alias("item"), words.alias("w"),
                               *([F.col(answer_col)] if answer_col else []))
-             .filter(f"item is not null and size(w) >= {MIN_ITEM}").select("item", "w", answer.alias("a")))
+             .filter("item is not null and size(w) > 0").select("item", "w", answer.alias("a")))
     # Items are a query set: taken in blocks of bounded size, each against all rows.
     blocks = -(-bench.count() // ITEM_BLOCK)
     out = None

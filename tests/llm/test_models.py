@@ -96,6 +96,20 @@ def test_decontamination_without_the_tail(spark, labelled):
     assert not decontaminate.contamination(odd, told, answer_col="told").count()
 
 
+def test_decontamination_short_items_and_texts(spark):
+    bench = spark.createDataFrame([(1, "Who wrote Faust?"), (2, "What is two plus two"), (3, "how many moons does the planet mars have"),
+                                   (4, None), (5, "..."), (6, "who wrote faust")], "item_id long, text string")
+    texts = [(1, "ask: who wrote FAUST, and when"), (2, "who really wrote faust"), (3, "what is two plus two"),
+             (4, "what is two plus three"), (5, "how many moons does the"), (6, "faust"), (7, None), (8, "two. Who wrote"),
+             (9, "faust what is two plus two two")]
+    rest = [(100 + k, f"filler{k} words{k % 7} of the text{k % 5} number {k}") for k in range(200)]
+    docs = spark.createDataFrame(texts + rest, "doc_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in decontaminate.contamination(docs, bench).collect()]
+    assert sorted(got) == [(1, 1), (1, 6), (3, 2), (5, 3), (9, 2)]
+    kept = {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()}
+    assert kept == {i for i, _ in texts + rest} - {1, 3, 5, 9}
+
+
 def test_decontamination_empty(spark, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
