@@ -9,7 +9,7 @@ small grammar of articles and page furniture.
 Scripts, styles, head, comments and form controls hold no text by definition and never enter the tree.
 
 Edge cases: null and empty html give an empty text; unclosed, misnested and cut off markup is closed at the next
-block; a cut off tag at the end is dropped; a page without any block gives its text if its root is content;
+block; a cut off tag at the end is dropped; text right in html or body is a block of its own between its neighbours;
 repeated rows extract alike; deep trees are walked without recursion; extra columns are kept; an empty table gives an
 empty result.
 """
@@ -41,7 +41,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}}
 TAGS = sorted(BLOCK)
 HASHED = 256
-N_FEATURES = 2 * len(TAGS) + HASHED + 6
+N_FEATURES = 2 * len(TAGS) + HASHED + 10
 
 
 def parse(page: str):
@@ -55,8 +55,14 @@ def parse(page: str):
         nonlocal linked
         if text:
             s = " ".join(entities.unescape("".join(text)).split())
+            at = stack[-1][1]
+            if s and not at:  # text right in the page is a block of its own, named body
+                tags.append("body")
+                parents.append(0)
+                names.append("")
+                at = len(tags) - 1
             if s:
-                runs.append((stack[-1][1], s, linked))
+                runs.append((at, s, linked))
             text.clear()
         linked = 0
 
@@ -146,6 +152,10 @@ def featurize(pages: list[tuple]):
                      (2 * len(TAGS) + HASHED + 5, 1.0 if not whole[i] else 0.0)]
             if i:
                 found.append((len(TAGS) + _TAG_AT[tags[parents[i]]], 1.0))
+            if tags[i] == "body":  # only its text tells what it is
+                found += [(2 * len(TAGS) + HASHED + 6, share), (2 * len(TAGS) + HASHED + 7, min(1.0, np.log1p(whole[i]) / 10)),
+                          (2 * len(TAGS) + HASHED + 8, whole[i] / whole[0] if whole[0] else 0.0),
+                          (2 * len(TAGS) + HASHED + 9, 1.0 if whole[i] > 60 else 0.0)]
             if "=" in names[i]:
                 words = {w.lower() for a in _NAMES.findall(names[i]) for w in _PART.findall("".join(a))}
                 found += [(2 * len(TAGS) + zlib.crc32(w.encode()) % HASHED, 1.0) for w in words]
@@ -212,8 +222,16 @@ SHELLS = ["article", "main", "div class='content'", "div id='content'", "div cla
           "section class='story article'", "article class='post'", "div class='main text'", "article"]
 
 
+#: Short texts that stand right in the body beside the article.
+STRAY = ["<a href='#main'>{t}</a>", "&copy; {t}", "<a href='/a'>{t}</a> | <a href='/b'>{t}</a> | <a href='/c'>{t}</a>", "{t}"]
+BARE = "\x01"  # marks article text right in the body
+
+
 def labelled_pages(count: int = 400, seed: int = 3):
-    """(parsed page, labels of its nodes): furniture is 0, the article's shell and its parts 1."""
+    """(parsed page, labels of its nodes): furniture is 0, the article's shell and its parts 1.
+
+    A quarter of the pages have no shell: their article is text or parts right in the body, and the root is 1.
+    """
     rng = np.random.default_rng(seed)
     word = lambda: "".join(rng.choice(list("aeinorst"), rng.integers(1, 9)))
     text = lambda n: " ".join(word() for _ in range(n))
@@ -229,7 +247,27 @@ def labelled_pages(count: int = 400, seed: int = 3):
     def mark(s, value):
         return re.sub(r"<([a-z][a-z0-9]*)", rf"<\1 data-y{value}", s)
 
+    def bare_text():
+        long = [text(int(rng.choice([5, 15, 30, 80]))) for _ in range(rng.integers(1, 9))]
+        if rng.random() < 0.3:
+            long[-1] += f" <a href='/z'>{text(2)}</a> {text(12)}"
+        return BARE + str(rng.choice(["<br>", "<br><br>", "<br/>\n", " "])).join(long)
+
+    def add(page, root):
+        bare = {i for i, s, _ in page[3] if s.startswith(BARE)}
+        page = (*page[:3], [(i, s.removeprefix(BARE), k) for i, s, k in page[3]])
+        out.append((page, [root] + [int("data-y1" in a or i in bare) for i, a in enumerate(page[2][1:], 1)]))
+
     for _ in range(count):
+        if rng.random() < 0.25:
+            kind = rng.integers(3)  # text only, parts only, both
+            inner = [] if kind == 0 else [mark(fill(p), 1) for p in ["<h1>{t}</h1>"] * int(rng.random() < 0.8) + some(PARTS, 1, 9)]
+            if kind != 1:
+                inner.insert(int(rng.integers(0, len(inner) + 1)), bare_text())
+            around = [mark(fill(f), 0) for f in some(FURNITURE, 0, 4)]
+            after = [mark(fill(f), 0) for f in some(FURNITURE, 0, 3)]
+            add(parse("".join(around + inner + after)), 1)
+            continue
         shell = SHELLS[rng.integers(len(SHELLS))]
         inner = [mark(fill(p), 1) for p in ["<h1>{t}</h1>"] * int(rng.random() < 0.8) + some(PARTS, 1, 9)]
         for f in some(INSIDE, 0, 2):
@@ -239,8 +277,9 @@ def labelled_pages(count: int = 400, seed: int = 3):
             body = mark(f"<div class='{rng.choice(['page', 'wrapper', 'container', 'layout'])}'>", 0) + body + "</div>"
         around = [mark(fill(f), 0) for f in some(FURNITURE, 0, 4)]
         after = [mark(fill(f), 0) for f in some(FURNITURE, 0, 3)]
-        page = parse("".join(around) + body + "".join(after))
-        out.append((page, [0] + [int("data-y1" in a) for a in page[2][1:]]))
+        for f in some(STRAY, 0, 2):
+            (around if rng.random() < 0.5 else after).append(fill(f))
+        add(parse("".join(around) + body + "".join(after)), 0)
     return out
 
 

@@ -137,6 +137,18 @@ def test_html(spark, empty):
     assert html_extract.extract(empty, "text", "main").count() == 0
 
 
+def test_html_text_right_in_the_body():
+    w, pair = html_extract.trained()
+    line = "The river rose for three days before it reached the lower town"
+    nav, foot = "<nav><ul><li><a href='/a'>Home</a></li></ul></nav>", "<footer>&copy; foot</footer>"
+    pages = {f"{line}. {line}.": f"{line}. {line}.",
+             f"<html><body>{line},<br>{line},<br/>{line}.</body></html>": f"{line}, {line}, {line}.",
+             f"<html><body>{nav}{line},<br>{line},<br>{line}.{foot}</body></html>": f"{line}, {line}, {line}.",
+             f"<html><body>{nav}<h1>The river</h1><p>{line}.<p>{line}.</p>{foot}</body></html>": f"The river\n{line}.\n{line}.",
+             f"<body><a href='#m'>Skip</a><article><h1>The river</h1><p>{line}.</p></article>{foot}</body>": f"The river\n{line}."}
+    assert html_extract.extract_batch(list(pages), w, pair) == list(pages.values())
+
+
 def test_html_held_out_pages():
     import numpy as np
     pages = html_extract.labelled_pages(150, seed=91)
