@@ -15,7 +15,8 @@ shingles. An entry carries the overlap that is still possible when its key is th
 pairs, and entries against the smallest set of their list, leave when that is below what the threshold asks. The boundary is the size with the smallest total cost, from grouped sums per size. A list of any length is worked off by
 pivots: all members are verified against the list's pivots, members that turn out connected to a pivot need no
 further comparison with its class, and the number of pivots grows fourfold per round until every list is done. No
-list is cut and no pair is skipped unless its two ends are already known to be connected.
+list is cut and no pair is skipped unless its two ends are already known to be connected. The links found are thus a part
+that spans every component; ``classes(full=True)`` and ``link_counts`` verify all pairs of all lists instead.
 
 Edge cases: null, empty and blank texts have no shingle and link with nothing; fewer than ``width`` words make
 one shingle of the whole sequence; repeated documents share a class; extra columns are ignored; an empty table
@@ -34,6 +35,7 @@ from sentsift.llm.common import ANY_ID, ascii_lower, bloom_joins, components, cu
 WIDTH = 5
 PERCENT = 75
 SHARE = 3
+PAIR_BLOCK = 512  # members of a list on each side of a join piece when all pairs are asked for
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of Fibonacci hashing
 
 
@@ -208,8 +210,11 @@ def boundary(ranked: DataFrame) -> int:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-            percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(membership, links): membership (doc_id, n, rep) of equal-set classes, links (a, b) between representatives."""
+            percent: int = PERCENT, full: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(membership, links): membership (doc_id, n, rep) of equal-set classes, links (a, b) between representatives.
+
+    The links are all there are with ``full``; otherwise a subset of them that spans every component.
+    """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     hashed = base.select("doc_id", word_hashes(ascii_lower(F.col("text"))).alias("wh")).filter("doc_id is not null")
@@ -232,7 +237,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                    .select("doc_id", word_hashes(ascii_lower(F.col("text"))).alias("wh"))
                    .mapInArrow(_sets(width), "doc_id long, n long, sh array<long>"), "op2sets")
     release(spark)
-    links = _join(sets, percent)
+    links = _join(sets, percent, full)
     return member, links
 
 
@@ -272,7 +277,31 @@ def _reaches(rem: str, other: str, percent: int) -> str:
     return f"{100 + percent} * {rem} >= {percent} * (n + {other})"
 
 
-def _join(sets: DataFrame, percent: int) -> DataFrame:
+def _all_pairs(keys: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of members of a list; a long list is joined in pieces of two blocks of members."""
+    sizes = keys.groupBy("key").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("int").alias("blocks"))
+    dealt = keys.select("key", "doc_id", "n", "rem").join(sizes, "key").withColumn(
+        "own", F.expr("cast(pmod(xxhash64(doc_id, 7), blocks) as int)"))
+    left = dealt.select("key", F.col("own").alias("b1"), F.explode(F.expr("sequence(own, blocks - 1)")).alias("b2"),
+                        "doc_id", "n", "rem")
+    right = dealt.select("key", F.explode(F.expr("sequence(0, own)")).alias("b1"), F.col("own").alias("b2"),
+                         F.col("doc_id").alias("d"), F.col("n").alias("dn"), F.col("rem").alias("drem"))
+    return (left.join(right, ["key", "b1", "b2"]).filter("b1 < b2 or doc_id < d")
+            .filter(_reaches("least(rem, drem)", "dn", percent))
+            .select(F.least("doc_id", "d").alias("a"), F.greatest("doc_id", "d").alias("b")).distinct())
+
+
+def _verify(pool: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    here = pool.join(ids, "doc_id", "left_semi")  # few in late rounds: then the pool stays where it is
+    sa = here.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa"))
+    sb = here.select(F.col("doc_id").alias("b"), F.col("sh").alias("sb"))
+    return cut(pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
+               .mapInArrow(_overlaps(percent), "a long, b long"), "op2links")
+
+
+def _join(sets: DataFrame, percent: int, full: bool = False) -> DataFrame:
     spark = sets.sparkSession
     ranked = cut(_rank(sets, percent), "op2rank")
     release(spark)
@@ -295,6 +324,12 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
                    "op2pool")
     drop_cut(sets)
     release(spark)
+    if full:
+        pairs = cut(_all_pairs(keys, percent), "op2pairs")
+        links = _verify(pool, pairs, percent)
+        for spent in (keys, pool, ranked, pairs):
+            drop_cut(spent)
+        return links
     links, turn = None, 0
     while keys.limit(1).count():
         # One pivot per slot of a list. Slots hash classes and documents by turns: unlike classes get a pivot
@@ -309,12 +344,7 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
                     .filter(_reaches("least(rem, p.rem)", "p.n", percent))
                     .select(F.least("doc_id", "p.d").alias("a"), F.greatest("doc_id", "p.d").alias("b")).distinct(),
                     "op2pairs")
-        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        here = pool.join(ids, "doc_id", "left_semi")  # few in late rounds: then the pool stays where it is
-        sa = here.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa"))
-        sb = here.select(F.col("doc_id").alias("b"), F.col("sh").alias("sb"))
-        found = cut(pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-                    .mapInArrow(_overlaps(percent), "a long, b long"), "op2links")
+        found = _verify(pool, pairs, percent)
         links = found if links is None else links.unionByName(found)
         # Classes spread one link per round: equal classes are connected for certain, which is all that is used.
         ends = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -340,7 +370,7 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                percent: int = PERCENT) -> DataFrame:
-    """One row per document: (doc_id, n_shingles, component_id, n_class_links)."""
+    """One row per document: (doc_id, n_shingles, component_id)."""
     member, links = classes(docs, id_col, text_col, width, percent)
     comp = components(links, "op2end").select(F.col("node").alias("rep"), "component")
     out = (member.join(comp, "rep", "left")
@@ -351,6 +381,19 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.unionByName(nulls)
 
 
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                percent: int = PERCENT) -> DataFrame:
+    """One row per document with an id: (doc_id, n_shingles, n_links), the number of documents it links with."""
+    member, links = classes(docs, id_col, text_col, width, percent, full=True)
+    size = member.filter("n > 0").groupBy("rep").agg(F.count("*").alias("size"))
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = (both.join(size.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep"))
+            .agg(F.sum("size").alias("near")))
+    count = F.when(F.col("n") > 0, F.col("size") - 1 + F.coalesce("near", F.lit(0))).otherwise(F.lit(0))
+    return (member.join(size, "rep", "left").join(near, "rep", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), count.cast("long").alias("n_links")))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without the near copies: the smallest id of each component stays (rows with a null id stay)."""
     gone = (ngram_join(docs, id_col, text_col).filter("doc_id <> component_id")

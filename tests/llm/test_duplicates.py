@@ -58,6 +58,22 @@ def test_ngram_join_of_lists_that_need_many_pivots(spark):
     assert got == expected_join(rows)
 
 
+def test_link_counts(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIR_BLOCK", 3)
+    words = [f"w{k}" for k in range(60)]
+    near = [(950000 + k, " ".join(words[:40 + k % 9])) for k in range(18)]
+    every = rows + near
+    sets = {}
+    for i, t in every:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets[i] = {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    links = collections.Counter(a for a in sets for b in sets if a != b and sets[a] and sets[b]
+                                and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame(near, "doc_id long, text string"))
+    got = {r.doc_id: (r.n_shingles, r.n_links) for r in ngram_join.link_counts(more).collect()}
+    assert got == {i: (len(s), links[i]) for i, s in sets.items()}
+
+
 def test_keep_one_and_null_ids(spark):
     d = spark.createDataFrame([(1, "a b c d e f"), (2, "A B c d e f"), (None, "a b c d e f"), (3, "z")], "doc_id long, text string")
     assert sorted(str(r.doc_id) for r in ngram_join.keep_one(d).collect()) == ["1", "3", "None"]
