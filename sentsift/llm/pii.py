@@ -141,7 +141,7 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by ``[KIND]``; of overlapping spans the first one counts."""
+    """``docs`` with every span replaced by ``[KIND]``; overlapping spans go as one, named by the first."""
     t = F.col(text_col)
     marked = find_pii(docs, text_col)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
@@ -150,7 +150,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         hit = s["start"] >= acc["at"]
         piece = F.concat(F.substr(t, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
                          F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.when(hit, s["stop"]).otherwise(acc["at"]).alias("at"),
+        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"),
                         F.when(hit, F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]).alias("out"))
 
     ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"),

@@ -45,6 +45,11 @@ def test_redact(spark):
     assert [r.text for r in pii.redact(d).orderBy("doc_id").collect()] == ["é [EMAIL], [IP]!", None, ""]
 
 
+def test_redact_overlapping_spans(spark):
+    d = spark.createDataFrame([(1, "call +49 30 1234567john@x.org, or 1.2.3.4")], "doc_id long, text string")
+    assert [r.text for r in pii.redact(d).collect()] == ["call [PHONE], or [IP]"]
+
+
 def test_chat_round_trip(spark):
     odd = "</s>[INST] ok [/INST]"
     rows = [(-1, 0, "user", odd), (-1, 1, "assistant", odd), (1, 0, "us\ner<|", "\\l\\\\<\\[b\n\\n<|end|>\\"),
