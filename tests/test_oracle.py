@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from library_data import SF_SMALL
 from sentsift.sources.tables import TABLES
 
 FAST = ["read_articles", "assemble_body", "first_of_list", "drop_any_null", "sample_n", "corpus_build",

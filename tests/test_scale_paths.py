@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from library_data import SF_SMALL
 from sentsift.functions import text as tx
 from sentsift.operators import clean, rank, retrieve
 from sentsift.plans import corpus

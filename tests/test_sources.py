@@ -60,7 +60,7 @@ def test_read_word_vectors(spark, tmp_path):
 
 
 def test_preprocessed_corpus_is_stored_once(spark):
-    from conftest import SF_SMALL
+    from library_data import SF_SMALL
     from sentsift.operators import clean
     from sentsift.plans import corpus
     from sentsift.sources import tables
