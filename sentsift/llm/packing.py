@@ -239,7 +239,7 @@ def level(sizes: list[int], found: list[list[int]], capacity: int) -> list[list[
 
 
 def _packed(capacity: int):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         table = table.sort_by("row")
         rows = table.select(["start", "length", "doc_tokens", "ids"]).to_pylist()
         sizes = [r["length"] for r in rows]
