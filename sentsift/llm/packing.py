@@ -1,8 +1,9 @@
 """Packing of tokenised texts into sequences of one capacity by Karmarkar-Karp multiway differencing.
 
-1. Every text becomes its token ids and an end id. Texts are cut before each space that follows another character;
-   the tokenizer never joins tokens across such a place, so each distinct segment of a batch is encoded once, and the
-   ids are laid out by array operations. Texts with other white space than ASCII's are encoded whole.
+1. Every text becomes its token ids and an end id. Texts are cut before each space that follows another character, and
+   before each sign that follows a letter or digit; the tokenizer never joins tokens across such a place, so each distinct
+   segment of a batch is encoded once, and the ids are laid out by array operations. Texts with other white space than
+   ASCII's or with a special token's string are encoded whole.
 2. As long as a text fills whole sequences, it does so alone. What is left of each text is an item.
 3. Items are dealt at random (by a hash of their row in the stored table) to groups of about ``WINDOWS`` sequences, so no
    task holds more than one group, whatever the lengths, ids or copies of the texts.
@@ -20,8 +21,8 @@ packed like all others, each row by itself; extra columns are not read; an empty
 from __future__ import annotations
 
 import heapq
-import itertools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -31,17 +32,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentsift.llm.common import cut
-from sentsift.llm.segments import pieces_of, space_led
+from sentsift.llm.segments import SegmentStore, cut_between, pieces_of
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 WINDOWS = 128
-MEMO = 700_000  # a worker forgets its segments beyond this number
+BATCH_BYTES = 12 << 20
+MEMO = 1_200_000  # a worker forgets its segments beyond this number
 END = 0
 #: White space that the tokenizer knows beside ASCII's; next to it, a cut could change the tokens.
 OTHER_SPACE = "[\\x1c-\\x1f\\x85\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
+def _joined() -> np.ndarray:
+    """[a, b]: whether byte b may stand in one token after byte a."""
+    b = np.arange(256)
+    space = (b == 32) | (b >= 9) & (b <= 13)
+    word = (b >= 48) & (b < 58) | (b >= 65) & (b < 91) | (b >= 97) & (b < 123)
+    sign = (b > 32) & (b < 127) & ~word
+    return ~(~space[:, None] & space) & ~(word[:, None] & sign)
+
+
+JOINED = _joined()
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -54,50 +68,20 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallel parts
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ends = np.zeros(1, np.int64)  # of each stored segment's ids in ``flat``
-        self.flat = np.zeros(0, np.uint32)
+        self.store = SegmentStore(self._encode, MEMO)
+        special = (re.escape(t.content) for t in self.model.get_added_tokens_decoder().values())
+        self.whole = "|".join([OTHER_SPACE, *special])  # texts with a special token's string are not cut either
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add(self, lists: list[list[int]]) -> np.ndarray:
-        """Numbers of ids put into the store."""
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        first = len(self.ends) - 1
-        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(sizes.sum()))])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        return np.arange(first, first + len(lists))
-
-    def segments(self, texts: list[str]) -> np.ndarray:
-        """Number of each of the different ``texts`` in the store."""
-        if len(self.number) > MEMO:
-            self._clear()
-        new = [t for t in texts if t not in self.number]
-        self.number.update(zip(new, self._add(self._encode(new)).tolist(), strict=True))
-        return np.fromiter(map(self.number.__getitem__, texts), np.int64, len(texts))
-
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the texts of a column; nulls have none."""
         column = column.fill_null("")
-        whole = pc.match_substring_regex(column, OTHER_SPACE).to_numpy(zero_copy_only=False)
-        plain = column if not whole.any() else pc.if_else(pa.array(whole), "", column)
-        at, parts = space_led(plain)
-        coded = parts.dictionary_encode()
-        code = self.segments(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        kept = len(self.ends), len(self.flat)
-        if whole.any():  # texts in one piece stand between the segments of the others and are not kept
-            extra = np.flatnonzero(whole)
-            code = np.insert(code, at[extra], self._add(self._encode(column.filter(pa.array(whole)).to_pylist())))
-            at = at + np.append(0, np.cumsum(whole))
-        n = np.diff(self.ends)[code]
-        ends = np.append(0, np.cumsum(n))
-        out = self.flat[np.arange(ends[-1]) + np.repeat(self.ends[code] - ends[:-1], n)]
-        self.ends, self.flat = self.ends[:kept[0]], self.flat[:kept[1]]
-        return ends[at], out
+        whole = pc.match_substring_regex(column, self.whole).to_numpy(zero_copy_only=False)
+        rest = self._encode(column.filter(pa.array(whole)).to_pylist())
+        at, parts = cut_between(pc.if_else(pa.array(whole), "", column) if len(rest) else column, JOINED)
+        return self.store.lay_out(at, parts, whole, rest)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -114,7 +98,7 @@ def _whole_and_rest(path: str, capacity: int):
     def run(batches):
         encoder = _encoder(path)
         for batch in batches:
-            for part in pieces_of(batch, 1, 4 << 20):
+            for part in pieces_of(batch, 1, BATCH_BYTES):
                 ends, flat = encoder.encode(part.column(1))
                 row, start, length, crc, total, ids = [], [], [], [], [], []
                 for k in range(part.num_rows):

@@ -4,8 +4,9 @@ The search keeps a window: scores and backpointers from the last committed bound
 committed whenever every surviving path runs through one boundary: at once where no piece crosses it, and otherwise
 by following the backpointers of all live ends to their common ancestor, tried once per longest piece.
 
-If no piece holds a space sign after another sign, a word start is always such a boundary, so the ids of a
-space-led segment do not depend on its surroundings; they are kept in a bounded memo per worker.
+Between two characters that stand together in no piece is always such a boundary, so the ids of the stretches in between
+do not depend on their surroundings: a batch is cut there on its bytes, each different stretch is searched once, and the
+ids are laid out by array operations. A bounded store per worker keeps the ids of stretches met before.
 
 Scores come from the model file. A BPE file holds merge ranks instead of log probabilities; they become Zipf
 log probabilities, log(1 / ((rank + 2) H)). Characters without a piece cost the lowest score - 10 and are written as
@@ -20,19 +21,22 @@ outside the vocabulary decode to nothing.
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from sentsift.llm.segments import SegmentStore, cut_between, pieces_of
+
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
-MEMO = 300_000
+BATCH_BYTES = 4 << 20
+MEMO = 800_000  # stretches whose ids a worker keeps
 _END = 0  # trie key of a piece end; other keys are characters
 
 
@@ -70,7 +74,8 @@ class Codec:
         self.v = v
         self.root: dict = {}
         self.longest = 1
-        self.cuts = True
+        #: Whether some piece holds a character that ends in byte a before one that begins with byte b.
+        self.joined = np.zeros((256, 256), bool)
         for i, (p, s, ok) in enumerate(zip(v.pieces, v.scores, v.normal, strict=True)):
             if ok and p:
                 node = self.root
@@ -78,9 +83,10 @@ class Codec:
                     node = node.setdefault(c, {})
                 node[_END] = (i, s)
                 self.longest = max(self.longest, len(p))
-                self.cuts &= SPACE not in p.lstrip(SPACE)
+                for a, b in zip(p, p[1:], strict=False):
+                    self.joined[_bytes(a)[-1], _bytes(b)[0]] = True
         self.cost = min((s for s, ok in zip(v.scores, v.normal, strict=True) if ok), default=0.0) - UNKNOWN_COST
-        self.memo: dict[str, bytes] = {}
+        self.store = SegmentStore(lambda texts: [list(self._ids(t.replace(" ", SPACE))) for t in texts], MEMO)
         raw = {b: bytes([k]) for k, b in enumerate(v.byte_ids)}
         self.bytes = [raw.get(i, p.replace(SPACE, " ").encode() if ok else b"")
                       for i, (p, ok) in enumerate(zip(v.pieces, v.normal, strict=True))]
@@ -149,33 +155,29 @@ class Codec:
             end = start
         return [i for ids in reversed(out) for i in ids]
 
-    def _segment(self, s: str) -> bytes:
-        ids = self.memo.get(s)
-        if ids is None:
-            ids = np.fromiter((i for run in self.stream(s) for i in run), np.int32).tobytes()
-            if len(s) <= 64:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[s] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids as packed 32-bit integers."""
-        if not text:
-            return b""
-        out: list[bytes] = []
+    def _ids(self, s: str):
+        return (i for run in self.stream(s) for i in run)
+
+    def _literal(self, text: str) -> list[int]:
+        """Ids of a text with space signs of its own."""
+        out: list[int] = []
         for k, part in enumerate(text.split(SPACE)):
             s = part.replace(" ", SPACE)
             if k:
-                out.append(np.array(self._spell(SPACE), np.int32).tobytes())
+                out += self._spell(SPACE)
             else:
                 s = SPACE + s
-            if self.cuts:
-                memo, segment = self.memo.get, self._segment
-                out += [memo(w) or segment(w) for w in _SEGMENT.findall(s)]
-            else:
-                out.append(self._segment(s))
-        return b"".join(out)
+            out += self._ids(s)
+        return out
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of the texts of a column; nulls have none."""
+        column = column.fill_null("")
+        whole = pc.match_substring(column, SPACE).to_numpy(zero_copy_only=False)
+        rest = [self._literal(t) for t in column.filter(pa.array(whole)).to_pylist()]
+        led = pc.if_else(pc.or_(pa.array(whole), pc.equal(column, "")), "", pc.binary_join_element_wise(" ", column, ""))
+        at, parts = cut_between(led, self.joined)
+        return self.store.lay_out(at, parts, whole, rest)
 
     def decode(self, ids: list[int]) -> str:
         table, n = self.bytes, len(self.bytes)
@@ -183,7 +185,10 @@ class Codec:
         return text[1:] if text.startswith(" ") else text
 
 
-_SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+def _bytes(c: str) -> bytes:
+    return (" " if c == SPACE else c).encode()
+
+
 _CODECS: dict[int, Codec] = {}
 
 
@@ -209,16 +214,11 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", vocabu
         c = codec(shared.value)
         for batch in batches:
             at = batch.schema.names.index(text_col)
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                texts = part.column(at).to_pylist()
-                packed = [None if t is None else c.encode(t) for t in texts]
-                sizes = np.array([len(p) // 4 if p else 0 for p in packed], np.int32)
-                offsets = np.zeros(len(packed) + 1, np.int32)
-                np.cumsum(sizes, out=offsets[1:])
-                flat = np.frombuffer(b"".join(p for p in packed if p), np.int32)
-                mask = pa.array([t is None for t in texts])
-                yield _append(part, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=mask), out_col)
+            for part in pieces_of(batch, at, BATCH_BYTES):
+                ends, flat = c.encode(part.column(at))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)),
+                                                 mask=part.column(at).is_null())
+                yield _append(part, lists, out_col)
 
     columns = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
     source = docs.select(*columns)

@@ -3,10 +3,12 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sentsift.llm import chat_format, html_extract, pii, sentencepiece
+from sentsift.llm import chat_format, html_extract, pii, segments, sentencepiece
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -111,7 +113,21 @@ def test_sentencepiece_matches_full_viterbi(vocabulary, rows):
             s = "▁" + t[:3000].replace(" ", "▁")
             want = full_viterbi(vocabulary, s)
             assert [x for run in c.stream(s) for x in run] == want
-            assert list(memoryview(c.encode(t[:3000])).cast("i")) == want
+            for _ in range(2):  # searched, then from the store
+                ends, ids = c.encode(pa.array([None, t[:3000], ""], pa.string()))
+                assert ids.tolist() == want and ends.tolist() == [0, 0, len(want), len(want)]
+
+
+def test_sentencepiece_cuts_only_where_no_piece_crosses(vocabulary):
+    c = sentencepiece.Codec(vocabulary)
+    text = " ab, cd\nef  𝒳é汉字x"
+    at, parts = segments.cut_between(pa.array([text]), c.joined)
+    assert "".join(parts.to_pylist()) == text and at.tolist() == [0, len(parts)]
+    ends = np.cumsum([len(p) for p in parts.to_pylist()])[:-1]
+    crossed = {a + b for p in vocabulary.pieces for a, b in zip(p.replace("▁", " "), p.replace("▁", " ")[1:])}
+    assert len(ends) > 4 and not any(text[e - 1:e + 1] in crossed for e in ends)
+    few = sentencepiece.Codec(sentencepiece.Vocabulary(("a", "ab", "▁a b", "b"), (-1.0, -1.5, -1.0, -1.0), (), 0, (True,) * 4))
+    assert few.joined[ord(" "), ord("a")] and few.joined[ord("a"), ord("b")] and not few.joined[ord("b"), ord("a")]
 
 
 def test_sentencepiece_commits_early(vocabulary):
