@@ -195,16 +195,28 @@ def _overlaps(percent: int):
     return run
 
 
+#: Pairs of the rarest shared shingles of a set, as (key, last shingle, shingles from the pair's first on but those before it).
+SUBSETS = ("flatten(transform(pre, (x, i) -> transform(slice(pre, i + 2, size(pre)), (y, k) -> "
+           "struct(xxhash64(x.t, y.t) as key, y as last, s - i - k as rem))))")
+
+
 def boundary(ranked: DataFrame) -> int:
-    """Largest light size: least total of list entries, subsets below it and single shingles above it.
+    """Largest light size: least total of what sets up to it meet in their subsets' lists and larger ones in their shingles'.
 
-    Lists are worked off by pivots, so an entry costs the same in a list of any length.
+    An entry costs the members of its list, itself included. A shingle's list has as many as its document frequency; the
+    lists of subsets are counted, but only up to the largest size that could gain if every subset stood alone.
     """
-    cost = (ranked.groupBy("n").agg(F.sum(F.expr("size(pre) * (size(pre) - 1) / 2")).alias("subsets"),
-                                    F.sum(F.expr("greatest(size(pre) - 1, 0)")).alias("scanned"))
-            .withColumn("gain", F.col("scanned") - F.col("subsets")))
+    cost = ranked.groupBy("n").agg(F.sum(F.expr("aggregate(slice(pre, 1, greatest(size(pre) - 1, 0)), 0L, (a, t) -> a + t.df)"))
+                                   .alias("scanned"), F.sum(F.expr("size(pre) * (size(pre) - 1) / 2")).alias("subsets"))
+    at_best = cost.filter("scanned > subsets").agg(F.max("n")).first()[0]
+    if at_best is None:
+        return 0
+    entries = ranked.filter(F.col("n") <= at_best).select("n", F.explode(F.expr(SUBSETS)).alias("e")).select("n", "e.key")
+    lists = entries.groupBy("key").agg(F.count("*").alias("c"))
+    met = entries.join(lists, "key").groupBy("n").agg(F.sum("c").alias("met"))
     # One row per distinct size; the running total needs its order only.
-    best = (cost.withColumn("total", F.sum("gain").over(Window.orderBy("n")))
+    best = (cost.filter(F.col("n") <= at_best).join(met, "n", "left")
+            .withColumn("total", F.sum(F.col("scanned") - F.coalesce("met", F.lit(0))).over(Window.orderBy("n")))
             .orderBy(F.desc("total"), "n").limit(1).filter("total > 0").select("n").collect())
     return int(best[0][0]) if best else 0
 
@@ -311,9 +323,7 @@ def _join(sets: DataFrame, percent: int, full: bool = False) -> DataFrame:
     single = (ranked.select("doc_id", "n", "s", F.posexplode(F.expr("slice(pre, 1, size(pre) - 1)")).alias("i", "last"))
               .select(F.col("last.t").alias("key"), "last", "doc_id", "n", F.expr(f"n > {small}").alias("heavy"),
                       F.expr("s - i").alias("rem")))
-    subsets = (ranked.filter(f"n <= {small}").select("doc_id", "n", F.explode(F.expr(
-        "flatten(transform(pre, (x, i) -> transform(slice(pre, i + 2, size(pre)), (y, k) -> "
-        "struct(xxhash64(x.t, y.t) as key, y as last, s - i - k as rem))))")).alias("e"))
+    subsets = (ranked.filter(f"n <= {small}").select("doc_id", "n", F.explode(F.expr(SUBSETS)).alias("e"))
         .select("e.key", "e.last", "doc_id", "n", F.lit(True).alias("heavy"), "e.rem"))
     lists = _distinct_lists(single, percent)
     keys = cut(lists.unionByName(_distinct_lists(subsets, percent)).withColumn("cls", F.col("doc_id")), "op2keys")
