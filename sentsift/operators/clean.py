@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,108 +9,67 @@ from sentsift.functions import fixed_values as fv
 from sentsift.functions import text as tx
 
 
-def lemma_table(words: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
+def lemma_table(words: DataFrame, vocabulary: DataFrame | None, exceptions: dict[str, str] | None = None) -> DataFrame:
     """``(word, lemma)`` for every distinct word whose noun lemma differs.
 
-    Candidates are the word itself plus the WordNet-style suffix rules
-    (``fixed_values.NOUN_SUFFIX_RULES``); a candidate counts only if it is in
-    the vocabulary, and the shortest wins (earliest rule on a tie). The
-    vocabulary defaults to the distinct words themselves, i.e. a plural folds
-    to a singular that also occurs in the corpus.
+    ``vocabulary`` (word) holds the known nouns (none: only exceptions apply), ``exceptions`` the irregular plurals (``fixed_values.NOUN_EXCEPTIONS``
+    unless given), which win. Other candidates are the word itself and the WordNet-style suffix rules
+    (``fixed_values.NOUN_SUFFIX_RULES``); they count only if the vocabulary holds them, which one semi-join decides, and
+    the shortest wins (the word itself, then the earliest rule, on a tie). The lemma of a word depends on nothing else.
     """
-    distinct = words.select("word").distinct()
-    same_vocab = vocabulary is None or vocabulary is words
-    vocab = (distinct if same_vocab else vocabulary.select("word").distinct()).select(
-        F.col("word").alias("cand"))
+    exceptions = fv.NOUN_EXCEPTIONS if exceptions is None else exceptions
+    distinct = words.select("word").where(F.col("word") != "").distinct()
+    vocab = (distinct.limit(0) if vocabulary is None else vocabulary).select(F.col("word").alias("cand")).distinct()
     rules = F.array(*[F.struct(F.lit(i).alias("r"), F.lit(suf).alias("suf"), F.lit(rep).alias("rep"))
-                      for i, (suf, rep) in enumerate(fv.NOUN_SUFFIX_RULES)])
+                      for i, (suf, rep) in enumerate([("", ""), *fv.NOUN_SUFFIX_RULES], start=-1)])
     cands = (distinct.select("word", F.explode(rules).alias("x"))
              .where(F.col("word").endswith(F.col("x.suf")))
              .select("word", F.col("x.r").alias("r"),
                      F.concat(F.expr("substring(word, 1, length(word) - length(x.suf))"), F.col("x.rep"))
                      .alias("cand")))
-    hits = cands.join(vocab, "cand", "left_semi")
-    best = hits.groupBy("word").agg(F.min_by("cand", F.struct(F.length("cand"), F.col("r"))).alias("lemma"))
-    # The word itself is a candidate when it is in the vocabulary and wins ties.
-    if same_vocab:
-        out = best.withColumn("_self", F.lit(1))
-    else:
-        self_ok = distinct.join(vocab.select(F.col("cand").alias("word")), "word", "left_semi") \
-            .select("word", F.lit(1).alias("_self"))
-        out = best.join(self_ok, "word", "left")
-    keep = F.when(F.col("_self").isNotNull() & (F.length("word") <= F.length("lemma")), F.col("word")) \
-        .otherwise(F.col("lemma"))
-    return out.select("word", keep.alias("lemma")).where(F.col("lemma") != F.col("word"))
-
-
-def lemmatize(df: DataFrame, key: str, col: str, out: str, vocabulary: DataFrame | None = None,
-              lemmas: DataFrame | None = None) -> DataFrame:
-    """Replace each whitespace word of ``col`` by its lemma, order kept.
-
-    Words are exploded with their position, joined to the lemma table
-    (broadcast when small, else a shuffle join) and re-assembled per row.
-    """
-    words = df.select(key, F.posexplode(tx.split_ws(F.coalesce(F.col(col), F.lit("")))).alias("p", "word"))
-    lemmas = lemma_table(words, vocabulary) if lemmas is None else lemmas
-    mapped = words.join(lemmas, "word", "left").select(key, "p", F.coalesce("lemma", "word").alias("w"))
-    joined = mapped.groupBy(key).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("p", "w"))), lambda x: x["w"]), " ").alias(out))
-    return df.join(joined, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
-
-
-# Largest lemma table applied through a broadcast dictionary; beyond it the
-# words are exploded, joined to the table and re-assembled in order.
-MAX_BROADCAST_LEMMAS = 500_000
+    known = F.create_map(*[F.lit(x) for kv in exceptions.items() for x in kv]) if exceptions else None
+    irregular = F.try_element_at(known, F.col("word")) if exceptions else F.lit(None).cast("string")
+    best = (cands.join(vocab, "cand", "left_semi").groupBy("word")
+            .agg(F.min_by("cand", F.struct(F.length("cand"), F.col("r"))).alias("best")))
+    return (distinct.join(best, "word", "left").select("word", F.coalesce(irregular, "best").alias("lemma"))
+            .where(F.col("lemma") != F.col("word")))
 
 
 def apply_lemmas(df: DataFrame, key: str, cols: dict[str, str], lemmas: DataFrame) -> DataFrame:
-    """Replace the words of each ``cols`` column (input -> output name) by their lemma.
+    """Replace the words of each ``cols`` column (input -> output name) by their lemma; ``key`` is unique.
 
-    A lemma table within ``MAX_BROADCAST_LEMMAS`` rows is broadcast and applied
-    by a pandas UDF (split on whitespace, dictionary lookup, join) — no shuffle
-    of the words. A larger table goes through ``lemmatize`` (explode, join,
-    ordered re-assembly).
+    The distinct words of a row that have a lemma come back to it as one small map, so words travel once per row and
+    text, not once per occurrence, and a frequent word is no hot group.
     """
-    rows = lemmas.limit(MAX_BROADCAST_LEMMAS + 1).collect()   # one pass, bounded
-    if len(rows) > MAX_BROADCAST_LEMMAS:
-        out = df
-        for src, dst in cols.items():
-            out = lemmatize(out, key, src, dst, vocabulary=None, lemmas=lemmas)
-        return out.drop(*cols.keys())
-    from pyspark.sql.functions import pandas_udf
-
-    from sentsift.session import ship_package
-    ship_package(df.sparkSession)
-    table = {r["word"]: r["lemma"] for r in rows}
-    bc = df.sparkSession.sparkContext.broadcast(table)
+    pieces = {src: tx.split_ws(F.coalesce(F.col(src), F.lit(""))) for src in cols}
+    words = df.select(key, F.explode(F.array_distinct(F.concat(*pieces.values()))).alias("word"))
+    maps = (words.join(lemmas, "word").groupBy(key)
+            .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas")))
+    joined = df.join(maps, key, "left")
+    lemma = lambda w: F.coalesce(F.try_element_at("_lemmas", w), w)
+    return joined.select(key, *[F.array_join(F.transform(pieces[src], lemma), " ").alias(dst) for src, dst in cols.items()],
+                         *[c for c in df.columns if c != key and c not in cols])
 
-    @pandas_udf("string")
-    def lemmatize_udf(texts: pd.Series) -> pd.Series:
-        m = bc.value
-        return texts.map(lambda t: " ".join(m.get(w, w) for w in t.split()) if t is not None else "")
 
-    return df.select(key, *[lemmatize_udf(F.col(src)).alias(dst) for src, dst in cols.items()],
-                     *[c for c in df.columns if c != key and c not in cols])
+def lemmatize(df: DataFrame, key: str, col: str, out: str, vocabulary: DataFrame | None = None,
+              lemmas: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``out``: each whitespace word of ``col`` replaced by its lemma, order kept."""
+    if lemmas is None:
+        words = df.select(F.explode(tx.split_ws(F.coalesce(F.col(col), F.lit("")))).alias("word"))
+        lemmas = lemma_table(words, vocabulary)
+    return apply_lemmas(df.withColumn("_text", F.col(col)), key, {"_text": out}, lemmas)
 
 
-def preprocess_corpus(articles: DataFrame, key: str = "doc_id", lemma: bool = True,
+def preprocess_corpus(articles: DataFrame, vocabulary: DataFrame | None = None, key: str = "doc_id", lemma: bool = True,
                       contractions_first: bool = False) -> DataFrame:
-    """Adds ``preprocessed_abstract`` and ``preprocessed_body_text``.
-
-    The cleaned texts are computed once and kept (memory, spilling to disk):
-    they feed both the vocabulary of the lemma table and its application.
-    """
+    """Adds ``preprocessed_abstract`` and ``preprocessed_body_text``; ``vocabulary`` (word): the nouns of ``lemma_table``."""
     df = articles.select(
         key,
         tx.clean_text_no_lemma("abstract", contractions_first).alias("_a"),
         tx.clean_text_no_lemma("body_text", contractions_first).alias("_b"))
     if not lemma:
         return df.select(key, F.col("_a").alias("preprocessed_abstract"), F.col("_b").alias("preprocessed_body_text"))
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    # Cleaned text is words joined by single spaces, so a plain split plus a
-    # row filter (for the empty text) equals the whitespace split.
-    words = (df.select(F.explode(F.split("_a", " ")).alias("word"))
-             .unionByName(df.select(F.explode(F.split("_b", " ")).alias("word")))
-             .where(F.col("word") != ""))
-    lemmas = lemma_table(words, words)
-    return apply_lemmas(df, key, {"_a": "preprocessed_abstract", "_b": "preprocessed_body_text"}, lemmas)
+    df = df.checkpoint()  # cleaned once, read for the words, their lemmas and the result
+    words = df.select(F.explode(F.array_distinct(F.concat(F.split("_a", " "), F.split("_b", " ")))).alias("word"))
+    return apply_lemmas(df, key, {"_a": "preprocessed_abstract", "_b": "preprocessed_body_text"},
+                        lemma_table(words, vocabulary))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentsift.functions import fixed_values as fv
@@ -41,12 +41,18 @@ def schema_profile(df: DataFrame) -> DataFrame:
         "position", "column", "type", "non_null")
 
 
+def _digests(subset: list[str]) -> list[Column]:
+    """128 bits of the values (NULLs equal) in place of the values, which may be whole texts."""
+    return [F.xxhash64(*[F.coalesce(F.md5(F.col(c).cast("string")), F.lit("")) for c in subset]).alias("_x"),
+            F.md5(F.concat_ws(",", *[F.coalesce(F.md5(F.col(c).cast("string")), F.lit("")) for c in subset])).alias("_m")]
+
+
 def duplicate_counts(df: DataFrame, subset: list[str]) -> DataFrame:
     """``(is_duplicate, count)``: rows repeating an earlier row on ``subset``.
 
     NULLs compare equal, as in pandas. Counts only — no row order needed.
     """
-    g = df.groupBy(*subset).count()
+    g = df.groupBy(*_digests(subset)).count()
     row = g.agg(F.sum(F.col("count") - 1).alias("dup"), F.count(F.lit(1)).alias("first"))
     return row.select(F.explode(F.array(
         F.struct(F.lit(True).alias("is_duplicate"), F.col("dup").alias("count")),
@@ -56,13 +62,9 @@ def duplicate_counts(df: DataFrame, subset: list[str]) -> DataFrame:
 
 def duplicate_flags(df: DataFrame, subset: list[str], order: str) -> DataFrame:
     """Row-level flag: True when an earlier row (by ``order``) has the same ``subset``."""
-    keys = [f"_k{i}" for i in range(len(subset))]
-    first = df.groupBy(*[F.col(c).alias(k) for c, k in zip(subset, keys)]).agg(F.min(order).alias("_first"))
-    cond = None
-    for c, k in zip(subset, keys):
-        e = F.col(c).eqNullSafe(F.col(k))
-        cond = e if cond is None else cond & e
-    return df.join(first, cond).select(*df.columns, (F.col(order) != F.col("_first")).alias("is_duplicate"))
+    marked = df.select("*", *_digests(subset))
+    first = marked.groupBy("_x", "_m").agg(F.min(order).alias("_first"))
+    return marked.join(first, ["_x", "_m"]).select(*df.columns, (F.col(order) != F.col("_first")).alias("is_duplicate"))
 
 
 def distinct_in_order(df: DataFrame, col: str, order: str) -> DataFrame:
@@ -104,19 +106,56 @@ def date_extremes(df: DataFrame, col: str) -> DataFrame:
         F.count(F.lit(1)).alias("distinct_values"))
 
 
-def wordcloud_weights(df: DataFrame, col: str, stopwords=None, max_words: int = fv.WORDCLOUD_MAX_WORDS) -> DataFrame:
-    """Word weights over distinct texts: ``(word, count, weight)``, top ``max_words``.
+def _log_likelihood(k: Column, n: Column, x: Column) -> Column:
+    least = F.lit(1e-10)
+    return F.log(F.greatest(x, least)) * k + F.log(F.greatest(1 - x, least)) * (n - k)
+
+
+def collocation_score(k: Column, a: Column, b: Column, n: Column) -> Column:
+    """Dunning's likelihood ratio of a pair met k times, of words met a and b times among n words."""
+    rest = (b - k) / (n - a)
+    return -2 * (_log_likelihood(k, a, b / n) + _log_likelihood(b - k, n - a, b / n)
+                 - _log_likelihood(k, a, k / a) - _log_likelihood(b - k, n - a, rest))
 
-    Words are ``\\w[\\w']*`` runs, lower-cased; stop words (case-insensitive)
-    and pure digit words are dropped; ``weight = count / max(count)``.
+
+def wordcloud_weights(df: DataFrame, col: str, stopwords=None, max_words: int = fv.WORDCLOUD_MAX_WORDS,
+                      threshold: float = fv.COLLOCATION_THRESHOLD) -> DataFrame:
+    """Word and word pair weights over distinct texts: ``(word, count, weight)``, top ``max_words``.
+
+    Words are ``\\w[\\w']*`` runs, lower-cased, numbers dropped. A plural in ``s`` counts for its singular where that
+    occurs too. Neighbouring words, neither of them a stop word, whose likelihood ratio exceeds ``threshold`` become an
+    entry of their own, and their occurrences leave the counts of the two words. ``weight = count / max(count)``. Equal
+    texts are told by two digests, so no whole text is a shuffle key.
     """
     stops = list(fv.WORDCLOUD_STOPWORDS if stopwords is None else stopwords)
-    words = (df.select(col).where(F.col(col).isNotNull()).distinct()
-             .select(F.explode(F.regexp_extract_all(F.col(col), F.lit(fv.WORDCLOUD_TOKEN), 0)).alias("w"))
-             .select(F.lower(F.regexp_replace("w", "'s$", "")).alias("word"))
-             .where(~F.col("word").isin(*stops) & ~F.col("word").rlike(r"^[0-9]+$")
-                    & (F.col("word") != "")))
-    counts = words.groupBy("word").count()
+    c = F.col(col)
+    found = F.filter(F.transform(F.regexp_extract_all(c, F.lit(fv.WORDCLOUD_TOKEN), 0),
+                                 lambda x: F.lower(F.regexp_replace(x, "'s$", ""))),
+                     lambda x: ~x.rlike("^[0-9]+$") & (x != ""))
+    once = df.where(c.isNotNull()).groupBy(F.md5(c).alias("_m"), F.xxhash64(c).alias("_x")).agg(F.first(found).alias("l"))
+    word = once.select(F.explode("l").alias("word")).where(~F.col("word").isin(*stops)).groupBy("word").agg(F.count("*").alias("c"))
+    singular = word.select(F.col("word").alias("_s"))
+    stem = F.when(F.col("word").endswith("s") & ~F.col("word").endswith("ss"), F.expr("left(word, length(word) - 1)"))
+    std = word.join(singular, stem == F.col("_s"), "left").select("word", "c", F.coalesce("_s", "word").alias("form"))
+    uni = std.groupBy("form").agg(F.sum("c").alias("c"))
+    size = F.size("l")
+    ahead = F.slice("l", 2, F.greatest(size, F.lit(1)))
+    # The last word has no partner and drops out.
+    pairs = (once.select(F.explode(F.arrays_zip(F.col("l").alias("w1"), ahead.alias("w2"))).alias("x")).select("x.w1", "x.w2")
+             .where(F.col("w2").isNotNull() & ~F.col("w1").isin(*stops) & ~F.col("w2").isin(*stops))
+             .groupBy("w1", "w2").agg(F.count("*").alias("k")))
+    as_first = std.select(F.col("word").alias("w1"), F.col("form").alias("f1"))
+    as_second = std.select(F.col("word").alias("w2"), F.col("form").alias("f2"))
+    forms = pairs.join(as_first, "w1").join(as_second, "w2").groupBy("f1", "f2").agg(F.sum("k").alias("k"))
+    total = uni.agg(F.sum("c").cast("double").alias("n")).first()["n"] or 0.0
+    n, k, a, b = F.lit(total), F.col("k").cast("double"), F.col("a").cast("double"), F.col("b").cast("double")
+    col_ = (forms.join(uni.select(F.col("form").alias("f1"), F.col("c").alias("a")), "f1")
+            .join(uni.select(F.col("form").alias("f2"), F.col("c").alias("b")), "f2")
+            .where((n > a) & (n > b)).where(collocation_score(k, a, b, n) > threshold).select("f1", "f2", "k"))
+    used = (col_.select(F.col("f1").alias("form"), "k").unionByName(col_.select(F.col("f2").alias("form"), "k"))
+            .groupBy("form").agg(F.sum("k").alias("k")))
+    counts = (uni.join(used, "form", "left").select(F.col("form").alias("word"), (F.col("c") - F.coalesce("k", F.lit(0))).alias("count"))
+              .unionByName(col_.select(F.concat_ws(" ", "f1", "f2").alias("word"), F.col("k").alias("count"))).where("count > 0"))
     top = counts.orderBy(F.desc("count"), F.asc("word")).limit(max_words)
     # max(count) is the first row of the top list; a window over <= max_words rows.
     from pyspark.sql import Window as W

@@ -1,16 +1,20 @@
 """Document frequency, tf-idf weights, weighted sentence vectors, cosine.
 
-Vectors are ``array<double>``. The expressions here are the set-based form of
-the per-sentence computation; the flagship retrieval (``retrieve.py``) uses
-the same formulas inside a vectorised scoring kernel.
+Vectors are ``array<double>``, or binaries of one byte per component. The expressions here are the set-based form of
+the per-sentence computation; the flagship retrieval (``scoring.py``) uses the same formulas inside vectorised kernels.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sentsift.session import ship_package
+
 # Weight sums with a smaller magnitude count as zero (no vector).
 ZERO_WEIGHT_EPS = 1e-12
 
@@ -36,22 +40,42 @@ def inverse_doc_frequency(n, df) -> Column:
     return F.log(_c(n).cast("double") / (F.coalesce(_c(df), F.lit(0)) + 1))
 
 
-def vocabulary_ranked_vectors(token_rows: DataFrame, embeddings: DataFrame,
-                              tokens_col: str = "tokens") -> DataFrame:
-    """Word vectors for the test tables: tokens ranked by ``(count desc, token)``,
-    rank ``r`` (0-based) takes ``embeddings.vec_id = r``. ``(token, idx, vec)``.
+HASHED_DIM = 64
+
+
+def hashed_vectors(tokens: DataFrame) -> DataFrame:
+    """``(token, vec)`` for every distinct token: ``HASHED_DIM`` components from MD5 digests of the token.
 
-    Only the top ``N`` tokens can get a vector (``N`` = embedding rows), so the
-    rank is computed on a distributed top-N (``TakeOrderedAndProject``) and the
-    numbering runs over those ``N`` rows only.
+    A vector source that needs no file and knows every token. ``vec`` is binary, one byte per component; the component
+    is the byte less 127.5 (see ``matrix``).
     """
-    n = embeddings.count()
-    counts = token_rows.select(F.explode(tokens_col).alias("token")).groupBy("token").count()
-    top = counts.orderBy(F.desc("count"), F.asc("token")).limit(n)
-    ranked = top.withColumn("idx", F.row_number().over(W.orderBy(F.desc("count"), F.asc("token"))) - 1)
-    return ranked.join(embeddings, ranked.idx == embeddings.vec_id).select(
-        "token", ranked.idx.cast("int").alias("idx"),
-        F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    digests = [F.unhex(F.md5(F.concat("token", F.lit(str(k))))) for k in range(HASHED_DIM // 16)]
+    return tokens.filter("token is not null").select("token").distinct().select("token", F.concat(*digests).alias("vec"))
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Rows of a vector column: lists of numbers, or binaries of one byte per component (byte less 127.5)."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if len(column) == 0:
+        return np.zeros((0, 1))
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1) - 127.5
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
+def sums_by_row(row: np.ndarray, weight: np.ndarray, vectors: np.ndarray, at: np.ndarray, n: int,
+                presorted: bool = True, chunk: int = 200_000) -> np.ndarray:
+    """n x dim: sums of ``weight * vectors[at]`` by ``row``, worked off in chunks of entries."""
+    if not presorted:
+        order = np.argsort(row, kind="stable")
+        row, weight, at = row[order], weight[order], at[order]
+    out = np.zeros((n, vectors.shape[1]))
+    for lo in range(0, len(row), chunk):
+        r = row[lo: lo + chunk]
+        first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+        out[r[first]] += np.add.reduceat(weight[lo: lo + chunk, None] * vectors[at[lo: lo + chunk]], first, axis=0)
+    return out
 
 
 def document_frequency(tok: DataFrame, keys: list[str], sent: str = "pos") -> DataFrame:
@@ -68,25 +92,92 @@ def term_frequency(tok: DataFrame, sent_keys: list[str], cnt: str = "cnt") -> Da
     return tok.withColumn("tf", F.col(cnt) / F.sum(cnt).over(w))
 
 
-def weighted_sentence_vector(weighted: DataFrame, keys: list[str], w: str = "w",
-                             vec: str = "vec") -> DataFrame:
-    """``Σ wᵢvᵢ / Σ wᵢ`` per key: ``(*keys, weight_sum, vec)``.
+def weighted_sentence_vector(weighted: DataFrame, keys: list[str], w: str = "w", vec: str = "vec",
+                             combine: bool = True) -> DataFrame:
+    """``sum of w x vec / sum of w`` per key: ``(*keys, weight_sum, vec array<double>)``.
 
-    Rows are one (sentence, token) each, so the collected list is bounded by
-    the distinct tokens of one sentence. The vector is NULL when the weight
-    sum is zero (the reference raises there).
+    Vectors of any source (``matrix``). With ``combine`` every batch sends one packed partial sum per key; without, the
+    rows themselves are dealt by key, which moves less where a key has few rows in a batch and ``vec`` is packed. A task
+    holds one batch and one sum, whatever the number of rows of a key. The vector is NULL when the weight sum is zero (the
+    reference raises there).
     """
-    agg = weighted.groupBy(*keys).agg(
-        F.sum(w).alias("weight_sum"),
-        F.collect_list(F.struct(F.col(w).alias("w"), F.col(vec).alias("v"))).alias("_wv"),
-    )
-    dim = F.size(F.col("_wv")[0]["v"])
-    zeros = F.transform(F.sequence(F.lit(1), dim), lambda i: F.lit(0.0))
-    summed = F.aggregate("_wv", zeros,
-                         lambda acc, x: F.zip_with(acc, x["v"], lambda a, b: a + x["w"] * b))
-    out = F.when(F.abs(F.col("weight_sum")) > ZERO_WEIGHT_EPS,
-                 F.transform(summed, lambda s: s / F.col("weight_sum")))
-    return agg.select(*keys, "weight_sum", out.alias(vec))
+    ship_package(weighted.sparkSession)
+    rows = weighted.select(*keys, F.col(w).cast("double").alias("w"), F.col(vec).alias("vec"))
+    fields = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
+    if combine:
+        rows = rows.mapInArrow(_partial_sums(len(keys)), ", ".join([*fields, "w double", "vec binary"]))
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys) if keys else rows.repartition(1)
+    return dealt.mapInArrow(_final_sums(len(keys), packed=combine),
+                            ", ".join([*fields, "weight_sum double", f"`{vec}` array<double>"]))
+
+
+def _starts(columns: list[pa.Array], n: int) -> np.ndarray:
+    """First row of each run of equal keys."""
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        a, b = c.slice(1), c.slice(0, n - 1)
+        other = pc.fill_null(pc.not_equal(a, b), False)
+        other = pc.or_(other, pc.xor(pc.is_null(a), pc.is_null(b)))
+        new[1:] |= other.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _sum_runs(batch: pa.RecordBatch, n_keys: int, packed: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first rows, weights, sums) of the runs of equal keys of a batch of (keys, w, vec)."""
+    starts = _starts(batch.columns[:n_keys], batch.num_rows)
+    w = batch.column(n_keys).to_numpy(zero_copy_only=False)
+    if packed:
+        vectors = np.frombuffer(b"".join(batch.column(n_keys + 1).to_pylist()), float).reshape(batch.num_rows, -1)
+        return starts, np.add.reduceat(w, starts), np.add.reduceat(vectors, starts, axis=0)
+    vectors = matrix(batch.column(n_keys + 1))
+    run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, batch.num_rows)))
+    return starts, np.add.reduceat(w, starts), sums_by_row(run, w, vectors, np.arange(batch.num_rows), len(starts))
+
+
+def _partial_sums(n_keys: int):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if n_keys:
+                order = [(name, "ascending") for name in batch.schema.names[:n_keys]]
+                batch = batch.take(pc.sort_indices(batch, sort_keys=order))
+            starts, w, sums = _sum_runs(batch, n_keys, packed=False)
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(pa.array(starts)) for c in batch.columns[:n_keys]), pa.array(w),
+                 pa.array([s.tobytes() for s in sums], pa.binary())], names=batch.schema.names)
+    return run
+
+
+def _final_sums(n_keys: int, packed: bool):
+    def out(keys: list[pa.Array], w: np.ndarray, sums: np.ndarray, names: list[str]) -> pa.RecordBatch:
+        good = np.abs(w) > ZERO_WEIGHT_EPS
+        mean = sums / np.where(good, w, 1.0)[:, None]
+        ends = np.arange(len(w) + 1) * sums.shape[1]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(mean.reshape(-1)), mask=pa.array(~good))
+        return pa.RecordBatch.from_arrays([*keys, pa.array(w), lists], names=names)
+
+    def run(batches):
+        held = None  # (keys as a batch of one row, weight, sum) of the run that may go on
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            names = batch.schema.names
+            starts, w, sums = _sum_runs(batch, n_keys, packed)
+            keys = [c.take(pa.array(starts)) for c in batch.columns[:n_keys]]
+            if held is not None:
+                if all(a[0].as_py() == b[0].as_py() for a, b in zip(held[0], keys, strict=True)):
+                    w[0] += held[1]
+                    sums[0] += held[2]
+                else:
+                    yield out(held[0], np.array([held[1]]), held[2][None], names)
+            if len(w) > 1:
+                yield out([k.slice(0, len(w) - 1) for k in keys], w[:-1], sums[:-1], names)
+            held = [k.slice(len(w) - 1) for k in keys], w[-1], sums[-1]
+        if held is not None:
+            yield out(held[0], np.array([held[1]]), held[2][None], names)
+    return run
 
 
 def _c(c) -> Column:

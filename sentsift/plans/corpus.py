@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentsift.functions import text as tx
 from sentsift.operators import clean, retrieve, sentences, vectors
 from sentsift.session import ensure_checkpoint_dir
 from sentsift.sources import files, tables
@@ -13,44 +14,23 @@ from sentsift.sources import files, tables
 
 def sentence_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, pos, sentence, tokens)`` over every article body."""
-    return sentences.sentence_frame(tables.articles(spark, sf_dir).select("doc_id", "body_text"))
+    return sentences.sentence_frame(tables.articles(spark, sf_dir, abstract=False).select("doc_id", "body_text"))
 
 
 def question_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.question_frame(tables.questions(spark, sf_dir))
 
 
-# Vocabularies up to this many vector cells are materialised once on the
-# driver (they are then shipped to tasks anyway); larger ones stay lazy.
-MAX_MATERIALISED_VECTOR_CELLS = 4_000_000
-# One small vocabulary per (application, input folder), like loading a
-# pretrained vector file once per session.
-_VOCAB_MEMO: dict = {}
-
-
 def word_vectors(spark: SparkSession, sf_dir: str, sent_tok: DataFrame | None = None) -> DataFrame:
-    """Word vectors for the test tables (see ``vectors.vocabulary_ranked_vectors``).
-
-    The vocabulary has at most one row per ``embeddings`` row; when that is
-    small it is computed once and kept as a local table, so the size checks
-    and broadcasts downstream do not re-run the corpus ranking.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _VOCAB_MEMO:
-        return _VOCAB_MEMO[key]
+    """``(token, vec)`` for every token of the sentences and the questions (see ``vectors.hashed_vectors``)."""
     sent_tok = sentence_tokens(spark, sf_dir) if sent_tok is None else sent_tok
-    emb = tables.table(spark, sf_dir, "embeddings")
-    wv = vectors.vocabulary_ranked_vectors(sent_tok, emb)
-    first = emb.select(F.size("embedding").alias("d")).first()
-    if first is None or emb.count() * first["d"] > MAX_MATERIALISED_VECTOR_CELLS:
-        return wv
-    local = spark.createDataFrame(wv.toPandas(), "token string, idx int, vec array<double>")
-    _VOCAB_MEMO[key] = local
-    return local
+    tokens = (sent_tok.select(F.explode("tokens").alias("token"))
+              .unionByName(question_tokens(spark, sf_dir).select(F.explode("tokens").alias("token"))))
+    return vectors.hashed_vectors(tokens)
 
 
 def relevant_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The sentence-token table feeds the vocabulary ranking and the scoring;
+    # The sentence-token table feeds the vocabulary and the scoring;
     # keep it (memory, spilling to disk) instead of splitting the corpus twice.
     st = sentence_tokens(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     # Fill the cache once here: otherwise the plan's branches (token rows,
@@ -59,6 +39,12 @@ def relevant_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieve.relevant_sentences(st, question_tokens(spark, sf_dir), word_vectors(spark, sf_dir, st))
 
 
+def nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known nouns of the lemma queries: the cleaned words of ``benchmark``, whatever the documents hold."""
+    text = tx.clean_text_no_lemma(F.col("text"))
+    return tables.table(spark, sf_dir, "benchmark").select(F.explode(tx.split_ws(text)).alias("word")).distinct()
+
+
 def _input_key(spark: SparkSession, path: str) -> str:
     """Identity of an input file: path, size and modification time."""
     import hashlib
@@ -80,4 +66,4 @@ def preprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the next job (so timings and results never depend on an earlier run).
     app = spark.sparkContext.applicationId.replace("/", "_")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/preprocessed-{app}-{key}"
-    return files.reuse_or_build(spark, path, lambda: clean.preprocess_corpus(tables.articles(spark, sf_dir)))
+    return files.reuse_or_build(spark, path, lambda: clean.preprocess_corpus(tables.articles(spark, sf_dir), nouns(spark, sf_dir)), key)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from sentsift.functions import fixed_values as fv
 
+HASHED_DIM = 64  # components of a word vector, each a byte of the token's MD5 digests less 127.5
+
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -103,12 +105,12 @@ def symbol_runs(e: str) -> str:
 ARTICLES = """
 SELECT CAST(doc_id AS VARCHAR) AS cord_uid, doc_id,
        concat_ws(' ', lang, source) AS title,
-       CASE WHEN doc_id % 20 = 0 THEN NULL ELSE text END AS abstract,
+       html AS abstract,
        text AS body_text, source AS journal,
        'author ' || CAST(doc_id % 97 AS VARCHAR) AS authors,
        CAST(CAST(DATE '2020-01-01' + CAST(doc_id % 97 AS INTEGER) AS DATE) AS VARCHAR) AS publish_time,
        'a/' || CAST(doc_id AS VARCHAR) || '.json; b/' || CAST(doc_id AS VARCHAR) || '.json' AS pdf_json_files
-FROM documents
+FROM documents LEFT JOIN pages ON page_id = doc_id
 """
 
 
@@ -120,20 +122,20 @@ def flagship_ctes() -> str:
     """CTEs: sent, senttok, wv, tok, sdf, qcnt, qdf, nsent, sv (sentence vectors),
     qv (article-local question vectors), scores, top5."""
     d = "ZZ"
+    hashed = ", ".join(f"md5(token || '{k}')" for k in range(HASHED_DIM // 16))
     return f"""
 sent AS (
   SELECT doc_id, generate_subscripts(arr, 1) - 1 AS pos, unnest(arr) AS sentence
   FROM (SELECT doc_id, {split_sentences('text')} AS arr FROM documents)),
 senttok AS (SELECT doc_id, pos, sentence, {sentence_tokens('sentence')} AS tokens FROM sent),
 tokall AS (SELECT doc_id, pos, unnest(tokens) AS token FROM senttok),
-vcnt AS (SELECT token, count(*) AS c FROM tokall GROUP BY token),
-ranked AS (SELECT token, row_number() OVER (ORDER BY c DESC, token) - 1 AS r FROM vcnt),
-wv AS (SELECT r.token, list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)) AS vec
-       FROM ranked r JOIN embeddings e ON e.vec_id = r.r),
+q AS (SELECT item_id AS q_id, {sentence_tokens('text')} AS tokens FROM benchmark),
+wh AS (SELECT token, concat({hashed}) AS h FROM (SELECT token FROM tokall UNION SELECT unnest(tokens) FROM q)),
+wv AS (SELECT token, list_transform(range({HASHED_DIM}), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::INT - 127.5::DOUBLE) AS vec
+       FROM wh),
 tok AS (SELECT doc_id, pos, token, count(*) AS cnt FROM tokall WHERE token IN (SELECT token FROM wv)
         GROUP BY doc_id, pos, token),
 sdf AS (SELECT doc_id, token, count(*) AS sdf FROM tok GROUP BY doc_id, token),
-q AS (SELECT item_id AS q_id, {sentence_tokens('text')} AS tokens FROM benchmark),
 nq AS (SELECT count(*) AS nq FROM benchmark),
 qcnt AS (SELECT q_id, token, count(*) AS cnt FROM (SELECT q_id, unnest(tokens) AS token FROM q)
          WHERE token IN (SELECT token FROM wv) GROUP BY q_id, token),
@@ -184,6 +186,10 @@ def rules_values() -> str:
         + ") AS rules(r, suf, rep)"
 
 
+def exceptions_values() -> str:
+    return "(VALUES " + ", ".join(f"({lit(w)}, {lit(x)})" for w, x in fv.NOUN_EXCEPTIONS.items()) + ") AS e(word, lemma)"
+
+
 def preprocess_ctes() -> str:
     """CTEs after ``articles``: cl (cleaned, no lemma), lem (word -> lemma), pre (preprocessed)."""
     return f"""
@@ -193,12 +199,15 @@ cw AS (SELECT doc_id, 'a' AS f, generate_subscripts(arr, 1) AS p, unnest(arr) AS
        UNION ALL
        SELECT doc_id, 'b' AS f, generate_subscripts(arr, 1) AS p, unnest(arr) AS word
        FROM (SELECT doc_id, {split_ws('b')} AS arr FROM cl)),
+nouns AS (SELECT DISTINCT unnest({split_ws(clean_text_no_lemma('text'))}) AS cand FROM benchmark),
 vocab AS (SELECT DISTINCT word FROM cw),
 cands AS (SELECT v.word, rules.r, left(v.word, length(v.word) - length(rules.suf)) || rules.rep AS cand
-          FROM vocab v, {rules_values()} WHERE suffix(v.word, rules.suf)),
+          FROM vocab v, {rules_values()} WHERE suffix(v.word, rules.suf)
+          UNION ALL SELECT word, -1, word FROM vocab),
 best AS (SELECT word, arg_min(cand, length(cand) * 1000 + r) AS lemma
-         FROM cands WHERE cand IN (SELECT word FROM vocab) GROUP BY word),
-lem AS (SELECT word, lemma FROM best WHERE length(lemma) < length(word)),
+         FROM cands WHERE cand IN (SELECT cand FROM nouns) GROUP BY word),
+lem AS (SELECT v.word, coalesce(e.lemma, b.lemma) AS lemma FROM vocab v LEFT JOIN {exceptions_values()} USING (word)
+        LEFT JOIN best b ON b.word = v.word WHERE coalesce(e.lemma, b.lemma) <> v.word),
 pre AS (SELECT cl.doc_id,
           coalesce((SELECT string_agg(coalesce(l.lemma, w.word), ' ' ORDER BY w.p) FROM cw w
                     LEFT JOIN lem l ON l.word = w.word WHERE w.doc_id = cl.doc_id AND w.f = 'a'), '')
@@ -211,11 +220,10 @@ pre AS (SELECT cl.doc_id,
 
 
 def qvec_ctes() -> str:
-    """After flagship CTEs: jq (joined question), qvec (mean word vector, list)."""
+    """After flagship CTEs: qvec (mean word vector of all question tokens, list)."""
     d = "ZZ"
     return f"""
-jq AS (SELECT string_agg(text, ' ' ORDER BY item_id) AS joined FROM benchmark),
-jqt AS (SELECT unnest({sentence_tokens('joined')}) AS token FROM jq),
+jqt AS (SELECT unnest(tokens) AS token FROM q),
 jqd AS (SELECT unnest(vec) AS x, generate_subscripts(vec, 1) AS {d} FROM jqt JOIN wv USING (token)),
 qvec AS (SELECT list(v ORDER BY {d}) AS vec FROM (SELECT {d}, avg(x) AS v FROM jqd GROUP BY {d}))
 """

@@ -210,13 +210,30 @@ def q_preview(spark, sf):
 
 
 def _wordcloud_sql(col: str) -> str:
+    ll = lambda k, n, x: f"(ln(greatest({x}, 1e-10)) * ({k}) + ln(greatest(1 - ({x}), 1e-10)) * (({n}) - ({k})))"
+    score = (f"-2 * ({ll('k', 'a', 'b / n')} + {ll('b - k', 'n - a', 'b / n')}"
+             f" - {ll('k', 'a', 'k / a')} - {ll('b - k', 'n - a', '(b - k) / (n - a)')})")
     return A(f"""
-, w AS (SELECT lower(regexp_replace(unnest(regexp_extract_all(t, {O.lit(fv.WORDCLOUD_TOKEN)})), '''s$', '')) AS word
-        FROM (SELECT DISTINCT {col} AS t FROM articles WHERE {col} IS NOT NULL)),
-c AS (SELECT word, count(*) AS count FROM w
-      WHERE NOT list_contains({O.WC_STOPS}, word) AND NOT regexp_matches(word, '^[0-9]+$') AND word <> ''
-      GROUP BY word ORDER BY count DESC, word LIMIT {fv.WORDCLOUD_MAX_WORDS})
-SELECT word, count, count / max(count) OVER () AS weight FROM c""")
+, ws AS (SELECT list_filter(list_transform(regexp_extract_all(t, {O.lit(fv.WORDCLOUD_TOKEN)}),
+           lambda x: lower(regexp_replace(x, '''s$', ''))), lambda x: NOT regexp_matches(x, '^[0-9]+$') AND x <> '') AS l
+         FROM (SELECT DISTINCT {col} AS t FROM articles WHERE {col} IS NOT NULL)),
+w AS (SELECT word, count(*) AS c FROM (SELECT unnest(l) AS word FROM ws)
+      WHERE NOT list_contains({O.WC_STOPS}, word) GROUP BY word),
+std AS (SELECT w.word, w.c, coalesce(s.word, w.word) AS form FROM w LEFT JOIN w s
+        ON w.word LIKE '%s' AND w.word NOT LIKE '%ss' AND s.word = left(w.word, length(w.word) - 1)),
+uni AS (SELECT form AS word, sum(c) AS c FROM std GROUP BY form),
+pr AS (SELECT x[1] AS w1, x[2] AS w2, count(*) AS k FROM (
+         SELECT unnest(list_transform(range(1, len(l)), lambda i: [l[i], l[i + 1]])) AS x FROM ws)
+       WHERE NOT list_contains({O.WC_STOPS}, x[1]) AND NOT list_contains({O.WC_STOPS}, x[2]) GROUP BY ALL),
+pf AS (SELECT a.form AS f1, b.form AS f2, sum(k) AS k FROM pr JOIN std a ON a.word = w1 JOIN std b ON b.word = w2 GROUP BY ALL),
+sc AS (SELECT f1, f2, k::DOUBLE AS k, a.c::DOUBLE AS a, b.c::DOUBLE AS b, (SELECT sum(c) FROM uni)::DOUBLE AS n
+       FROM pf JOIN uni a ON a.word = f1 JOIN uni b ON b.word = f2),
+col AS (SELECT f1, f2, k::BIGINT AS k FROM sc WHERE n > a AND n > b AND {score} > {fv.COLLOCATION_THRESHOLD}),
+used AS (SELECT word, sum(k) AS k FROM (SELECT f1 AS word, k FROM col UNION ALL SELECT f2, k FROM col) GROUP BY word),
+c AS (SELECT * FROM (SELECT uni.word, uni.c - coalesce(used.k, 0) AS count FROM uni LEFT JOIN used USING (word)
+                     UNION ALL SELECT f1 || ' ' || f2, k FROM col) WHERE count > 0
+      ORDER BY count DESC, word LIMIT {fv.WORDCLOUD_MAX_WORDS})
+SELECT word, count::BIGINT AS count, count / max(count) OVER () AS weight FROM c""")
 
 
 for _c in ["abstract", "title", "body_text"]:
@@ -299,7 +316,7 @@ def q_lemma_table(spark, sf):
     c = a.select(tx.clean_text_no_lemma("abstract").alias("a"), tx.clean_text_no_lemma("body_text").alias("b"))
     words = (c.select(F.explode(tx.split_ws("a")).alias("word"))
              .unionByName(c.select(F.explode(tx.split_ws("b")).alias("word"))))
-    return cleaning.lemma_table(words, words)
+    return cleaning.lemma_table(words, corpus.nouns(spark, sf))
 
 
 def _ngram_clean_sql(col: str, n: int) -> str:
@@ -361,10 +378,14 @@ def q_join_questions(spark, sf):
     return sentences.join_questions(tables.questions(spark, sf))
 
 
-@register("word_vectors", F_sql("SELECT token, CAST(r AS INTEGER) AS idx FROM ranked WHERE r < (SELECT count(*) "
-                                "FROM embeddings)"))
+@register("word_vectors", F_sql("""SELECT wh.token, h AS vec_hex, coalesce(c, 0)::BIGINT AS occurrences
+  FROM wh LEFT JOIN (SELECT token, count(*) AS c FROM tokall GROUP BY token) t USING (token)"""))
 def q_word_vectors(spark, sf):
-    return corpus.word_vectors(spark, sf).select("token", "idx")
+    """The vector of every token, with its number of occurrences in the sentences."""
+    st = corpus.sentence_tokens(spark, sf)
+    n = st.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    return corpus.word_vectors(spark, sf, st).join(n, "token", "left").select(
+        "token", F.lower(F.hex("vec")).alias("vec_hex"), F.coalesce("c", F.lit(0)).alias("occurrences"))
 
 
 @register("document_frequency", F_sql("""
@@ -390,7 +411,9 @@ def q_document_frequency(spark, sf):
 
 @register("sentence_vectors", F_sql(f"""
 SELECT doc_id, pos, round(wsum, 6) AS weight_sum,
-       CASE WHEN abs(wsum) > {1e-12} THEN round(sqrt(list_dot_product(vec, vec)) / abs(wsum), 6) END AS vec_norm
+       CASE WHEN abs(wsum) > {1e-12} THEN round(sqrt(list_dot_product(vec, vec)) / abs(wsum), 6) END AS vec_norm,
+       CASE WHEN abs(wsum) > {1e-12} AND list_dot_product(vec, vec) > 0 THEN array_to_string(list_transform(vec,
+         lambda x: CAST(round(1e5 * sign(wsum) * x / sqrt(list_dot_product(vec, vec))) AS BIGINT)), ',') END AS direction
 FROM sv"""))
 def q_sentence_vectors(spark, sf):
     """Set-based weighted sentence vectors (the standalone operator chain)."""
@@ -410,8 +433,46 @@ def q_sentence_vectors(spark, sf):
                                                                       F.col("sdf") + F.coalesce("qdf", F.lit(0))))
          .join(wv.select("token", "vec"), "token"))
     v = vectors.weighted_sentence_vector(w, ["doc_id", "pos"])
+    v = v.withColumn("norm", vectors.norm("vec"))
+    direction = F.array_join(F.transform("vec", lambda x: F.round(1e5 * x / F.col("norm")).cast("long").cast("string")), ",")
     return v.select("doc_id", F.col("pos").cast("long").alias("pos"), F.round("weight_sum", 6).alias("weight_sum"),
-                    F.round(vectors.norm("vec"), 6).alias("vec_norm"))
+                    F.round("norm", 6).alias("vec_norm"), F.when(F.col("norm") > 0, direction).alias("direction"))
+
+
+# Every (article, sentence, question); sentences and questions without a vector score 0.
+ALL_SCORES = """
+, every AS (SELECT s.doc_id, s.pos, q.q_id, coalesce(c.score, 0.0) AS score
+            FROM sent s CROSS JOIN (SELECT q_id FROM q) q LEFT JOIN scores c USING (doc_id, pos, q_id))"""
+
+
+@register("similarity_matrix", F_sql(ALL_SCORES + f"""
+SELECT doc_id, pos, count(*) AS n_questions, count(*) FILTER (WHERE score = 0) AS n_zero, max(score) AS best,
+       min(score) AS worst, CAST(sum(CAST(round(score * 1e{fv.SCORE_DECIMALS}) AS BIGINT)) AS BIGINT) AS total,
+       CAST(sum((q_id + 1) * CAST(round(score * 1e{fv.SCORE_DECIMALS}) AS BIGINT)) AS BIGINT) AS by_question
+FROM every GROUP BY doc_id, pos"""))
+def q_similarity_matrix(spark, sf):
+    """The whole matrix, one row per sentence: sums of its scores in units of the last decimal, plain and by question."""
+    st = corpus.sentence_tokens(spark, sf)
+    m = retrieve.similarity_matrix(st, corpus.question_tokens(spark, sf), corpus.word_vectors(spark, sf, st))
+    unit = F.round(F.col("score") * 10 ** fv.SCORE_DECIMALS).cast("long")
+    return m.groupBy("doc_id", F.col("pos").cast("long").alias("pos")).agg(
+        F.count(F.lit(1)).alias("n_questions"), F.count(F.when(F.col("score") == 0, 1)).alias("n_zero"),
+        F.max("score").alias("best"), F.min("score").alias("worst"), F.sum(unit).alias("total"),
+        F.sum((F.col("q_id") + 1) * unit).alias("by_question"))
+
+
+@register("top5_per_question", F_sql(ALL_SCORES + f"""
+SELECT doc_id, q_id, string_agg(pos || ':' || CAST(round(score * 1e{fv.SCORE_DECIMALS}) AS BIGINT), ',' ORDER BY rn) AS top
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, q_id ORDER BY score DESC, pos) AS rn FROM every)
+WHERE rn <= {fv.TOP_SENTENCES_PER_QUESTION} GROUP BY doc_id, q_id"""))
+def q_top5_per_question(spark, sf):
+    """The true five best sentences of every article for every question, whatever their scores."""
+    st = corpus.sentence_tokens(spark, sf)
+    top = retrieve.relevant_sentence_scores(st, corpus.question_tokens(spark, sf), corpus.word_vectors(spark, sf, st))
+    unit = F.round(F.col("score") * 10 ** fv.SCORE_DECIMALS).cast("long")
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "pos", unit.alias("u"))))
+    return top.groupBy("doc_id", "q_id").agg(F.array_join(F.transform(ranked, lambda x: F.concat(
+        x["pos"].cast("string"), F.lit(":"), x["u"].cast("string"))), ",").alias("top"))
 
 
 @register("relevant_sentences_per_article", F_sql("""
@@ -433,9 +494,7 @@ def q_top_sentences_global(spark, sf):
 def _qvec(spark, sf, st=None):
     st = corpus.sentence_tokens(spark, sf) if st is None else st
     wv = corpus.word_vectors(spark, sf, st)
-    jq = sentences.join_questions(tables.questions(spark, sf))
-    qt = jq.select(tx.sentence_tokens("joined_question").alias("tokens"))
-    return wv, ranking.question_vector(qt, wv)
+    return wv, ranking.question_vector(corpus.question_tokens(spark, sf), wv)
 
 
 QV = F_sql(", " + O.qvec_ctes() + " SELECT 1").replace(" SELECT 1", "")
@@ -545,30 +604,38 @@ from sentsift.operators import models  # noqa: E402
 
 @register("sentence_embedding_model")
 def q_sentence_embedding_model(spark, sf):
-    """Corpus-wide 100-d model; output = its vocabulary with vector norms."""
+    """Corpus-wide 100-d sentence model; output = its vocabulary with vector norms."""
     m = models.sentence_embedding_model(corpus.sentence_tokens(spark, sf))
-    return models.model_vectors(m).select("token", F.round(vectors.norm("vec"), 6).alias("norm"))
+    return m.word_vectors().select("token", F.round(vectors.norm("vec"), 4).alias("norm"))
 
 
 @register("mean_vector_similarity")
 def q_mean_vector_similarity(spark, sf):
-    """Relevant sentences scored by cosine of plain mean vectors of a trained model."""
+    """Relevant sentences scored by cosine of plain mean vectors of the trained sentence model."""
     st = corpus.sentence_tokens(spark, sf)
     m = models.sentence_embedding_model(st)
-    return retrieve.relevant_sentences(st, corpus.question_tokens(spark, sf), models.model_vectors(m),
-                                       weighting="mean")
+    return retrieve.relevant_sentences(st, corpus.question_tokens(spark, sf), m.word_vectors(), weighting="mean")
+
+
+def _nearest_trained(spark, sf, field: str):
+    """The 10 documents nearest the questions: a model of a cleaned field, the questions' text inferred."""
+    pre = _preprocessed(spark, sf).select("doc_id", tx.split_ws(field).alias("tokens"))
+    m = models.document_embedding_model(pre)
+    asked = sentences.join_questions(tables.questions(spark, sf)).select(tx.split_ws(F.lower("joined_question")).alias("tokens"))
+    dv = m.texts.select(F.col("key").cast("long").alias("doc_id"), F.transform("vec", lambda x: x.cast("double")).alias("vec"))
+    return ranking.top_documents(ranking.rank_documents(dv, models.infer_question_vector(m, asked)))
 
 
 @register("document_embedding_model")
 def q_document_embedding_model(spark, sf):
-    """250-d document model on cleaned bodies; the 10 documents nearest the joined question."""
-    pre = _preprocessed(spark, sf).select("doc_id", tx.split_ws("preprocessed_body_text").alias("tokens"))
-    m = models.document_embedding_model(pre)
-    dv = models.transform_documents(m, pre, "doc_id")
-    jq = sentences.join_questions(tables.questions(spark, sf)).select(
-        F.lit(-1).cast("long").alias("doc_id"), tx.split_ws(F.lower("joined_question")).alias("tokens"))
-    qv = models.transform_documents(m, jq, "doc_id").first()["vec"]
-    return ranking.top_documents(ranking.rank_documents(dv, qv))
+    """250-d model of the cleaned bodies, 100 epochs."""
+    return _nearest_trained(spark, sf, "preprocessed_body_text")
+
+
+@register("document_embedding_model_abstract")
+def q_document_embedding_model_abstract(spark, sf):
+    """250-d model of the cleaned abstracts, 100 epochs."""
+    return _nearest_trained(spark, sf, "preprocessed_abstract")
 
 
 @register("embed_documents")
@@ -591,23 +658,19 @@ def q_rank_documents_encoder(spark, sf):
     return ranking.top_documents(ranking.rank_documents(e, qv))
 
 
-ALL_PAIRS_THRESHOLD = 0.4
-
-
 @register("answer_stream", O.flagship_sql())
 def q_answer_stream(spark, sf):
     """Question stream over the ``benchmark`` file, answered per micro-batch."""
     import uuid
 
     from sentsift.session import ensure_checkpoint_dir
-    from sentsift.streaming.answer_stream import answer_stream
+    from sentsift.streaming.answer_stream import answer_stream, latest_answers
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/answer_stream-{uuid.uuid4().hex}"
     st = corpus.sentence_tokens(spark, sf)
-    wv = spark.createDataFrame(corpus.word_vectors(spark, sf, st).select("token", "vec").toPandas())
-    q = answer_stream(spark, sf, st, wv, base + "/out", base + "/ckpt", file_filter="benchmark.parquet")
+    q = answer_stream(spark, sf, st, corpus.word_vectors(spark, sf, st), base + "/out", base + "/ckpt",
+                      file_filter="benchmark.parquet")
     q.awaitTermination()
-    return spark.read.parquet(base + "/out").select("doc_id", "sentence",
-                                                    F.round("score", fv.SCORE_DECIMALS).alias("score"))
+    return latest_answers(spark, base + "/out").select("doc_id", "sentence", F.round("score", fv.SCORE_DECIMALS).alias("score"))
 
 
 # ------------------------------------------------------------- more §2.F items
@@ -635,12 +698,11 @@ def q_question_prefix(spark, sf):
     return sentences.question_prefix(tables.questions(spark, sf), GENERIC_QUESTION)
 
 
-@register("document_tokens", A(f"""SELECT doc_id, len({O.split_ws("lower(coalesce(body_text, ''))")}) AS n_tokens,
-  array_to_string({O.split_ws("lower(coalesce(body_text, ''))")}[1:5], ' ') AS first_tokens FROM articles"""))
+@register("document_tokens", A(f"""SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens
+  FROM (SELECT doc_id, {O.split_ws("lower(coalesce(body_text, ''))")} AS t FROM articles)"""))
 def q_document_tokens(spark, sf):
     d = sentences.document_tokens(tables.articles(spark, sf), "doc_id", "body_text")
-    return d.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"),
-                    F.array_join(F.slice("tokens", 1, 5), " ").alias("first_tokens"))
+    return d.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
 @register("sentence_frame_nested", A(f"""SELECT doc_id, len(s) AS n_sentences,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,9 @@ METADATA_COLUMNS = ["cord_uid", "sha", "source_x", "title", "doi", "pmcid", "pub
 DROPPED_METADATA = ["sha", "source_x", "doi", "pmcid", "pubmed_id", "license", "mag_id",
                     "who_covidence_id", "arxiv_id", "s2_id"]
 
+#: Name of the file that marks a stored table as whole; Spark's readers pass over it.
+MANIFEST = "_sentsift_manifest"
+
 ARTICLE_JSON_SCHEMA = T.StructType([
     T.StructField("paper_id", T.StringType()),
     T.StructField("body_text", T.ArrayType(T.StructType([
@@ -59,10 +62,14 @@ def read_article_json(spark: SparkSession, root: str) -> DataFrame:
     df = (spark.read.schema(ARTICLE_JSON_SCHEMA).option("multiLine", True)
           .option("recursiveFileLookup", True).json(root)
           .select("body_text", F.col("_metadata.file_path").alias("file_path")))
-    prefix = "file:" + os.path.abspath(root).rstrip("/") + "/"
-    rel = F.when(F.col("file_path").startswith(prefix),
-                 F.substring(F.col("file_path"), len(prefix) + 1, 1 << 30)).otherwise(F.col("file_path"))
-    return df.select(F.regexp_replace(rel, "^file:/*", "").alias("json_path"), "body_text")
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(root)
+    place = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place)
+    # Both sides as the file system names them: without scheme and authority, percent-decoded.
+    prefix = place.toUri().getPath().rstrip("/") + "/"
+    path = F.url_decode(F.regexp_replace(F.regexp_replace("file_path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "\\+", "%2B"))
+    return df.select(F.when(path.startswith(prefix), F.substr(path, F.lit(len(prefix) + 1))).otherwise(path)
+                     .alias("json_path"), "body_text")
 
 
 def assemble_body(parts: DataFrame, key: str, pos: str, section: str, text: str) -> DataFrame:
@@ -137,20 +144,33 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.parquet(path)
 
 
-def reuse_or_build(spark: SparkSession, path: str, build) -> DataFrame:
-    """Read a materialised table if present, else build it, write it, read it back.
+def reuse_or_build(spark: SparkSession, path: str, build, identity: str = "") -> DataFrame:
+    """Read a materialised table if present, else build it, commit it, read it back.
 
-    The written table also cuts lineage, so a lost executor re-reads Parquet
-    instead of recomputing the upstream plan.
+    The table is written beside its place, gets a manifest with ``identity`` (of the input and the parameters) and is
+    renamed, so a reader meets a whole table or none; of two writers the first one's table stays. A folder without a
+    manifest, or with another identity, is reported and never overwritten. The written table also cuts lineage.
     """
-    if _exists(spark, path):
-        return spark.read.parquet(path)
-    build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        own = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+        build().write.parquet(own.toString())
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(own, MANIFEST))
+        out.write(bytearray(identity.encode()))
+        out.close()
+        # Some stores rename into an existing folder instead of failing: such a table has lost the race.
+        if not fs.exists(place) and not fs.rename(own, place) and not fs.exists(place):
+            raise OSError(f"{path} could not be committed")
+        fs.delete(own, True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(place, own.getName()), True)
+    manifest = jvm.org.apache.hadoop.fs.Path(place, MANIFEST)
+    if not fs.exists(manifest):
+        raise ValueError(f"{path} exists without a manifest: not a whole table; remove it to build it anew")
+    stream = fs.open(manifest)
+    held = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    if held != identity:
+        raise ValueError(f"{path} was built from other input or parameters ({held!r}, not {identity!r})")
+    return spark.read.parquet(path)

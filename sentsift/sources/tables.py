@@ -38,26 +38,28 @@ def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(table(spark, sf_dir, name))
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article metadata + body built from ``documents``.
+def articles(spark: SparkSession, sf_dir: str, abstract: bool = True) -> DataFrame:
+    """Article metadata + body built from ``documents`` and ``pages``.
 
-    Stand-in for the metadata + JSON-body corpus: ``cord_uid``/``doc_id`` key,
-    ``title`` = language and source, ``abstract`` = the whole text (missing for
-    every 20th article), ``body_text`` = the text, ``journal`` = source, plus
-    derived ``authors``, ``publish_time`` and ``pdf_json_files``.
+    Stand-in for the metadata + JSON-body corpus: ``cord_uid``/``doc_id`` key, ``title`` = language and source,
+    ``abstract`` = the whole page of the same number (missing for articles without one), ``body_text`` = the text,
+    ``journal`` = source, plus derived ``authors``, ``publish_time`` and ``pdf_json_files``. Without ``abstract`` the
+    column is left out, and ``pages`` is not read.
     """
     d = text_table(spark, sf_dir, "documents")
-    sid = d.doc_id.cast("string")
+    if abstract:
+        pages = table(spark, sf_dir, "pages").select(F.col("page_id"), F.col("html").alias("abstract"))
+        d = d.join(pages, d.doc_id == pages.page_id, "left")
+    sid = F.col("doc_id").cast("string")
     return d.select(
         sid.alias("cord_uid"),
-        d.doc_id,
-        F.concat_ws(" ", d.lang, d.source).alias("title"),
-        F.when(d.doc_id % 20 == 0, F.lit(None).cast("string"))
-        .otherwise(d.text).alias("abstract"),
-        d.text.alias("body_text"),
-        d.source.alias("journal"),
-        F.concat(F.lit("author "), (d.doc_id % 97).cast("string")).alias("authors"),
-        F.date_add(F.lit("2020-01-01").cast("date"), (d.doc_id % 97).cast("int"))
+        "doc_id",
+        F.concat_ws(" ", "lang", "source").alias("title"),
+        *(["abstract"] if abstract else []),
+        F.col("text").alias("body_text"),
+        F.col("source").alias("journal"),
+        F.concat(F.lit("author "), (F.col("doc_id") % 97).cast("string")).alias("authors"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 97).cast("int"))
         .cast("string").alias("publish_time"),
         F.concat(F.lit("a/"), sid, F.lit(".json; b/"), sid, F.lit(".json")).alias("pdf_json_files"),
     )

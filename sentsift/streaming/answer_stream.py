@@ -1,9 +1,11 @@
 """Questions as a stream: each micro-batch of questions is answered by the batch scorer.
 
-File source of question rows -> ``foreachBatch`` -> relevant sentences per
-article written to a Parquet table partitioned by ``batch``. Stateless; the
-checkpoint folder makes the stream restartable, and each micro-batch
-overwrites its own partition, so a replayed batch does not duplicate rows.
+File source of question rows -> ``foreachBatch`` -> relevant sentences per article, written to a Parquet table partitioned
+by ``batch``. The weights of every question depend on all questions asked (their number and token frequencies), so the
+questions are kept as a table beside the output, one partition per micro-batch, and every batch answers all of them anew:
+``latest_answers`` is the same however the questions are split into files. The corpus side (sentence tokens and word
+vectors) is stored once and read by every batch. The checkpoint folder makes the stream restartable, and a replayed batch
+overwrites its own partitions.
 """
 
 from __future__ import annotations
@@ -27,15 +29,31 @@ def answer_stream(spark: SparkSession, question_path: str, sentences_tok: DataFr
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     qs = reader.parquet(question_path)
 
+    spark_of = sentences_tok.sparkSession
+    sentences_tok.write.mode("overwrite").parquet(f"{out_path}/corpus/sentences")
+    vocab.write.mode("overwrite").parquet(f"{out_path}/corpus/vectors")
+    stored = spark_of.read.parquet(f"{out_path}/corpus/sentences")
+    known = spark_of.read.parquet(f"{out_path}/corpus/vectors")
+
     def answer(batch: DataFrame, epoch: int) -> None:
-        qtok = sentences.question_frame(batch.select(F.col("item_id").alias("q_id"), F.col("text").alias("question")))
-        if qtok.isEmpty():
-            return
-        rel = retrieve.relevant_sentences(sentences_tok, qtok, vocab)
-        # One folder per micro-batch, overwritten on a retry: a batch re-run
-        # after a failure replaces its own output instead of appending twice.
-        rel.write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
+        new = batch.select(F.col("item_id").alias("q_id"), F.col("text").alias("question"))
+        new.write.mode("overwrite").parquet(f"{out_path}/questions/batch={epoch}")
+        asked = spark.read.parquet(f"{out_path}/questions").where(F.col("batch") <= epoch).drop("batch")
+        rel = retrieve.relevant_sentences(stored, sentences.question_frame(asked), known)
+        rel.write.mode("overwrite").parquet(f"{out_path}/answers/batch={epoch}")
 
     w = qs.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def latest_answers(spark: SparkSession, out_path: str) -> DataFrame:
+    """``(doc_id, sentence, score)`` of the last finished micro-batch: the answers to all questions so far."""
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{out_path}/answers/batch=*/_SUCCESS")
+    found = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(done)
+    epochs = [int(f.getPath().getParent().getName().removeprefix("batch=")) for f in found]
+    schema = "doc_id long, sentence string, score double"
+    if not epochs:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{out_path}/answers/batch={max(epochs)}")

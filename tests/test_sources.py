@@ -66,8 +66,18 @@ def test_preprocessed_corpus_is_stored_once(spark):
     from sentsift.sources import tables
     a = corpus.preprocessed(spark, SF_SMALL)
     b = corpus.preprocessed(spark, SF_SMALL)      # read back from the shared folder
-    fresh = clean.preprocess_corpus(tables.articles(spark, SF_SMALL))
+    fresh = clean.preprocess_corpus(tables.articles(spark, SF_SMALL), corpus.nouns(spark, SF_SMALL))
     rows = lambda df: sorted(tuple(r) for r in df.select(
         "doc_id", "preprocessed_abstract", "preprocessed_body_text").collect())
     assert rows(a) == rows(b) == rows(fresh)
     assert "preprocessed-" in b.inputFiles()[0]
+
+
+def test_article_json_of_escaped_names_and_qualified_roots(spark, tmp_path):
+    root = tmp_path / "json root+1"
+    (root / "a b").mkdir(parents=True)
+    for name in ("a b/x y.json", "a b/50%.json", "a b/p+q.json"):
+        (root / name).write_text(json.dumps({"paper_id": name, "body_text": [{"section": "S", "text": name}]}), encoding="utf-8")
+    for given in (str(root), f"file:{root}", f"file://{root}/"):
+        got = {r.json_path for r in files.read_article_json(spark, given).collect()}
+        assert got == {"a b/x y.json", "a b/50%.json", "a b/p+q.json"}, given
