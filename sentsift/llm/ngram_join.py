@@ -201,22 +201,16 @@ SUBSETS = ("flatten(transform(pre, (x, i) -> transform(slice(pre, i + 2, size(pr
 
 
 def boundary(ranked: DataFrame) -> int:
-    """Largest light size: least total of what sets up to it meet in their subsets' lists and larger ones in their shingles'.
+    """Largest light size: least total of the entries read for subsets of sets up to it and for single shingles above it.
 
-    An entry costs the members of its list, itself included. A shingle's list has as many as its document frequency; the
-    lists of subsets are counted, but only up to the largest size that could gain if every subset stood alone.
+    Pivots grow fourfold per round, so a list of L entries is open, and each entry read, for up to 1 + log4(L) rounds. L is
+    the shingle's document frequency; the list of two rare shingles is taken as done in its first round.
     """
-    cost = ranked.groupBy("n").agg(F.sum(F.expr("aggregate(slice(pre, 1, greatest(size(pre) - 1, 0)), 0L, (a, t) -> a + t.df)"))
-                                   .alias("scanned"), F.sum(F.expr("size(pre) * (size(pre) - 1) / 2")).alias("subsets"))
-    at_best = cost.filter("scanned > subsets").agg(F.max("n")).first()[0]
-    if at_best is None:
-        return 0
-    entries = ranked.filter(F.col("n") <= at_best).select("n", F.explode(F.expr(SUBSETS)).alias("e")).select("n", "e.key")
-    lists = entries.groupBy("key").agg(F.count("*").alias("c"))
-    met = entries.join(lists, "key").groupBy("n").agg(F.sum("c").alias("met"))
+    rounds = "aggregate(slice(pre, 1, greatest(size(pre) - 1, 0)), 0d, (a, t) -> a + 1 + log2(t.df) / 2)"
+    cost = ranked.groupBy("n").agg(F.sum(F.expr(rounds)).alias("scanned"),
+                                   F.sum(F.expr("size(pre) * (size(pre) - 1) / 2")).alias("subsets"))
     # One row per distinct size; the running total needs its order only.
-    best = (cost.filter(F.col("n") <= at_best).join(met, "n", "left")
-            .withColumn("total", F.sum(F.col("scanned") - F.coalesce("met", F.lit(0))).over(Window.orderBy("n")))
+    best = (cost.withColumn("total", F.sum(F.col("scanned") - F.col("subsets")).over(Window.orderBy("n")))
             .orderBy(F.desc("total"), "n").limit(1).filter("total > 0").select("n").collect())
     return int(best[0][0]) if best else 0
 
