@@ -259,6 +259,41 @@ def _seeded(tables, offsets: np.ndarray, flat: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+class _Items:
+    """The items of one size class: their vectors, words, and an inverted list of the rarest words of each.
+
+    An item of which a text holds ``LCS_SHARE`` has at least one of any share above the rest there; so its rarest words, as
+    many as may be missing and one more, lead to every item that can be found.
+    """
+
+    def __init__(self, space: LatentSpace, own: list):
+        self.own = own
+        self.q = np.stack([space.embed(_terms(w)) for _, w, _ in own]).astype(np.float32)
+        self.length = np.array([len(w) for _, w, _ in own])
+        self.least = LCS_SHARE * self.length
+        self.grid = np.full((len(own), int(self.length.max())), 1 << TERM_BITS)  # the last slot is never present
+        self.has = np.zeros((len(own), 1 << TERM_BITS), bool)
+        rarity = np.linalg.norm(space.vectors, axis=1)  # idf
+        term, item = [], []
+        for r, (_, w, _) in enumerate(own):
+            t = _terms(w)
+            self.grid[r, : len(t)] = t
+            self.has[r, t] = True
+            rare = np.unique(t[np.argsort(-rarity[t], kind="stable")][: len(t) - int(np.ceil(self.least[r] - 1e-9)) + 1])
+            term.append(rare)
+            item.append(np.full(len(rare), r))
+        term, item = np.concatenate(term), np.concatenate(item)
+        order = np.argsort(term, kind="stable")
+        self.item = item[order]
+        self.ends = np.searchsorted(term[order], np.arange((1 << TERM_BITS) + 1))
+
+    def possible(self, present: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+        """Numbers of the items of which a text holds enough words; ``distinct``: its terms."""
+        first, size = self.ends[distinct], self.ends[distinct + 1] - self.ends[distinct]
+        some = np.unique(self.item[np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)])
+        return some[present[self.grid[some]].sum(axis=1) >= self.least[some]]
+
+
 def _search(space, items, threshold: float):
     """items: (item_id, word hashes, answer hashes)."""
     def run(batches):
@@ -269,15 +304,7 @@ def _search(space, items, threshold: float):
             lo, hi = (0, 24, 48)[k], (24, 48, 1 << 30)[k]
             own = [(i, np.asarray(w, np.int32), list(a)) for i, w, a in items.value if max(lo, SHORT_ITEM) <= len(w) < hi]
             if own:
-                q = np.stack([s.embed(_terms(w)) for _, w, _ in own]).astype(np.float32)
-                longest = max(len(w) for _, w, _ in own)
-                grid = np.full((len(own), longest), 1 << TERM_BITS)  # the last slot is never present
-                for r, (_, w, _) in enumerate(own):
-                    grid[r, : len(w)] = _terms(w)
-                has = np.zeros((len(own), 1 << TERM_BITS), bool)
-                for r, (_, w, _) in enumerate(own):
-                    has[r, _terms(w)] = True
-                classes.append((size, own, q, grid, has, np.array([len(w) for _, w, _ in own])))
+                classes.append((size, _Items(s, own)))
         for batch in batches:
             offsets, flat = _flat(batch.column(1))
             ids = batch.column(0).to_pylist()
@@ -301,15 +328,16 @@ def _search(space, items, threshold: float):
                 words = flat[offsets[d]: offsets[d + 1]]
                 if not len(words):
                     continue
-                present = np.zeros((1 << TERM_BITS) + 1, bool)
                 terms = _terms(words)
-                present[terms] = True
+                here[terms] = True
+                distinct = np.flatnonzero(here)
+                may_be = [c.possible(here, distinct) for _, c in classes]
+                here[distinct] = False
                 sums = None
-                for size, own, q, grid, has, length in classes:
-                    least = LCS_SHARE * length
-                    may = np.flatnonzero(present[grid].sum(axis=1) >= least)
+                for (size, c), may in zip(classes, may_be, strict=True):
                     if not len(may):
                         continue
+                    own, q, grid, has, length, least = c.own, c.q, c.grid, c.has, c.length, c.least
                     if sums is None:
                         sums = np.zeros((len(words) + 1, RANK), np.float32)
                         np.cumsum(s.vectors[terms], axis=0, out=sums[1:])
