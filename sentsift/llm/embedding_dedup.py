@@ -1,6 +1,6 @@
 """Embedding near-dedup: p-stable hashing in several tables, exact cosine checks in the buckets.
 
-Vectors are normalised in double precision. In each of ``TABLES`` tables a vector's key is made of ``HASHES``
+Vectors are divided by their largest component and normalised in double precision. In each of ``TABLES`` tables a vector's key is made of ``HASHES``
 quantised Gaussian projections floor((a.v + b) / w); near vectors share a key in some table with high probability.
 Pairs of a bucket are checked by a matrix product; a pair is reported by the first table that both ends share, so it
 appears once. A bucket over ``BLOCK`` vectors is dealt into blocks, every pair of blocks being a task of its own of at
@@ -109,11 +109,14 @@ def _check(threshold: float):
 def near_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b): pairs of ``vectors`` (rep, v) with cosine >= threshold, a < b; every vector finite and not zero."""
     hashed = cut(vectors.mapInPandas(_hash, "rep long, v array<double>, keys array<int>"), "op4hash")
-    slots = hashed.select("rep", "v", "keys", F.posexplode("keys").alias("t", "key"))
+    # Keys and ids move by table; only vectors that share a bucket move, once, and are then dealt to their buckets.
+    slots = hashed.select("rep", F.posexplode("keys").alias("t", "key"))
     full = slots.groupBy("t", "key").agg(F.count("*").alias("c")).filter("c > 1")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    placed = (slots.join(full, ["t", "key"])
-              .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")))
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")
+    shared = (slots.join(full, ["t", "key"]).groupBy("rep")
+              .agg(F.collect_list(F.struct("t", "key", blocks)).alias("at")))  # at most one entry per table
+    placed = (hashed.join(shared, "rep").select("rep", "v", "keys", F.explode("at").alias("at"))
+              .select("rep", "v", "keys", "at.*").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "t", "key", "rep", "v", "keys", "block", F.least("block", "other").alias("lo"),
         F.greatest("block", "other").alias("hi"))
@@ -128,9 +131,12 @@ def near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     """One row per vector: (vec_id, n_links, component_id, kept)."""
     spark = vectors.sparkSession
     base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
-    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    usable = (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)) & (norm > 0) & (norm < float("inf"))
-    usable = F.coalesce(usable, F.lit(False)) & F.col("vec_id").isNotNull()
+    # Divided by the largest component first: norms then neither over- nor underflow.
+    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    usable = F.coalesce((F.size("v") > 0) & ~bad & (most > 0), F.lit(False)) & F.col("vec_id").isNotNull()
+    base = base.withColumn("v", F.when(usable, F.transform("v", lambda x: x / most)).otherwise(F.col("v")))
+    usable = F.coalesce((F.size("v") > 0) & ~bad & (most > 0), F.lit(False)) & F.col("vec_id").isNotNull()
     digest = F.sha2(F.array_join(F.col("v"), ","), 256)
     rows = base.select("vec_id", "v", usable.alias("ok"), F.when(usable, digest).alias("same"))
     classes = (rows.filter("ok").groupBy("same").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
