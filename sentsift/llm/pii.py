@@ -3,7 +3,7 @@
 Column expressions only. A pattern's matches and the text between them give code point offsets, so that no text is
 walked in Python. Four base kinds (email, ip, card, phone) always stay when their own check passes (ip parts, Luhn,
 digit counts). Proposals of the further kinds start from a prior, gain ``CONFIRMED`` from a passing checksum (mod-97
-for iban) and ``CONTEXT`` when a word of their kind stands within ``NEAR`` characters; they stay from ``ACCEPT`` on
+for iban, the mix of characters for keys and secrets) and ``CONTEXT`` when a word of their kind stands within ``NEAR`` characters; they stay from ``ACCEPT`` on
 and only where no base span lies.
 
 Patterns are written without backtracking (possessive runs, a lookbehind that starts at a run's first character), so
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "ssn", "local_phone")
+ADDED_KINDS = ("iban", "ssn", "local_phone", "key", "secret")
 
 #: Plain forms: [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+ ; [0-9]+(\.[0-9]+){3} ; [0-9]([\x20-]?[0-9])+ ;
 #: \+[0-9][\x20().0-9-]+[0-9]
@@ -30,15 +30,21 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "key": (r"(?<![A-Za-z0-9_-])(?:A(?:KIA|SIA)[0-9A-Z]{16}|sk-[A-Za-z0-9_-]{16,}|gh[pousr]_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+            r"|AIza[0-9A-Za-z_-]{35}|glpat-[0-9A-Za-z_-]{20,}|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9_-])"),
+    "secret": (r"(?i)(?<![a-z0-9])(?:[a-z0-9_]{0,30}_)?(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key)"
+               r"[a-z0-9_]{0,30}[\"']?\x20?[=:]\x20?[\"']?[^\s\"']{6,}+[\"']?"),
     "local_phone": r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
 #: A text without this sign has no match.
 HINT = {"email": "@", "phone": "+"}
-PRIOR = {"iban": 0.3, "ssn": 0.3, "local_phone": 0.3}
+PRIOR = {"iban": 0.3, "ssn": 0.3, "local_phone": 0.3, "key": 0.3, "secret": 0.3}
 CONTEXT_WORDS = {
     "iban": r"(?i)\b(?:iban|bic|account|konto|compte|cuenta)\b",
     "ssn": r"(?i)\b(?:ssn|social security)\b",
     "local_phone": r"(?i)\b(?:phone|tel|call|fax|mobile|telefon|téléphone|teléfono)\b",
+    "key": r"(?i)(?:key|token|secret|credential|password|auth|bearer)",
+    "secret": r"(?i)\b(?:login|user|credential|auth|config|env)",
     "email": r"(?i)\b(?:e-?mail|contact|write)\b",
     "ip": r"(?i)\b(?:ip|host|server|address)\b",
     "card": r"(?i)\b(?:card|visa|mastercard|credit|karte|carte|tarjeta)\b",
@@ -104,6 +110,15 @@ def spans(text: Column, kind: str) -> Column:
     return F.when(sign, F.aggregate(pieces, start, step, lambda a: a["out"])).otherwise(none)
 
 
+def random_looking(m: Column) -> Column:
+    """Whether a string is a known kind of key or as mixed as a random one: letters and digits, many different ones."""
+    value = F.regexp_replace(F.regexp_replace(m, r"^[^=:]*[=:]\x20?", ""), "[\"']", "")
+    different = F.size(F.array_distinct(F.split(value, "")))
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (different * 4 >= F.least(F.length(value), F.lit(32)))
+    named = m.rlike(r"^(?:AKIA|ASIA|sk-|gh[pousr]_|xox|AIza|glpat-)") & (different >= 8)
+    return named | mixed | m.rlike(r"(?i)(?:password|passwd|pwd|passphrase)[a-z0-9_]*[\"']?\x20?=")
+
+
 def _near(text: Column, kind: str, s: Column) -> Column:
     lo = F.greatest(s["start"] - NEAR, F.lit(0))
     around = F.concat(F.substr(text, (lo + 1).cast("int"), (s["start"] - lo).cast("int")), F.lit(" "),
@@ -111,39 +126,51 @@ def _near(text: Column, kind: str, s: Column) -> Column:
     return around.rlike(CONTEXT_WORDS[kind])
 
 
-def _score(kind: str, t: Column, base: Column) -> Column:
+#: Checks that confirm the added kinds; a span that fails its check is dropped.
+CHECKS = {"iban": mod97, "key": random_looking, "secret": random_looking}
+
+
+def _score(kind: str, found: Column, t: Column, base: Column) -> Column:
     """Scored spans of one kind; added kinds keep those from ``ACCEPT`` on that no base span overlaps."""
     def rate(s: Column) -> Column:
         score = F.lit(PRIOR.get(kind, 0.7)) + F.when(_near(t, kind, s), CONTEXT).otherwise(0.0)
-        if kind == "iban":
-            score = score + F.when(mod97(s["text"]), CONFIRMED).otherwise(0.0)
+        if kind in CHECKS:
+            score = score + F.when(CHECKS[kind](s["text"]), CONFIRMED).otherwise(0.0)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
                         s["text"].alias("text"), score.alias("score"))
 
     def stays(s: Column) -> Column:
         taken = F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-        # An iban that fails its checksum is none, whatever stands near it.
-        return (s["score"] >= ACCEPT) & ~taken & (mod97(s["text"]) if kind == "iban" else F.lit(True))
+        # An iban that fails its checksum, or a plain word as a secret, is none, whatever stands near it.
+        return (s["score"] >= ACCEPT) & ~taken & (CHECKS[kind](s["text"]) if kind in CHECKS else F.lit(True))
 
-    rated = F.transform(f"__{kind}", rate)
+    rated = F.transform(found, rate)
     return rated if kind in BASE_KINDS else F.filter(rated, stays)
 
 
-def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``pii``: array of (kind, start, stop, text, score), base kinds first, then by kind and start."""
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs
-    for kind in (*BASE_KINDS, *ADDED_KINDS):
-        out = out.withColumn(f"__{kind}", spans(t, kind))
-    base = F.flatten(F.array(*(F.col(f"__{k}") for k in BASE_KINDS)))
-    scored = [_score(kind, t, base) for kind in (*BASE_KINDS, *ADDED_KINDS)]
-    return out.withColumn("pii", F.flatten(F.array(*scored))).drop(*(f"__{k}" for k in (*BASE_KINDS, *ADDED_KINDS)))
+def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
+    """``docs`` with ``out_col``: array of (kind, start, stop, text, score), base kinds first, then by kind and start.
+
+    A column of the table called ``out_col`` is replaced; all others stay.
+    """
+    t = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    kinds, held = (*BASE_KINDS, *ADDED_KINDS), _free_name(docs, "__spans")
+    marked = docs.withColumn(held, F.struct(*(spans(t, kind).alias(kind) for kind in kinds)))
+    base = F.flatten(F.array(*(F.col(held)[k] for k in BASE_KINDS)))
+    scored = [_score(kind, F.col(held)[kind], t, base) for kind in kinds]
+    return marked.withColumn(out_col, F.flatten(F.array(*scored))).drop(held)
+
+
+def _free_name(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by ``[KIND]``; overlapping spans go as one, named by the first."""
-    t = F.col(text_col)
-    marked = find_pii(docs, text_col)
+    t, held = F.col(f"`{text_col}`"), _free_name(docs, "__pii")
+    marked = find_pii(docs, text_col, held)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -153,19 +180,20 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"),
                         F.when(hit, F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]).alias("out"))
 
-    ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"),
+    ordered = F.array_sort(F.transform(held, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"),
                                                                  s["kind"].alias("kind"))))
     clean = F.aggregate(ordered, start, step, lambda a: F.concat(
         F.array_join(a["out"], ""), F.substr(t, (a["at"] + 1).cast("int"))))
-    return marked.withColumn(text_col, F.when(F.size("pii") > 0, clean).otherwise(t)).drop("pii")
+    return marked.withColumn(text_col, F.when(F.size(held) > 0, clean).otherwise(t)).drop(held)
 
 
 def digest(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts per base kind, hash of the base spans, and all spans as text."""
+    """Counts per base kind, hash of the base spans, all spans as text, and their scores in the same order."""
     show = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"),
                                                                        s["stop"].cast("string"))), ",")
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE_KINDS))
     count = lambda k: F.size(F.filter("pii", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     counts = [count(k) for k in BASE_KINDS]
     return marked.select(F.col(id_col).alias("doc_id"), *counts, F.sha2(show(base), 256).alias("base_sha256"),
-                         show("pii").alias("spans"))
+                         show("pii").alias("spans"),
+                         F.array_join(F.transform("pii", lambda s: F.round(s["score"], 2).cast("string")), ",").alias("scores"))
