@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentsift.llm import decontaminate, ngram_join, pii, sentencepiece, toxicity
-from sentsift.llm.common import cut, read
+from sentsift.llm.common import cut, drop_cut, read
 
 #: No SQL: a trained classifier, a trained latent space and a Viterbi search are not expressible in SQL.
 ORACLE_SQL = None
@@ -43,10 +43,16 @@ STAGES = [("toxicity", drop_toxic), ("ngram_join", drop_near_copies), ("decontam
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage; every stage's rows are written to the shared folder and read back."""
-    docs = read(spark, sf_dir, "documents")
+    """Rows of the last stage; every stage's rows are written to the shared folder and read back.
+
+    A stage's table is deleted when the next one's is written.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = cut(docs, name)
+            if before is not None:
+                drop_cut(before)
+            before = docs
     return docs

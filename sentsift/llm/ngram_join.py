@@ -399,7 +399,17 @@ def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without the near copies: the smallest id of each component stays (rows with a null id stay)."""
-    gone = (ngram_join(docs, id_col, text_col).filter("doc_id <> component_id")
-            .select(F.col("doc_id").alias(id_col)).distinct())
-    return docs.join(gone, id_col, "left_anti")
+    """Documents without the near copies: the smallest id of each component stays (rows with a null id stay).
+
+    Of rows that repeat both id and text one stays; rows of one id with different texts are different documents of one
+    component, and all stay if their id does.
+    """
+    found = ngram_join(docs, id_col, text_col).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.max(F.col("doc_id") != F.col("component_id")).alias("gone"))
+    marks = cut(found.filter("gone or rows > 1").select(F.col("doc_id").alias(id_col), "gone"), "op2marks")
+    kept = docs.join(marks.select(id_col), id_col, "left_anti")
+    repeated = marks.filter("not gone")
+    if repeated.limit(1).count() == 0:
+        return kept
+    again = docs.join(repeated.select(id_col), id_col, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.unionByName(again)

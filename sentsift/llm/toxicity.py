@@ -9,7 +9,7 @@ Thresholds are calibrated by language: a text's language is guessed from its fun
 input), the cut of each language is the one of best F1 on the calibration part, shrunk to the common cut where
 a language has few rows. The score is the logistic of (logit - cut of the language), so 0.5 is every language's cut.
 
-The fit collects at most ``MAX_POSITIVE`` + ``MAX_NEGATIVE`` labelled rows (a documented bound); scoring covers every
+The fit takes at most ``MAX_POSITIVE`` + ``MAX_NEGATIVE`` labelled rows (a documented bound) to one task; scoring covers every
 row and whole texts, in blocks of ``CHUNK`` words.
 
 Edge cases: null and empty texts have no words and score as the bias alone; repeated rows score alike; null labels and
@@ -19,6 +19,7 @@ empty table gives an empty result; extra columns are kept by ``score``; a null i
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,7 @@ BITS, DIM, FILTERS, WIDTHS = 17, 16, 16, (1, 2, 3)
 MAX_POSITIVE, MAX_NEGATIVE = 2000, 3000
 MIN_DOCS, CHANCE, EPOCHS, RATE, DECAY, SEED = 3, 4.0, 5, 0.05, 1e-4, 7
 CHUNK = 1 << 16
+WORDS = 500_000  # scored at a time
 PREFIX = 5
 SHRINK = 40
 #: Function words by language (fixed values).
@@ -64,6 +66,17 @@ class ToxicityModel:
     languages: dict      # low hash bits of function words -> language number
     cuts: np.ndarray     # logit cut by language, the last one for none
 
+    def __getstate__(self) -> dict:
+        """Most words have no embedding, so a model is sent as the rows that do."""
+        used = [np.flatnonzero(t.any(axis=1)) for t in self.tables]
+        return {**self.__dict__, "tables": [(u, t[u]) for u, t in zip(used, self.tables, strict=True)]}
+
+    def __setstate__(self, state: dict) -> None:
+        tables = np.zeros((2, 1 << BITS, DIM), np.float32)
+        for table, (used, rows) in zip(tables, state["tables"], strict=True):
+            table[used] = rows
+        self.__dict__.update(state, tables=tables)
+
     def pooled(self, flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Maxima of every filter over each text, in blocks that overlap by the widest filter."""
         n, widest = len(flat), max(WIDTHS)
@@ -133,6 +146,7 @@ def sample_labels(docs: DataFrame, labels: DataFrame, label_col: str, id_col: st
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
         text_col: str = "text") -> ToxicityModel:
+    """Trained in one task on the bounded sample; the driver gets the model alone."""
     spark = docs.sparkSession
     names = [(k, w) for k, ws in enumerate(FUNCTION_WORDS.values()) for w in ws.split()]
     hashed = spark.createDataFrame(names, "k int, w string").select("k", tokens(F.col("w"))[0].alias("h")).collect()
@@ -140,15 +154,26 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     for r in hashed:
         shared.setdefault(int(_buckets(np.array([r.h]))[0][0]), set()).add(r.k)
     languages = {b: next(iter(ks)) for b, ks in shared.items() if len(ks) == 1}  # words of one language only
-    rows = (sample_labels(docs, labels, label_col, id_col, text_col)
-            .select("__id", F.col("label").cast("int"), tokens(F.col("text")).alias("t")).orderBy("__id").toArrow())
-    lists = rows["t"].combine_chunks()
-    at, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy(zero_copy_only=False)
-    at = at - at[0] if len(at) else at
-    y = rows["label"].to_pylist()
-    one = {(k, flat[lo:hi].tobytes()): (flat[lo:hi], k)  # copies teach once
-           for k, lo, hi in zip(y, at[:-1], at[1:], strict=True)}.values()
-    return train([t for t, _ in one], np.array([k for _, k in one], np.int64), languages)
+
+    def run(batches):
+        one: dict[tuple, tuple] = {}  # copies teach once
+        for batch in batches:
+            at, flat = _lists(batch.column(1))
+            for k, lo, hi in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
+                one[k, flat[lo:hi].tobytes()] = (flat[lo:hi], k)
+        model = train([t for t, _ in one.values()], np.array([k for _, k in one.values()], np.int64), languages)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    rows = sample_labels(docs, labels, label_col, id_col, text_col)
+    made = (rows.repartition(1).sortWithinPartitions("__id").select(F.col("label").cast("int"), tokens(F.col("text")).alias("t"))
+            .mapInArrow(run, "model binary").first())
+    return pickle.loads(made.model) if made is not None else _empty(languages)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets from 0, values) of a list column."""
+    at = column.offsets.to_numpy().astype(np.int64)
+    return at - at[0] if len(at) else at, column.flatten().to_numpy(zero_copy_only=False)
 
 
 def _empty(languages: dict) -> ToxicityModel:
@@ -297,15 +322,21 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
     """``docs`` with ``out_col``: toxicity from 0 to 1 of the whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size fixed by BITS and DIM
     columns = [c for c in docs.columns if c != out_col]
-    source = docs.select(*(F.col(f"`{c}`") for c in columns), tokens(F.col(text_col)).alias("__tokens"))
+    held = "__tokens"
+    while held in columns:
+        held += "_"
+    source = docs.select(*(F.col(f"`{c}`") for c in columns), tokens(F.col(f"`{text_col}`")).alias(held))
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            out = m.scores(flat, offsets - offsets[0])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], names=[*columns, out_col])
+            offsets, flat = _lists(batch.column(batch.num_columns - 1))
+            out, lo = [], 0
+            while lo < batch.num_rows:  # some texts of about WORDS words, or one longer text
+                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + WORDS, side="right")) - 1)
+                out.append(m.scores(flat[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo]))
+                lo = hi
+            scores = np.concatenate(out) if out else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*columns, out_col])
 
     return source.mapInArrow(run, StructType(source.schema.fields[:-1]).add(out_col, DoubleType()))
