@@ -148,6 +148,22 @@ select w.doc_id, len(ws)::bigint n_words, (len(ws) - coalesce(k, 0))::bigint n_r
 from w left join kept on kept.doc_id = w.doc_id
 """
 
+OP4_SQL = """
+with recursive v as (select vec_id, embedding::double[] e from embeddings),
+m as (select vec_id, list_transform(e, lambda x: x / list_max(list_transform(e, lambda y: abs(y)))) u from v
+      where len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+        and list_max(list_transform(e, lambda y: abs(y))) > 0),
+l as (select a.vec_id a, b.vec_id b from m a join m b on a.vec_id < b.vec_id and len(a.u) = len(b.u)
+      where list_dot_product(a.u, b.u) / sqrt(list_dot_product(a.u, a.u)) / sqrt(list_dot_product(b.u, b.u)) >= 0.9),
+e as (select a, b from l union all select b, a from l),
+n as (select a, count(*) n from e group by a),
+reach(a, b) as (select a, b from e union select r.a, e.b from reach r join e on r.b = e.a),
+c as (select a, min(b) b from reach group by 1)
+select v.vec_id, coalesce(n.n, 0)::bigint n_links, least(v.vec_id, coalesce(c.b, v.vec_id)) component_id,
+       least(v.vec_id, coalesce(c.b, v.vec_id)) = v.vec_id kept
+from v left join n on n.a = v.vec_id left join c on c.a = v.vec_id
+"""
+
 OP5_SQL = r"""
 with m as (select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations
            union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
@@ -226,4 +242,4 @@ from v left join near on near.w = v.w left join f on f.w = v.w left join last on
 
 def oracle_sql() -> dict[str, str]:
     return {"op11_periodic_runs": OP11_SQL, "op12_spelling_variants": OP12_SQL,
-            "op2_ngram_join": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op5_chat_format": OP5_SQL}
+            "op4_embedding_dedup": OP4_SQL, "op2_ngram_join": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op5_chat_format": OP5_SQL}

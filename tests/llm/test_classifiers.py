@@ -28,6 +28,26 @@ def test_toxicity_held_out(spark, labelled):
     assert all(0 <= r.score < 0.5 for r in toxicity.score(odd, model).collect())
 
 
+def test_toxicity_odd_tables(spark):
+    """Repeated rows score alike, clashing columns stay, null ids and labels; the model survives sending."""
+    import pickle
+    rows = [(i, ("vile scum " if i % 2 else "good day ") * 3 + "word" + "abcdefghij"[i % 10] + "klmnopqrst"[i // 10 % 10] + "uvwxyzabcd"[i // 100 % 10])
+            for i in range(1000)]
+    docs = spark.createDataFrame(rows + rows[:20] + [(None, "vile scum")], "doc_id long, text string").selectExpr(
+        "*", "1 as __tokens", "2 as t", "3 as __id", "4 as label")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1000)] + [(3, None), (None, 1), (99999, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    again = pickle.loads(pickle.dumps(model))
+    assert (again.tables == model.tables).all() and (again.cuts == model.cuts).all()
+    out = toxicity.score(docs, model).collect()
+    assert len(out) == 1021 and all(r["__tokens"] == 1 and r["__id"] == 3 for r in out)
+    by_text = {}
+    for r in out:
+        by_text.setdefault(r.text, set()).add(r.score)
+    assert all(len(s) == 1 for s in by_text.values())
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in out if r.doc_id is not None) > 0.95 * 1020
+
+
 def test_toxicity_without_labels(spark, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(empty, none)
@@ -117,6 +137,42 @@ def test_decontamination_empty(spark, empty):
     assert decontaminate.contamination(empty, one).count() == 0
 
 
+def test_paraphrases_are_found(spark):
+    """Every item between 60 foreign words, ordinary and repetitive ones: words replaced, words inserted."""
+    items = read(spark, "/root/testdata/sf0.01", "benchmark").orderBy("item_id").collect()
+    other = [w for r in read(spark, "/root/testdata/sf0.01", "documents").orderBy("doc_id").limit(60).collect() for w in (r.text or "").split()]
+    changes = {"third": lambda w: [f"new{i}" if i % 3 == 2 else x for i, x in enumerate(w)],
+               "fifth": lambda w: [f"new{i}" if i % 5 == 4 else x for i, x in enumerate(w)],
+               "inserted": lambda w: [y for i, x in enumerate(w) for y in ([x, "plus", "more"] if i % 5 == 4 else [x])]}
+    rows, number = [], 0
+    for kind, change in changes.items():
+        for k, r in enumerate(items):
+            for around in ("ordinary", "repetitive"):
+                before = other[61 * k: 61 * k + 60] if around == "ordinary" else ["word"] * 60
+                rows.append((number, " ".join(before + change(r.text.split()) + before), r.item_id, kind, around))
+                number += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own long, kind string, around string")
+    corpus = read(spark, "/root/testdata/sf0.01", "documents").selectExpr("doc_id + 1000000 as doc_id", "text")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contamination(
+        docs.select("doc_id", "text").unionByName(corpus), read(spark, "/root/testdata/sf0.01", "benchmark")).collect()}
+    for kind in changes:
+        own = [r for r in rows if r[3] == kind and r[4] == "ordinary"]
+        assert sum((r[0], r[2]) in found for r in own) >= 0.95 * len(own), kind
+        own = [r for r in rows if r[3] == kind and r[4] == "repetitive"]
+        print(kind, "repetitive", sum((r[0], r[2]) in found for r in own) / len(own))
+
+
+def test_decontamination_odd_tables(spark):
+    """Repeated rows, null ids and clashing columns: every row of a contaminated id goes, null ids stay."""
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, "x " + text), (1, "x " + text), (None, text), (2, "clean words here"), (3, None)],
+                                 "doc_id long, text string").selectExpr("*", "1 as ids", "2 as item_id", "3 as at")
+    bench = spark.createDataFrame([(7, text), (7, text), (None, text), (8, None)], "item_id long, text string").selectExpr("*", "1 as doc_id")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contamination(docs, bench).collect() if r.doc_id} == {(1, 7)}
+    left = decontaminate.drop_contaminated(docs, bench).collect()
+    assert sorted((r.doc_id or 0, r.ids, r["at"]) for r in left) == [(0, 1, 3), (2, 1, 3), (3, 1, 3)]
+
+
 def test_lcs():
     assert decontaminate.lcs([1, 2, 3, 2, 4], [2, 3, 9, 4, 1]) == 3
     assert decontaminate.lcs([], [1]) == 0

@@ -79,6 +79,48 @@ def test_keep_one_and_null_ids(spark):
     assert sorted(str(r.doc_id) for r in ngram_join.keep_one(d).collect()) == ["1", "3", "None"]
 
 
+def test_keep_one_of_repeated_rows(spark):
+    """Equal rows leave one; one id with two texts keeps both; other columns and copies by other ids as before."""
+    rows = [(1, "a b c d e f", 1), (1, "a b c d e f", 2), (2, "a b c d e f", 3), (2, "a b c d e f", 3), (5, "x y", 4), (5, "z w", 5),
+            (5, "z w", 6), (None, "q", 7), (None, "q", 7), (6, None, 8), (6, None, 9)]
+    out = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == [(0, "q"), (0, "q"), (1, "a b c d e f"), (5, "x y"), (5, "z w"), (6, "")]
+
+
+def test_light_sets_and_their_boundary(spark):
+    """Small sets that share two frequent shingles: some sizes are light, all links are found."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 3, 9 + i % 4))) for i in range(60)]
+    rows += [(100 + i, " ".join(["s1", "s2", "s3", "s4", "s5", "s6"] + [f"v{rng.integers(0, 40)}" for _ in range(3 + i % 30)]))
+             for i in range(150)]
+    long = [f"u{i}" for i in range(80)]
+    rows += [(400 + i, " ".join(long[:i] + [f"x{i}"] + long[i + 1:])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = df.select("doc_id", ngram_join.word_hashes(ngram_join.ascii_lower(df.text)).alias("wh")).mapInArrow(
+        ngram_join._sets(5), "doc_id long, n long, sh array<long>")
+    ranked = ngram_join._rank(sets, 75)
+    sizes = [r.n for r in ranked.select("n").collect()]
+    small = ngram_join.boundary(ranked)
+    assert min(sizes) <= small < max(sizes)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_join(df).collect()}
+    assert got == expected_join(rows)
+
+
+def test_embedding_dedup_edge_cases(spark):
+    """Tiny and huge components, repeated and null ids, other columns, nulls inside, lengths that differ."""
+    rows = [(1, [1e-200, 0.0]), (2, [2e-200, 0.0]), (3, [1e200, 1e200]), (4, [1e200, 1.01e200]), (5, [5e-324, 0.0]), (6, [0.0, 0.0]),
+            (7, None), (8, [1.0, None]), (9, [float("inf"), 1.0]), (10, [float("nan"), 1.0]), (11, [1.0, 0.0, 0.0]), (12, []),
+            (13, [-1.0, 0.0]), (13, [-1.0, 0.0]), (None, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as rep", "'x' as v", "2 as t")
+    out = embedding_dedup.near_dedup(df).collect()
+    assert len(out) == len(rows)
+    got = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in out}
+    alone = {(i, 0, i, True) for i in (6, 7, 8, 9, 10, 11, 12)}
+    assert alone <= got and {(1, 2, 1, True), (2, 2, 1, False), (5, 2, 1, False), (3, 1, 3, True), (4, 1, 3, False)} <= got
+    assert {r.component_id for r in out if r.vec_id == 13} == {13} and {r.n_links for r in out if r.vec_id == 13} == {1}
+    assert {(r.n_links, r.component_id) for r in out if r.vec_id is None} == {(0, None)}
+
+
 def test_substring_dedup(docs, rows, monkeypatch):
     words = [(i, WORD.findall(t or "")) for i, t in rows]
     count = collections.Counter(tuple(w[j:j + 35]) for _, w in words for j in range(len(w) - 34))
