@@ -97,7 +97,7 @@ def _range_part(idf: np.ndarray):
     """A'(A R) of a task's passages, one row per term."""
     def run(batches):
         test = np.random.default_rng(SEED).standard_normal((1 << TERM_BITS, RANK + OVERSAMPLE)).astype(np.float32)
-        test *= idf[:, None]
+        test = np.vstack([test * idf[:, None], np.zeros((1, test.shape[1]), np.float32)])
         out = np.zeros((1 << TERM_BITS, RANK + OVERSAMPLE), np.float32)
         used = np.zeros(1 << TERM_BITS, bool)
         for batch in batches:
@@ -109,7 +109,9 @@ def _range_part(idf: np.ndarray):
                     continue
                 at = _passages(offsets[lo: min(hi, len(offsets) - 1) + 1] - offsets[lo])
                 first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-                y = _sums(test[t], first)
+                grid = np.full((len(first), PASSAGE), 1 << TERM_BITS)  # short passages end in the zero row
+                grid[at, np.arange(len(t)) - first[at]] = t
+                y = test[grid].sum(axis=1)
                 norm = np.add.reduceat(idf[t] ** 2, first)
                 y /= np.maximum(norm, 1e-9)[:, None]
                 order = np.argsort(t.astype(np.uint16), kind="stable")  # TERM_BITS is at most 16: a radix sort
