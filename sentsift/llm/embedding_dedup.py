@@ -132,11 +132,11 @@ def near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     spark = vectors.sparkSession
     base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     # Divided by the largest component first: norms then neither over- nor underflow.
-    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    usable = F.coalesce((F.size("v") > 0) & ~bad & (most > 0), F.lit(False)) & F.col("vec_id").isNotNull()
-    base = base.withColumn("v", F.when(usable, F.transform("v", lambda x: x / most)).otherwise(F.col("v")))
-    usable = F.coalesce((F.size("v") > 0) & ~bad & (most > 0), F.lit(False)) & F.col("vec_id").isNotNull()
+    base = base.withColumn("most", F.greatest(F.array_max("v"), -F.array_min("v"))).withColumn(
+        "ok", F.coalesce((F.size("v") > 0) & ~bad & (F.col("most") > 0), F.lit(False)) & F.col("vec_id").isNotNull())
+    base = base.select("vec_id", "ok", F.when(F.col("ok"), F.transform("v", lambda x: x / F.col("most"))).otherwise(F.col("v")).alias("v"))
+    usable = F.col("ok")
     digest = F.sha2(F.array_join(F.col("v"), ","), 256)
     rows = base.select("vec_id", "v", usable.alias("ok"), F.when(usable, digest).alias("same"))
     classes = (rows.filter("ok").groupBy("same").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
