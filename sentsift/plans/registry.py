@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentsift.functions import fixed_values as fv
+from sentsift.functions import text as tx
 from sentsift.plans import corpus
 from sentsift.plans import oracle as O
 
@@ -78,6 +79,107 @@ def q_drop_any_null(spark, sf):
     return prepare.drop_any_null(tables.articles(spark, sf))
 
 
+def _fresh(spark, name: str) -> str:
+    """A new place in the shared folder."""
+    import uuid
+
+    from sentsift.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+METADATA = ["cord_uid", "title", "abstract", "publish_time", "authors", "journal", "pdf_json_files"]
+
+
+@register("read_metadata", A("SELECT " + ", ".join(
+    f"CASE WHEN trim({c}) IN ({', '.join(O.lit(x) for x in files.NULL_LITERALS)}) THEN NULL ELSE {c} END AS {c}"
+    for c in METADATA) + " FROM articles"))
+def q_read_metadata(spark, sf):
+    """The articles' metadata written as CSV to the shared folder and read back, whole pages as abstracts included."""
+    path = _fresh(spark, "metadata")
+    files.write_table(tables.articles(spark, sf).select(*METADATA), path, "csv")
+    return files.read_metadata(spark, path, METADATA)
+
+
+@register("write_articles", A("SELECT cord_uid, title, body_text, journal FROM articles"))
+def q_write_articles(spark, sf):
+    """The article table written as CSV and read back."""
+    path = _fresh(spark, "articles")
+    files.write_table(tables.articles(spark, sf, abstract=False).select("cord_uid", "title", "body_text", "journal"), path, "csv")
+    return files.read_table(spark, path, "csv")
+
+
+def _json_bodies(spark, sf):
+    """One JSON file per conversation in the shared folder, read back by path."""
+    path = _fresh(spark, "bodies")
+    conv = tables.text_table(spark, sf, "conversations")
+    part = F.struct("turn", F.coalesce("role", F.lit("")).alias("section"), F.coalesce("text", F.lit("")).alias("text"))
+    bodies = conv.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(part)), lambda x: F.struct(
+        x["section"].alias("section"), x["text"].alias("text"))).alias("body_text"))
+    rows = bodies.select(F.col("conv_id").alias("paper"), F.to_json(F.struct(F.col("conv_id").cast("string").alias("paper_id"),
+                                                                              "body_text")).alias("value"))
+    rows.repartition("paper").write.partitionBy("paper").text(path)
+    read = files.read_article_json(spark, path)
+    return read.withColumn("conv_id", F.regexp_extract("json_path", "paper=([0-9]+)/", 1).cast("long"))
+
+
+@register("read_article_json", _ORACLE["assemble_body"])
+def q_read_article_json(spark, sf):
+    """Bodies of JSON files, assembled."""
+    return files.assemble_body_from_json(_json_bodies(spark, sf), "conv_id")
+
+
+@register("missing_bodies", A("""SELECT cord_uid, trim(split_part(pdf_json_files, ';', 1)) AS json_path FROM articles
+  WHERE doc_id NOT IN (SELECT conv_id FROM conversations)"""))
+def q_missing_bodies(spark, sf):
+    bodies = _json_bodies(spark, sf).select(F.concat(F.lit("a/"), F.col("conv_id").cast("string"), F.lit(".json")).alias("json_path"))
+    return files.missing_bodies(tables.articles(spark, sf, abstract=False), bodies).select("cord_uid", "json_path")
+
+
+@register("drop_columns", A("SELECT cord_uid, title, publish_time, authors, journal, pdf_json_files FROM articles"))
+def q_drop_columns(spark, sf):
+    raw = tables.articles(spark, sf, abstract=False).withColumns({c: F.lit("x") for c in files.DROPPED_METADATA})
+    return prepare.drop_columns(raw, [*files.DROPPED_METADATA, "doc_id", "body_text"])
+
+
+@register("drop_null_key", A("SELECT cord_uid, abstract FROM articles WHERE abstract IS NOT NULL"))
+def q_drop_null_key(spark, sf):
+    return prepare.drop_null_key(tables.articles(spark, sf).select("cord_uid", "abstract"), ["abstract"])
+
+
+@register("add_row_index", A('SELECT cord_uid, row_number() OVER (ORDER BY title, cord_uid) - 1 AS "index" FROM articles'))
+def q_add_row_index(spark, sf):
+    a = tables.articles(spark, sf, abstract=False).select("cord_uid", "title")
+    return prepare.add_row_index(a, ["title", "cord_uid"]).select("cord_uid", "index")
+
+
+@register("parse_number", "SELECT doc_id, try_cast(substr(source, 4) AS DOUBLE) AS number, try_cast(lang AS DOUBLE) AS bad FROM documents")
+def q_parse_number(spark, sf):
+    d = tables.table(spark, sf, "documents")
+    return d.select("doc_id", prepare.parse_number(F.substring("source", 4, 99)).alias("number"), prepare.parse_number("lang").alias("bad"))
+
+
+@register("replace_math", f"""SELECT doc_id, {O.replace_math("replace(coalesce(text, ''), ' the ', ' [math]the[/math] ')")} AS replaced
+  FROM documents""")
+def q_replace_math(spark, sf):
+    """Every `` the `` set as a formula, and replaced again."""
+    t = F.replace(F.coalesce("text", F.lit("")), F.lit(" the "), F.lit(" [math]the[/math] "))
+    return tables.text_table(spark, sf, "documents").select("doc_id", tx.replace_math(t).alias("replaced"))
+
+
+@register("expand_contractions", f"""SELECT doc_id, {O.expand_contractions("replace(coalesce(text, ''), ' the ', ' don’t ')")} AS expanded
+  FROM documents""")
+def q_expand_contractions(spark, sf):
+    """Every `` the `` turned into a contraction, and expanded."""
+    t = F.replace(F.coalesce("text", F.lit("")), F.lit(" the "), F.lit(" don’t "))
+    return tables.text_table(spark, sf, "documents").select("doc_id", tx.expand_contractions(t).alias("expanded"))
+
+
+@register("question_explode", "SELECT item_id AS q_id, text AS question FROM benchmark WHERE item_id >= 3 AND item_id < 15")
+def q_question_explode(spark, sf):
+    from sentsift.operators import sentences as s
+    return s.question_explode(tables.questions(spark, sf), 3, 15)
+
+
 SAMPLE_N = 120
 SAMPLE_SEED = "7"
 
@@ -714,3 +816,62 @@ def q_sentence_frame_nested(spark, sf):
     return n.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
                     F.aggregate(F.transform("token_sentences", lambda t: F.size(t)), F.lit(0),
                                 lambda acc, x: acc + x).cast("long").alias("n_tokens"))
+
+
+# ------------------------------------------------- sentence ends learned from the corpus
+from sentsift.operators import punkt  # noqa: E402
+
+
+def _type_sql(e: str) -> str:
+    bare = f"lower(regexp_replace({e}, {O.lit(punkt.EDGES)}, '', 'g'))"
+    return (f"(CASE WHEN regexp_matches({bare}, '^[0-9.,]*[0-9][0-9.,]*$') THEN '##' || CASE WHEN {bare} LIKE '%.' THEN '.' ELSE '' END "
+            f"ELSE {bare} END)")
+
+
+PUNKT = F_sql(f"""
+, tk AS (SELECT {_type_sql('t')} AS t FROM (SELECT unnest({O.split_ws("coalesce(text, '')")}) AS t FROM documents)),
+tc AS (SELECT CASE WHEN t LIKE '%.' THEN left(t, length(t) - 1) ELSE t END AS type,
+         count(*) FILTER (WHERE t LIKE '%.')::DOUBLE AS k, count(*) FILTER (WHERE t NOT LIKE '%.')::DOUBLE AS rest
+       FROM tk WHERE t <> '' AND t <> '.' GROUP BY 1),
+tn AS (SELECT sum(k + rest) AS n, sum(k) AS p FROM tc),
+ta AS (SELECT *, length(type) - length(replace(type, '.', '')) + 1 AS periods FROM tc WHERE k > 0 AND regexp_matches(type, '\p{{L}}')),
+ab AS (SELECT type, k, rest, round(-2 * (k * ln(p / n) + rest * ln(1 - p / n) - k * ln(0.99) - rest * ln(1 - 0.99))
+         * exp(-(length(type) + 1 - periods)) * periods * pow((length(type) + 1 - periods)::DOUBLE, -rest), 6) AS score
+       FROM ta, tn),
+abb AS (SELECT * FROM ab WHERE score >= {punkt.ABBREVIATION})""")
+
+
+@register("abbreviations", PUNKT + " SELECT type, k::BIGINT AS with_period, rest::BIGINT AS without, score FROM abb")
+def q_abbreviations(spark, sf):
+    """Abbreviations of the corpus, from counts of its token types."""
+    return punkt.abbreviations(punkt.type_counts(tables.articles(spark, sf, abstract=False), "body_text"))
+
+
+@register("split_sentences_trained", PUNKT + f"""
+, ps AS (SELECT doc_id, {O.split_sentences('text')} AS s FROM documents),
+pb AS (SELECT doc_id, i, {_type_sql("regexp_extract(s[i], '([^ \t\n\r\f]+)$', 1)")} AS e, {_type_sql("regexp_extract(s[i + 1], '^([^ \t\n\r\f]+)', 1)")} AS f,
+         regexp_matches(regexp_extract(s[i + 1], '^([^ \t\n\r\f]+)', 1), '^[^\p{{L}}]*\p{{Lu}}') AS upper
+       FROM ps, unnest(range(1, len(s))) u(i)),
+be AS (SELECT doc_id, i, CASE WHEN e LIKE '%.' THEN left(e, length(e) - 1) END AS ends, regexp_replace(f, '\.$', '') AS next, upper FROM pb),
+br AS (SELECT * FROM be WHERE ends IS NULL OR ends NOT IN (SELECT type FROM abb)),
+bk AS (SELECT next AS type, count(*)::DOUBLE AS k, (SELECT count(*) FROM br)::DOUBLE AS a FROM br GROUP BY next),
+bs AS (SELECT type, bk.k AS k, a, tc.k + tc.rest AS b, n FROM bk JOIN tc USING (type), tn WHERE regexp_matches(type, '\p{{L}}')),
+st AS (SELECT type FROM (SELECT type, {{score}} AS score FROM bs WHERE bs.k / a > b / n AND n > a AND b >= bs.k) WHERE score >= {punkt.STARTER}),
+gl AS (SELECT doc_id, list(i) AS g FROM be WHERE ends IN (SELECT type FROM abb) AND NOT (next IN (SELECT type FROM st) AND upper) GROUP BY doc_id),
+sp AS (SELECT doc_id, s, list_filter(range(len(s)), lambda i: NOT list_contains(coalesce(g, []::BIGINT[]), i)) AS b FROM ps LEFT JOIN gl USING (doc_id))
+SELECT doc_id, p - 1 AS pos, array_to_string(s[b[p] + 1:coalesce(b[p + 1], len(s))], ' ') AS sentence FROM sp, unnest(range(1, len(b) + 1)) u(p)
+""".replace("{score}", "round(-2 * (" + " ".join([
+    "ln(greatest(b / n, 1e-10)) * bs.k + ln(greatest(1 - b / n, 1e-10)) * (a - bs.k)",
+    "+ ln(greatest(b / n, 1e-10)) * (b - bs.k) + ln(greatest(1 - b / n, 1e-10)) * ((n - a) - (b - bs.k))",
+    "- (ln(greatest(bs.k / a, 1e-10)) * bs.k + ln(greatest(1 - bs.k / a, 1e-10)) * (a - bs.k))",
+    "- (ln(greatest((b - bs.k) / (n - a), 1e-10)) * (b - bs.k)"
+    " + ln(greatest(1 - (b - bs.k) / (n - a), 1e-10)) * ((n - a) - (b - bs.k)))"]) + "), 6)"))
+def q_split_sentences_trained(spark, sf):
+    """Sentences by the learned model: an abbreviation does not end one."""
+    a = tables.articles(spark, sf, abstract=False).select("doc_id", "body_text")
+    counts = punkt.type_counts(a, "body_text")
+    known = punkt.abbreviations(counts)
+    starters = punkt.sentence_starters(punkt.boundaries(a, "doc_id", "body_text"), counts, known)
+    s = punkt.split_sentences(a, "doc_id", "body_text", known, starters)
+    return s.select("doc_id", F.posexplode("sentences").alias("pos", "sentence")).select(
+        "doc_id", F.col("pos").cast("long").alias("pos"), "sentence")

@@ -45,10 +45,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (tests, a laptop) a fresh local folder is created.
+    unset and all runs in one process (tests, a laptop) a fresh local folder is
+    created. On a cluster a missing setting is an error: other machines do not
+    see a folder of this one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all machines share")
         d = tempfile.mkdtemp(prefix="sentsift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

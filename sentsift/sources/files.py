@@ -38,19 +38,31 @@ def null_normalise(c: Column) -> Column:
     return F.when(F.trim(c).isin(*NULL_LITERALS) | c.isNull(), F.lit(None).cast("string")).otherwise(c)
 
 
-def read_metadata(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+#: Text fields keep their quotes, line ends and outer spaces.
+CSV = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def read_metadata(spark: SparkSession, path: str, columns: list[str] | None = None, rescued: str | None = None) -> DataFrame:
     """Metadata CSV with a header; every column a string, pandas-style NULLs.
 
     The schema is declared (no inference pass over the data). Quoted fields may
-    hold newlines and doubled quotes.
+    hold newlines and doubled quotes. ``rescued`` names a column for records
+    that do not fit the header; they are kept, with that column set.
     """
     if columns is None:
         header = spark.read.option("header", True).csv(path).columns
         columns = header
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-           .option("quote", '"').option("escape", '"').csv(path))
-    return raw.select(*[null_normalise(F.col(c)).alias(c) for c in columns])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *([rescued] if rescued else [])]])
+    reader = spark.read.schema(schema).options(**CSV).option("multiLine", True)
+    if rescued:
+        reader = reader.option("columnNameOfCorruptRecord", rescued)
+    return reader.csv(path).select(*[null_normalise(F.col(c)).alias(c) for c in columns], *([rescued] if rescued else []))
+
+
+def missing_bodies(metadata: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Articles whose first JSON path has no body among ``bodies`` (json_path, ...)."""
+    first = F.trim(F.split(F.col("pdf_json_files"), ";")[0])
+    return metadata.withColumn("json_path", first).join(bodies.select("json_path"), "json_path", "left_anti")
 
 
 def read_article_json(spark: SparkSession, root: str) -> DataFrame:
@@ -132,15 +144,14 @@ def read_word_vectors(spark: SparkSession, path: str, token: str = "token", vec:
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        w.options(**CSV).csv(path)
     else:
         w.parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
-        return (spark.read.option("header", True).option("multiLine", True)
-                .option("quote", '"').option("escape", '"').csv(path))
+        return spark.read.options(**CSV).option("multiLine", True).csv(path)
     return spark.read.parquet(path)
 
 

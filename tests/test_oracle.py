@@ -15,7 +15,10 @@ FAST = ["read_articles", "assemble_body", "first_of_list", "drop_any_null", "sam
         "publications_by_month", "date_extremes", "wordcloud_title", "top_bigrams_abstract_raw",
         "symbols_body", "clean_text_pages", "replace_urls_pages", "split_sentences", "tokenize_sentence",
         "word_vectors", "document_frequency", "rank_documents", "top10_articles", "relevant_sentences",
-        "lemma_table", "sentence_vectors", "similarity_matrix", "top5_per_question", "document_tokens", "nearest_documents"]
+        "lemma_table", "sentence_vectors", "similarity_matrix", "top5_per_question", "document_tokens", "nearest_documents",
+        "read_metadata", "write_articles", "read_article_json", "missing_bodies", "drop_columns", "drop_null_key", "add_row_index",
+        "parse_number", "replace_math", "expand_contractions", "question_explode", "abbreviations", "split_sentences_trained",
+        "preprocess_corpus", "wordcloud_body_text"]
 
 
 @pytest.fixture(scope="module")

@@ -81,3 +81,42 @@ def test_article_json_of_escaped_names_and_qualified_roots(spark, tmp_path):
     for given in (str(root), f"file:{root}", f"file://{root}/"):
         got = {r.json_path for r in files.read_article_json(spark, given).collect()}
         assert got == {"a b/x y.json", "a b/50%.json", "a b/p+q.json"}, given
+
+
+def test_metadata_keeps_odd_records(spark, tmp_path):
+    p = tmp_path / "m.csv"
+    p.write_text('a,b\n1," x ""q""\nline "\nNA,nan\n2\n3,4,5\n', encoding="utf-8")
+    rows = files.read_metadata(spark, str(p), ["a", "b"], rescued="_bad").collect()
+    got = {(r.a, r.b, r["_bad"] is not None) for r in rows}
+    assert ("1", ' x "q"\nline ', False) in got and (None, None, False) in got and len(rows) == 4
+    assert sum(r["_bad"] is not None for r in rows) == 2
+    assert files.read_metadata(spark, str(p), ["a", "b"]).columns == ["a", "b"]
+
+
+def test_missing_bodies_are_counted(spark):
+    meta = spark.createDataFrame([("1", "a/1.json; b/1.json"), ("2", "a/2.json"), ("3", "a/3.json")], "cord_uid string, pdf_json_files string")
+    bodies = spark.createDataFrame([("a/1.json", "x"), ("a/3.json", "y")], "json_path string, body_text string")
+    assert [r.cord_uid for r in files.missing_bodies(meta, bodies).collect()] == ["2"]
+
+
+def test_row_index_by_ranges(spark):
+    from sentsift.operators import prepare
+    rows = [(None if i % 50 == 7 else f"k{i * 7919 % 301:03d}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, i long")
+    expected = {i: n for n, (_, i) in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])))}
+    for ranges in (1, 2, 64):
+        got = {r.i: r["index"] for r in prepare.add_row_index(df, ["k", "i"], ranges=ranges).collect()}
+        assert got == expected
+    assert prepare.add_row_index(df.limit(0), ["k"]).columns == ["k", "i", "index"]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
+    import types
+
+    import pytest
+
+    from sentsift import session
+    conf = types.SimpleNamespace(get=lambda k, d=None: d)
+    sc = types.SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(types.SimpleNamespace(conf=conf, sparkContext=sc))
