@@ -262,11 +262,7 @@ def _seeded(tables, offsets: np.ndarray, flat: np.ndarray) -> np.ndarray:
 
 
 class _Items:
-    """The items of one size class: their vectors, words, and an inverted list of the rarest words of each.
-
-    An item of which a text holds ``LCS_SHARE`` has at least one of any share above the rest there; so its rarest words, as
-    many as may be missing and one more, lead to every item that can be found.
-    """
+    """The items of one size class: their vectors and words."""
 
     def __init__(self, space: LatentSpace, own: list):
         self.own = own
@@ -275,25 +271,48 @@ class _Items:
         self.least = LCS_SHARE * self.length
         self.grid = np.full((len(own), int(self.length.max())), 1 << TERM_BITS)  # the last slot is never present
         self.has = np.zeros((len(own), 1 << TERM_BITS), bool)
+        for r, (_, w, _) in enumerate(own):
+            self.grid[r, : len(w)] = _terms(w)
+            self.has[r, _terms(w)] = True
+
+
+class _RareWords:
+    """An inverted list of the rarest words of all items.
+
+    An item of which a text holds ``LCS_SHARE`` has at least one of any share above the rest there; so its rarest words, as
+    many as may be missing and one more, lead to every item that can be found, in one pass over the words of a batch.
+    """
+
+    def __init__(self, space: LatentSpace, classes: list[_Items]):
         rarity = np.linalg.norm(space.vectors, axis=1)  # idf
         term, item = [], []
-        for r, (_, w, _) in enumerate(own):
-            t = _terms(w)
-            self.grid[r, : len(t)] = t
-            self.has[r, t] = True
-            rare = np.unique(t[np.argsort(-rarity[t], kind="stable")][: len(t) - int(np.ceil(self.least[r] - 1e-9)) + 1])
-            term.append(rare)
-            item.append(np.full(len(rare), r))
-        term, item = np.concatenate(term), np.concatenate(item)
+        self.place = []  # class and number there of each item
+        for k, c in enumerate(classes):
+            for r, (_, w, _) in enumerate(c.own):
+                t = _terms(w)
+                rare = np.unique(t[np.argsort(-rarity[t], kind="stable")][: len(t) - int(np.ceil(c.least[r] - 1e-9)) + 1])
+                term.append(rare)
+                item.append(np.full(len(rare), len(self.place)))
+                self.place.append((k, r))
+        self.place = np.array(self.place, np.int64).reshape(-1, 2)
+        term = np.concatenate(term) if term else np.zeros(0, np.int64)
         order = np.argsort(term, kind="stable")
-        self.item = item[order]
+        self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
         self.ends = np.searchsorted(term[order], np.arange((1 << TERM_BITS) + 1))
-
-    def possible(self, present: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-        """Numbers of the items of which a text holds enough words; ``distinct``: its terms."""
-        first, size = self.ends[distinct], self.ends[distinct + 1] - self.ends[distinct]
-        some = np.unique(self.item[np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)])
-        return some[present[self.grid[some]].sum(axis=1) >= self.least[some]]
+        self.known = self.ends[1:] > self.ends[:-1]
+
+    def candidates(self, offsets: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ends, classes, numbers): the items that a word of each text leads to, text by text."""
+        terms = _terms(flat)
+        at = np.flatnonzero(self.known[terms])
+        t = terms[at]
+        first, size = self.ends[t], self.ends[t + 1] - self.ends[t]
+        text = np.searchsorted(offsets, at, "right") - 1
+        met = self.item[np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)]
+        code = np.unique(np.repeat(text, size) * max(1, len(self.place)) + met)
+        ends = np.searchsorted(code, np.arange(len(offsets)) * max(1, len(self.place)))
+        kind, number = self.place[code % max(1, len(self.place))].T if len(code) else (code, code)
+        return ends, kind, number
 
 
 def _search(space, items, threshold: float):
@@ -307,6 +326,7 @@ def _search(space, items, threshold: float):
             own = [(i, np.asarray(w, np.int32), list(a)) for i, w, a in items.value if max(lo, SHORT_ITEM) <= len(w) < hi]
             if own:
                 classes.append((size, _Items(s, own)))
+        rare = _RareWords(s, [c for _, c in classes])
         for batch in batches:
             offsets, flat = _flat(batch.column(1))
             ids = batch.column(0).to_pylist()
@@ -326,17 +346,23 @@ def _search(space, items, threshold: float):
                     best[d, item] = found
 
             here = np.zeros((1 << TERM_BITS) + 1, bool)
+            ends, kind, number = rare.candidates(offsets, flat)
             for d in range(batch.num_rows):
                 words = flat[offsets[d]: offsets[d + 1]]
                 if not len(words):
                     continue
+                lo, hi = ends[d], ends[d + 1]
+                if lo == hi:
+                    continue
                 terms = _terms(words)
                 here[terms] = True
-                distinct = np.flatnonzero(here)
-                may_be = [c.possible(here, distinct) for _, c in classes]
-                here[distinct] = False
+                enough = []
+                for k, (_, c) in enumerate(classes):
+                    some = number[lo:hi][kind[lo:hi] == k]
+                    enough.append(some[here[c.grid[some]].sum(axis=1) >= c.least[some]])
+                here[terms] = False
                 sums = None
-                for (size, c), may in zip(classes, may_be, strict=True):
+                for (size, c), may in zip(classes, enough, strict=True):
                     if not len(may):
                         continue
                     own, q, grid, has, length, least = c.own, c.q, c.grid, c.has, c.length, c.least
