@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,20 @@ BLOOM = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSi
 ANY_ID = f"doc_id >= {-2 ** 63}"
 
 
+def tidy(run):
+    """A batch function whose worker gives freed memory back after a partition; workers live on between stages."""
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return inner
+
+
 @contextmanager
 def bloom_joins(spark: SparkSession):
     """Semi joins written inside drop most rows without a partner before they are shuffled; a full filter drops none."""

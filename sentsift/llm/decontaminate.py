@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentsift.llm.common import cut
+from sentsift.llm.common import cut, tidy
 
 TERM_BITS, RANK, OVERSAMPLE, PASSAGE = 14, 48, 8, 32
 SIZES = (16, 32, 56)  # windows for items under 24, under 48, and longer
@@ -156,7 +156,7 @@ def fit_space(ids: DataFrame) -> LatentSpace:
     """Randomised SVD over all rows of ``ids`` (array<int> column ``ids``); the driver gets vocabulary-sized sums."""
     spark = ids.sparkSession
     size = 1 << TERM_BITS
-    counts = (ids.select("ids").mapInArrow(_frequencies, "term long, df long").groupBy("term")
+    counts = (ids.select("ids").mapInArrow(tidy(_frequencies), "term long, df long").groupBy("term")
               .agg(F.sum("df").alias("df")).collect())
     df = np.zeros(size)
     for r in counts:
@@ -165,7 +165,7 @@ def fit_space(ids: DataFrame) -> LatentSpace:
     passages = max([r.df for r in counts if r.term < 0], default=0)
     idf = np.log((passages + 1) / (df + 1)).astype(np.float32)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = (ids.select("ids").mapInArrow(_range_part(idf), "term long, z binary").repartition(parts, "term")
+    rows = (ids.select("ids").mapInArrow(tidy(_range_part(idf)), "term long, z binary").repartition(parts, "term")
             .mapInPandas(_add_up, "term long, z binary").collect())
     z = np.zeros((size, RANK + OVERSAMPLE))
     for r in rows:
@@ -420,7 +420,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for b in range(blocks):
         part = bench.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b) if blocks > 1 else bench
         items = spark.sparkContext.broadcast([(r.item, r.w, r.a) for r in part.orderBy("item").collect()])
-        found = ids.mapInArrow(_search(space, items, threshold), FOUND)
+        found = ids.mapInArrow(tidy(_search(space, items, threshold)), FOUND)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], FOUND)
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentsift.llm.common import ANY_ID, ascii_lower, bloom_joins, components, cut, drop_cut, release, word_hashes
+from sentsift.llm.common import ANY_ID, ascii_lower, bloom_joins, components, cut, drop_cut, release, tidy, word_hashes
 
 WIDTH = 5
 PERCENT = 75
@@ -224,7 +224,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     hashed = base.select("doc_id", word_hashes(ascii_lower(F.col("text"))).alias("wh")).filter("doc_id is not null")
-    sig = cut(hashed.mapInArrow(_signatures(width), "doc_id long, n long, s1 long, s2 long, part array<long>"),
+    sig = cut(hashed.mapInArrow(tidy(_signatures(width)), "doc_id long, n long, s1 long, s2 long, part array<long>"),
               "op2sig")
     reps = sig.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     member = cut(sig.select("doc_id", "n", "s1", "s2", F.size("part").alias("q")).join(reps, ["s1", "s2", "n"], "left")
@@ -241,7 +241,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     with bloom_joins(spark):  # whole texts of documents that left are not shuffled
         sets = cut(base.join(alive.filter(ANY_ID), "doc_id", "left_semi")
                    .select("doc_id", word_hashes(ascii_lower(F.col("text"))).alias("wh"))
-                   .mapInArrow(_sets(width), "doc_id long, n long, sh array<long>"), "op2sets")
+                   .mapInArrow(tidy(_sets(width)), "doc_id long, n long, sh array<long>"), "op2sets")
     release(spark)
     links = _join(sets, percent, full)
     return member, links
@@ -304,7 +304,7 @@ def _verify(pool: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     sa = here.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa"))
     sb = here.select(F.col("doc_id").alias("b"), F.col("sh").alias("sb"))
     return cut(pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-               .mapInArrow(_overlaps(percent), "a long, b long"), "op2links")
+               .mapInArrow(tidy(_overlaps(percent)), "a long, b long"), "op2links")
 
 
 def _join(sets: DataFrame, percent: int, full: bool = False) -> DataFrame:

@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from sentsift.llm.common import tidy
 from sentsift.llm.segments import SegmentStore, cut_between, pieces_of
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
 BATCH_BYTES = 4 << 20
-MEMO = 800_000  # stretches whose ids a worker keeps
+MEMO = 400_000  # stretches whose ids a worker keeps
 _END = 0  # trie key of a piece end; other keys are characters
 
 
@@ -223,7 +224,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", vocabu
     columns = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
     source = docs.select(*columns)
     schema = StructType([*source.schema.fields]).add(out_col, ArrayType(IntegerType()))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def decode(docs: DataFrame, ids_col: str = "ids", out_col: str = "decoded", vocabulary: Vocabulary | None = None,
@@ -242,4 +243,4 @@ def decode(docs: DataFrame, ids_col: str = "ids", out_col: str = "decoded", voca
 
     columns = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
     source = docs.select(*columns)
-    return source.mapInArrow(run, StructType([*source.schema.fields]).add(out_col, StringType()))
+    return source.mapInArrow(tidy(run), StructType([*source.schema.fields]).add(out_col, StringType()))

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
+from sentsift.llm.common import tidy
+
 BITS, DIM, FILTERS, WIDTHS = 17, 16, 16, (1, 2, 3)
 MAX_POSITIVE, MAX_NEGATIVE = 2000, 3000
 MIN_DOCS, CHANCE, EPOCHS, RATE, DECAY, SEED = 3, 4.0, 5, 0.05, 1e-4, 7
@@ -166,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
     rows = sample_labels(docs, labels, label_col, id_col, text_col)
     made = (rows.repartition(1).sortWithinPartitions("__id").select(F.col("label").cast("int"), tokens(F.col("text")).alias("t"))
-            .mapInArrow(run, "model binary").first())
+            .mapInArrow(tidy(run), "model binary").first())
     return pickle.loads(made.model) if made is not None else _empty(languages)
 
 
@@ -339,4 +341,4 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
             scores = np.concatenate(out) if out else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*columns, out_col])
 
-    return source.mapInArrow(run, StructType(source.schema.fields[:-1]).add(out_col, DoubleType()))
+    return source.mapInArrow(tidy(run), StructType(source.schema.fields[:-1]).add(out_col, DoubleType()))
