@@ -88,8 +88,9 @@ def sentence_ids(sentences: DataFrame, questions: DataFrame) -> DataFrame:
                            F.col("sentence").alias("text"))
     qs = questions.select(F.lit(1).alias("part"), F.col("q_id").alias("a"), F.lit(0).alias("b"),
                           F.col("question").alias("text"))
-    allrows = art.unionByName(qs)
-    last = allrows.groupBy("text").agg(F.max(F.struct("part", "a", "b")).alias("id"))
-    return allrows.join(last, "text").select(
+    # Two digests stand for a text, so only the result moves texts, once.
+    allrows = art.unionByName(qs).withColumns({"_m": F.md5("text"), "_x": F.xxhash64("text")})
+    last = allrows.groupBy("_m", "_x").agg(F.max(F.struct("part", "a", "b")).alias("id"))
+    return allrows.join(last, ["_m", "_x"]).select(
         "part", "a", "b", "text", F.col("id.part").alias("id_part"), F.col("id.a").alias("id_a"),
         F.col("id.b").alias("id_b"))

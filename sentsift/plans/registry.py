@@ -578,12 +578,18 @@ def q_top5_per_question(spark, sf):
 
 
 @register("relevant_sentences_per_article", F_sql("""
-, agg AS (SELECT doc_id, string_agg(sentence, chr(10) ORDER BY -score, sentence) AS rs, count(*) AS n
+, agg AS (SELECT doc_id, string_agg(sentence, chr(30) ORDER BY -score, sentence) AS rs, count(*) AS n
           FROM relevant GROUP BY doc_id)
 SELECT d.doc_id, coalesce(agg.rs, '') AS relevant_sentences, coalesce(agg.n, 0) AS n_relevant
 FROM documents d LEFT JOIN agg USING (doc_id)"""))
 def q_relevant_per_article(spark, sf):
-    return retrieve.relevant_sentences_per_article(tables.articles(spark, sf), corpus.relevant_sentences(spark, sf))
+    a = tables.articles(spark, sf, abstract=False)
+    return _listed(retrieve.relevant_sentences_per_article(a, corpus.relevant_sentences(spark, sf)))
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    """The list column as one string; the separator stands in no sentence of the tables."""
+    return df.withColumn("relevant_sentences", F.array_join("relevant_sentences", "\x1e"))
 
 
 @register("top_sentences_global", F_sql(f"""SELECT doc_id, sentence, score FROM relevant
@@ -686,15 +692,20 @@ def q_compare_fields(spark, sf):
 @register("similar_articles", _nearest_sql("preprocessed_body_text").replace(
     "SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s", """
     , r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s),
-    rel AS (SELECT doc_id, count(*) AS n_relevant, string_agg(sentence, chr(10) ORDER BY -score, sentence) AS rs
+    rel AS (SELECT doc_id, count(*) AS n_relevant, string_agg(sentence, chr(30) ORDER BY -score, sentence) AS rs
             FROM relevant GROUP BY doc_id)
     SELECT r.rank, r.doc_id, r.score, a.abstract, a.body_text, coalesce(rel.rs, '') AS relevant_sentences,
            coalesce(rel.n_relevant, 0) AS n_relevant
     FROM r JOIN articles a USING (doc_id) LEFT JOIN rel USING (doc_id)"""))
 def q_similar_articles(spark, sf):
-    top = _nearest(spark, sf, "preprocessed_body_text")
-    a = tables.articles(spark, sf).select("doc_id", "abstract", "body_text")
-    rel = retrieve.relevant_sentences_per_article(top.select("doc_id"), corpus.relevant_sentences(spark, sf))
+    top = _nearest(spark, sf, "preprocessed_body_text").persist()
+    ids = [r.doc_id for r in top.select("doc_id").collect()]  # a top-k report
+    own = F.col("doc_id").isin(ids) if ids else F.lit(False)
+    a = tables.articles(spark, sf).select("doc_id", "abstract", "body_text").where(own)
+    # idf is local to an article, so the others need not be scored.
+    st = corpus.sentence_tokens(spark, sf).where(own)
+    found = retrieve.relevant_sentences(st, corpus.question_tokens(spark, sf), corpus.word_vectors(spark, sf, st))
+    rel = _listed(retrieve.relevant_sentences_per_article(top.select("doc_id"), found))
     return top.join(a, "doc_id").join(rel, "doc_id").select(
         "rank", "doc_id", "score", "abstract", "body_text", "relevant_sentences", "n_relevant")
 
@@ -828,7 +839,7 @@ def _type_sql(e: str) -> str:
             f"ELSE {bare} END)")
 
 
-PUNKT = F_sql(f"""
+PUNKT = F_sql(rf"""
 , tk AS (SELECT {_type_sql('t')} AS t FROM (SELECT unnest({O.split_ws("coalesce(text, '')")}) AS t FROM documents)),
 tc AS (SELECT CASE WHEN t LIKE '%.' THEN left(t, length(t) - 1) ELSE t END AS type,
          count(*) FILTER (WHERE t LIKE '%.')::DOUBLE AS k, count(*) FILTER (WHERE t NOT LIKE '%.')::DOUBLE AS rest
@@ -847,7 +858,7 @@ def q_abbreviations(spark, sf):
     return punkt.abbreviations(punkt.type_counts(tables.articles(spark, sf, abstract=False), "body_text"))
 
 
-@register("split_sentences_trained", PUNKT + f"""
+@register("split_sentences_trained", PUNKT + rf"""
 , ps AS (SELECT doc_id, {O.split_sentences('text')} AS s FROM documents),
 pb AS (SELECT doc_id, i, {_type_sql("regexp_extract(s[i], '([^ \t\n\r\f]+)$', 1)")} AS e, {_type_sql("regexp_extract(s[i + 1], '^([^ \t\n\r\f]+)', 1)")} AS f,
          regexp_matches(regexp_extract(s[i + 1], '^([^ \t\n\r\f]+)', 1), '^[^\p{{L}}]*\p{{Lu}}') AS upper
@@ -875,3 +886,15 @@ def q_split_sentences_trained(spark, sf):
     s = punkt.split_sentences(a, "doc_id", "body_text", known, starters)
     return s.select("doc_id", F.posexplode("sentences").alias("pos", "sentence")).select(
         "doc_id", F.col("pos").cast("long").alias("pos"), "sentence")
+
+
+# ------------------------------------------------- search by an index
+from sentsift.operators import vector_index  # noqa: E402
+
+
+@register("nearest_vectors_index")
+def q_nearest_vectors_index(spark, sf):
+    """The ten nearest of all vectors for every vector whose id is divisible by 20, by inverted lists."""
+    e = tables.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    index = vector_index.fit_index(e, "vec_id", "embedding")
+    return vector_index.search(index, e, e.where("vec_id % 20 = 0"), "vec_id", "embedding", fv.TOP_DOCUMENTS)

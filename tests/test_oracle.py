@@ -53,7 +53,7 @@ def test_every_query_has_oracle_or_is_marked():
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
     assert rows_only <= {"sentence_embedding_model", "mean_vector_similarity", "document_embedding_model",
-                         "document_embedding_model_abstract", "embed_documents", "rank_documents_encoder"}
+                         "document_embedding_model_abstract", "embed_documents", "rank_documents_encoder", "nearest_vectors_index"}
 
 
 def test_entry_smoke(spark):

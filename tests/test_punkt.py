@@ -14,7 +14,8 @@ def texts(spark):
     for i in range(60):
         f = [FILLER[(i + k) % 4] for k in range(4)]
         rows.append((i, f"{f[0]} as shown in Fig. {i} of the book. {f[1]} with tools, e.g. hammers and saws. {f[2]} near Dr. Smith! {f[3]}."))
-    rows += [(100, None), (101, ""), (102, "One."), (103, "What? Yes. " * 400)]
+    rows += [(100, None), (101, ""), (102, "One."), (103, "What? Yes. " * 400),
+             (104, "the book and saws again yes home hills leave " * 120)]
     return spark.createDataFrame(rows, "doc_id long, body string")
 
 
