@@ -37,7 +37,7 @@ SIZES = (16, 32, 56)  # windows for items under 24, under 48, and longer
 COSINE, LCS_SHARE, ANSWER_SHARE, SHORT_ITEM = 0.4, 0.6, 0.5, 8
 SEED_WORDS = 8
 ITEM_BLOCK = 2048
-STEP = 16_384  # words whose vectors are added up at a time
+STEP = 4096  # words whose vectors are added up at a time; the running sums stay in the cache
 CELLS = 1 << 22  # item by word table of the search
 SEED = 11
 _MULT = np.uint64(0x9E3779B97F4A7C15)
