@@ -515,7 +515,7 @@ def q_document_frequency(spark, sf):
 SELECT doc_id, pos, round(wsum, 6) AS weight_sum,
        CASE WHEN abs(wsum) > {1e-12} THEN round(sqrt(list_dot_product(vec, vec)) / abs(wsum), 6) END AS vec_norm,
        CASE WHEN abs(wsum) > {1e-12} AND list_dot_product(vec, vec) > 0 THEN array_to_string(list_transform(vec,
-         lambda x: CAST(round(1e5 * sign(wsum) * x / sqrt(list_dot_product(vec, vec))) AS BIGINT)), ',') END AS direction
+         lambda x: CAST(floor(1e5 * sign(wsum) * x / sqrt(list_dot_product(vec, vec)) + 0.3137) AS BIGINT)), ',') END AS direction
 FROM sv"""))
 def q_sentence_vectors(spark, sf):
     """Set-based weighted sentence vectors (the standalone operator chain)."""
@@ -536,7 +536,8 @@ def q_sentence_vectors(spark, sf):
          .join(wv.select("token", "vec"), "token"))
     v = vectors.weighted_sentence_vector(w, ["doc_id", "pos"])
     v = v.withColumn("norm", vectors.norm("vec"))
-    direction = F.array_join(F.transform("vec", lambda x: F.round(1e5 * x / F.col("norm")).cast("long").cast("string")), ",")
+    # Cut, not rounded, off a multiple that exact quotients do not meet.
+    direction = F.array_join(F.transform("vec", lambda x: F.floor(1e5 * x / F.col("norm") + 0.3137).cast("string")), ",")
     return v.select("doc_id", F.col("pos").cast("long").alias("pos"), F.round("weight_sum", 6).alias("weight_sum"),
                     F.round("norm", 6).alias("vec_norm"), F.when(F.col("norm") > 0, direction).alias("direction"))
 
