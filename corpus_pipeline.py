@@ -16,16 +16,32 @@ from sentsift.llm.common import cut, drop_cut, read
 ORACLE_SQL = None
 
 
+#: Rows that go to a Python worker at once. Documents are long: Spark's default of 10,000 rows is some 100 MB in every worker
+#: and as much beside the JVM's heap.
+BATCH_ROWS = 2000
+
+
+def _batches(spark: SparkSession, rows: int | None) -> None:
+    """``rows`` at once from now on, or Spark's default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(key) if rows is None else spark.conf.set(key, rows)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _batches(spark, BATCH_ROWS)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), "toxic")
     return toxicity.score(docs, model, out_col="__toxic").filter("__toxic < 0.5").drop("__toxic")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_one(docs)
+    _batches(spark, None)  # the join adds up equal shingles batch by batch
+    kept = ngram_join.keep_one(docs)
+    _batches(spark, BATCH_ROWS)
+    return kept
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _batches(spark, BATCH_ROWS)
     return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -35,6 +51,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _batches(spark, BATCH_ROWS)
     return sentencepiece.encode(docs).withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
 
 
