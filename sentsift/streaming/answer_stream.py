@@ -3,8 +3,8 @@
 File source of question rows -> ``foreachBatch`` -> relevant sentences per article, written to a Parquet table partitioned
 by ``batch``. The weights of every question depend on all questions asked (their number and token frequencies), so the
 questions are kept as a table beside the output, one partition per micro-batch, and every batch answers all of them anew:
-``latest_answers`` is the same however the questions are split into files. The corpus side (sentence tokens and word
-vectors) is stored once and read by every batch. The checkpoint folder makes the stream restartable, and a replayed batch
+``latest_answers`` is the same however the questions are split into files. The corpus side (sentences and, unless
+their source works them out, word vectors) is stored once and read by every batch. The checkpoint folder makes the stream restartable, and a replayed batch
 overwrites its own partitions.
 """
 
@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentsift.operators import retrieve, sentences
+from sentsift.operators.vectors import HashedVectors
 
 
-def answer_stream(spark: SparkSession, question_path: str, sentences_tok: DataFrame, vocab: DataFrame,
+def answer_stream(spark: SparkSession, question_path: str, sentences_tok: DataFrame, vocab: DataFrame | HashedVectors,
                   out_path: str, checkpoint: str, schema: str = "item_id long, text string",
                   available_now: bool = True, max_files_per_trigger: int | None = None,
                   file_filter: str | None = None):
@@ -31,9 +32,10 @@ def answer_stream(spark: SparkSession, question_path: str, sentences_tok: DataFr
 
     spark_of = sentences_tok.sparkSession
     sentences_tok.write.mode("overwrite").parquet(f"{out_path}/corpus/sentences")
-    vocab.write.mode("overwrite").parquet(f"{out_path}/corpus/vectors")
-    stored = spark_of.read.parquet(f"{out_path}/corpus/sentences")
-    known = spark_of.read.parquet(f"{out_path}/corpus/vectors")
+    stored, known = spark_of.read.parquet(f"{out_path}/corpus/sentences"), vocab
+    if not isinstance(vocab, HashedVectors):
+        vocab.write.mode("overwrite").parquet(f"{out_path}/corpus/vectors")
+        known = spark_of.read.parquet(f"{out_path}/corpus/vectors")
 
     def answer(batch: DataFrame, epoch: int) -> None:
         new = batch.select(F.col("item_id").alias("q_id"), F.col("text").alias("question"))
