@@ -27,11 +27,14 @@ def token_type(token: Column) -> Column:
 
 def type_counts(texts: DataFrame, col: str) -> DataFrame:
     """``(type, with_period, without)``: occurrences of every type, by whether a period follows it."""
-    tokens = texts.select(F.explode(tx.split_ws(F.coalesce(F.col(col), F.lit("")))).alias("t")).select(token_type(F.col("t")).alias("t"))
+    # Equal tokens are counted first, so that the type of each is worked out once.
+    tokens = (texts.select(F.explode(tx.split_ws(F.coalesce(F.col(col), F.lit("")))).alias("t")).groupBy("t")
+              .agg(F.count(F.lit(1)).alias("c")).select(token_type(F.col("t")).alias("t"), "c"))
     ends = F.col("t").endswith(".")
     return (tokens.where("t <> '' and t <> '.'")
             .groupBy(F.when(ends, F.expr("left(t, length(t) - 1)")).otherwise(F.col("t")).alias("type"))
-            .agg(F.count(F.when(ends, 1)).alias("with_period"), F.count(F.when(~ends, 1)).alias("without")))
+            .agg(F.sum(F.when(ends, F.col("c")).otherwise(0)).alias("with_period"),
+                 F.sum(F.when(~ends, F.col("c")).otherwise(0)).alias("without")))
 
 
 def abbreviations(counts: DataFrame, least: float = ABBREVIATION) -> DataFrame:
@@ -69,13 +72,17 @@ def sentence_starters(sentences: DataFrame, counts: DataFrame, known: DataFrame,
             .select("type", F.round(collocation_score(k, a, F.col("b"), n), 6).alias("score")).where(F.col("score") >= least))
 
 
+def pieces(texts: DataFrame, col: str) -> Column:
+    """The pieces of a column of texts, or a column that holds pieces already."""
+    return F.col(col) if texts.schema[col].dataType.typeName() == "array" else tx.split_sentences(F.col(col))
+
+
 def boundaries(texts: DataFrame, key: str, col: str) -> DataFrame:
     """``(key, i, ends, next, upper)``: possible sentence ends, with the last type (no period) and the next word's type.
 
     Ends in ``!`` or ``?`` have a null ``ends``. ``i`` is the number of the piece that would begin a sentence.
     """
-    s = tx.split_sentences(F.col(col))
-    pairs = texts.select(F.col(key), s.alias("s")).where(F.size("s") > 1).select(key, F.posexplode(F.arrays_zip(
+    pairs = texts.select(F.col(key), pieces(texts, col).alias("s")).where(F.size("s") > 1).select(key, F.posexplode(F.arrays_zip(
         F.col("s").alias("a"), F.slice("s", 2, F.size("s") - 1).alias("b"))).alias("i", "x")).where("x.b is not null")
     last = F.regexp_extract("x.a", r"(\S+)$", 1)
     first = F.regexp_extract("x.b", r"^(\S+)", 1)
@@ -86,15 +93,19 @@ def boundaries(texts: DataFrame, key: str, col: str) -> DataFrame:
                         F.regexp_replace(following, r"\.$", "").alias("next"), first.rlike(r"^[^\p{L}]*\p{Lu}").alias("upper"))
 
 
-def split_sentences(texts: DataFrame, key: str, col: str, known: DataFrame, starters: DataFrame) -> DataFrame:
-    """``(key, sentences)``: the pieces of ``text.split_sentences`` joined again after abbreviations; ``key`` is unique."""
-    ends = boundaries(texts, key, col).where("ends is not null")
+def split_sentences(texts: DataFrame, key: str, col: str, known: DataFrame, starters: DataFrame,
+                    places: DataFrame | None = None) -> DataFrame:
+    """``(key, sentences)``: the pieces of ``text.split_sentences`` joined again after abbreviations; ``key`` is unique.
+
+    ``places``: the ``boundaries`` of the texts, where they are made already.
+    """
+    ends = (boundaries(texts, key, col) if places is None else places).where("ends is not null")
     opens = starters.select(F.col("type").alias("next"), F.lit(True).alias("starter"))
     joined = (ends.join(known.select(F.col("type").alias("ends")), "ends", "left_semi").join(opens, "next", "left")
               .where(~(F.coalesce("starter", F.lit(False)) & F.col("upper"))).groupBy(key).agg(F.collect_set("i").alias("joined")))
-    pieces = texts.select(F.col(key), tx.split_sentences(F.col(col)).alias("s")).join(joined, key, "left")
+    whole = texts.select(F.col(key), pieces(texts, col).alias("s")).join(joined, key, "left")
     n = F.size("s")
     starts = F.array_except(F.sequence(F.lit(0), n - 1), F.coalesce("joined", F.array().cast("array<int>")))
     stops = F.concat(F.slice("starts", 2, F.size("starts")), F.array(n))
-    return (pieces.withColumn("starts", starts).withColumn("spans", F.arrays_zip(F.col("starts").alias("a"), stops.alias("b")))
+    return (whole.withColumn("starts", starts).withColumn("spans", F.arrays_zip(F.col("starts").alias("a"), stops.alias("b")))
             .select(key, F.transform("spans", lambda x: F.array_join(F.slice("s", x["a"] + 1, x["b"] - x["a"]), " ")).alias("sentences")))
