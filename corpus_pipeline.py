@@ -18,7 +18,7 @@ ORACLE_SQL = None
 
 #: Rows that go to a Python worker at once. Documents are long: Spark's default of 10,000 rows is some 100 MB in every worker
 #: and as much beside the JVM's heap.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def _batches(spark: SparkSession, rows: int | None) -> None:

@@ -36,8 +36,8 @@ from sentsift.llm.segments import SegmentStore, cut_between, pieces_of
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
-BATCH_BYTES = 4 << 20
-MEMO = 400_000  # stretches whose ids a worker keeps
+BATCH_BYTES = 2 << 20
+MEMO = 200_000  # stretches whose ids a worker keeps
 _END = 0  # trie key of a piece end; other keys are characters
 
 
