@@ -54,3 +54,22 @@ def test_encoder_adds_words_up_in_slices(spark, monkeypatch):
     one = rows()
     monkeypatch.setattr(models, "ROWS", 2)
     assert rows() == one and len(one) == 7
+
+
+def test_article_json_is_packed(spark, tmp_path):
+    """Many articles share a file; null and odd ids are kept."""
+    import os
+
+    from sentsift.sources import files
+    rows = [(i, t, "user", f"say {i} {t}\n") for i in range(200) for t in range(2)] + [(-5, 0, None, None)]
+    sf = str(tmp_path)
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{sf}/conversations.parquet")
+    bodies = registry._json_bodies(spark, sf)
+    assert len(bodies.inputFiles()) < 100
+    assert {r.json_path for r in bodies.collect()} == {f"a/{r[0]}.json" for r in rows}
+    got = {r.conv_id: r.body_text for r in registry.queries()["read_article_json"](spark, sf).collect()}
+    assert len(got) == 201 and got[3] == "user\n\nsay 3 0\nsay 3 1\n\n\n" and got[-5] == "\n\n\n\n"
+    one = tmp_path / "one"
+    os.makedirs(one)
+    (one / "x.json").write_text('{"json_path": "a/1.json", "body_text": [{"section": "S", "text": "t"}]}\n{"json_path": "a/2.json"}\n')
+    assert {r.json_path for r in files.read_article_json(spark, str(one), lines=True).collect()} == {"a/1.json", "a/2.json"}
