@@ -73,3 +73,12 @@ def test_article_json_is_packed(spark, tmp_path):
     os.makedirs(one)
     (one / "x.json").write_text('{"json_path": "a/1.json", "body_text": [{"section": "S", "text": "t"}]}\n{"json_path": "a/2.json"}\n')
     assert {r.json_path for r in files.read_article_json(spark, str(one), lines=True).collect()} == {"a/1.json", "a/2.json"}
+
+
+def test_word_cloud_reads_stored_pairs(spark):
+    """The texts are not read again for the result."""
+    from sentsift.operators import profile
+    df = spark.createDataFrame([("Dogs' tail 42 the dog's 7up dog",), ("Dogs' tail 42 the dog's 7up dog",), (None,)], "t string")
+    out = profile.wordcloud_weights(df, "t")
+    assert "ExistingRDD" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.word, r["count"]) for r in out.collect()} == {("dogs'", 1), ("tail", 1), ("dog", 2), ("7up", 1)}
