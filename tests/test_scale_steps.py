@@ -75,6 +75,10 @@ def test_article_json_is_packed(spark, tmp_path):
     assert {r.json_path for r in files.read_article_json(spark, str(one), lines=True).collect()} == {"a/1.json", "a/2.json"}
 
 
+def test_lemma_words_are_read_once(spark):
+    assert "Union" not in _plan(spark, "lemma_table")
+
+
 def test_word_cloud_reads_stored_pairs(spark):
     """The texts are not read again for the result."""
     from sentsift.operators import profile
@@ -82,3 +86,10 @@ def test_word_cloud_reads_stored_pairs(spark):
     out = profile.wordcloud_weights(df, "t")
     assert "ExistingRDD" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.word, r["count"]) for r in out.collect()} == {("dogs'", 1), ("tail", 1), ("dog", 2), ("7up", 1)}
+
+
+def test_java_whitespace_is_the_same_set(spark):
+    from sentsift.functions import fixed_values as fv
+    c = spark.range(1, 0x3100).select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    assert c.where(F.col("c").rlike(fv.WS_CLASS) != F.col("c").rlike(fv.WS_JAVA)).count() == 0
+    assert c.where(F.col("c").rlike(fv.WS_JAVA)).count() == 29
