@@ -37,7 +37,9 @@ SIZES = (16, 32, 56)  # windows for items under 24, under 48, and longer
 COSINE, LCS_SHARE, ANSWER_SHARE, SHORT_ITEM = 0.4, 0.6, 0.5, 8
 SEED_WORDS = 8
 ITEM_BLOCK = 2048
-STEP = 4096  # words whose vectors are added up at a time; the running sums stay in the cache
+STEP = 2048  # words taken at a time
+BLOCK = 128  # passages whose rows are added up by term at a time
+UNIT = 4  # divides every window size and half of it
 CELLS = 1 << 22  # item by word table of the search
 SEED = 11
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -85,12 +87,14 @@ def _frequencies(batches):
                                      names=["term", "df"])
 
 
-def _sums(rows: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Sums of the stretches of rows that begin at ``start``, as differences of running sums."""
-    total = np.cumsum(rows, axis=0)
-    out = total[np.append(start[1:], len(rows)) - 1]
-    out[1:] -= total[start[1:] - 1]
-    return out
+def _sums_by_term(terms: np.ndarray, at: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms and, for each, the sum of the rows of y of its passages, as a product of counts."""
+    row = np.zeros(1 << TERM_BITS, np.int64)
+    row[terms] = 1
+    once = np.flatnonzero(row)
+    row[once] = np.arange(len(once)) * len(y)
+    counts = np.bincount(row[terms] + at, minlength=len(once) * len(y))
+    return once, counts.astype(np.float32).reshape(len(once), len(y)) @ y
 
 
 def _range_part(idf: np.ndarray):
@@ -114,11 +118,12 @@ def _range_part(idf: np.ndarray):
                 y = test[grid].sum(axis=1)
                 norm = np.add.reduceat(idf[t] ** 2, first)
                 y /= np.maximum(norm, 1e-9)[:, None]
-                order = np.argsort(t.astype(np.uint16), kind="stable")  # TERM_BITS is at most 16: a radix sort
-                s = t[order]
-                start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-                out[s[start]] += _sums(y[at[order]], start)
-                used[s[start]] = True
+                ends = np.append(first, len(t))
+                for p in range(0, len(first), BLOCK):
+                    a, b = ends[p], ends[min(p + BLOCK, len(first))]
+                    once, sums = _sums_by_term(t[a:b], at[a:b] - p, y[p: p + BLOCK])
+                    out[once] += sums
+                    used[once] = True
         some = np.flatnonzero(used)
         rows = (out[some] * idf[some, None]).astype(np.float32)
         for i in range(0, len(some), 4096):
@@ -315,6 +320,19 @@ class _RareWords:
         return ends, kind, number
 
 
+def _running_sums(vectors: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Sums of the vectors of the first 0, 1, 2, ... ``UNIT`` terms; the last row of ``vectors`` is zero."""
+    grid = np.full(-(-len(terms) // UNIT) * UNIT, len(vectors) - 1)
+    grid[: len(terms)] = terms
+    grid = grid.reshape(-1, UNIT)
+    part = vectors[grid[:, 0]]
+    for j in range(1, UNIT):
+        part += vectors[grid[:, j]]
+    sums = np.zeros((len(part) + 1, vectors.shape[1]), np.float32)
+    np.cumsum(part, axis=0, out=sums[1:])
+    return sums
+
+
 def _search(space, items, threshold: float):
     """items: (item_id, word hashes, answer hashes)."""
     def run(batches):
@@ -327,6 +345,7 @@ def _search(space, items, threshold: float):
             if own:
                 classes.append((size, _Items(s, own)))
         rare = _RareWords(s, [c for _, c in classes])
+        vectors = np.vstack([s.vectors, np.zeros((1, RANK), np.float32)])  # texts end in the zero row
         for batch in batches:
             offsets, flat = _flat(batch.column(1))
             ids = batch.column(0).to_pylist()
@@ -367,11 +386,10 @@ def _search(space, items, threshold: float):
                         continue
                     own, q, grid, has, length, least = c.own, c.q, c.grid, c.has, c.length, c.least
                     if sums is None:
-                        sums = np.zeros((len(words) + 1, RANK), np.float32)
-                        np.cumsum(s.vectors[terms], axis=0, out=sums[1:])
+                        sums = _running_sums(vectors, terms)
                     start = np.arange(0, max(1, len(words) - size // 2), size // 2)
                     stop = np.minimum(start + size, len(words))
-                    v = sums[stop] - sums[start]
+                    v = sums[-(-stop // UNIT)] - sums[start // UNIT]
                     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
                     cos = v @ q[may].T
                     near_rows, near_items = _enough(terms, *np.nonzero(cos >= threshold), start, stop, may, has, length)

@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,19 @@ def test_pipeline(spark):
     assert 0 < len(rows) < docs.count() and len({r.doc_id for r in rows}) == len(rows)
     assert not any(re.search(r"[a-z0-9]@[a-z0-9-]+\.[a-z]", r.text) for r in rows)
     assert all(r.n_chars == len(r.text) and r.n_tokens == len(r.ids) for r in rows)
+
+
+def test_sums_of_passages_and_windows():
+    rng = np.random.default_rng(5)
+    for n in (1, 31, 32, 33, 5_000):
+        at = np.arange(n) // decontaminate.PASSAGE
+        terms, y = rng.integers(0, 50, n), rng.standard_normal((int(at[-1]) + 1, 3)).astype(np.float32)
+        exact = np.zeros((50, 3))
+        np.add.at(exact, terms, y[at])
+        once, sums = decontaminate._sums_by_term(terms, at, y)
+        assert np.array_equal(once, np.unique(terms)) and np.allclose(sums, exact[once], atol=1e-4)
+        vectors = np.vstack([rng.standard_normal((50, 3)), np.zeros((1, 3))]).astype(np.float32)
+        sums = decontaminate._running_sums(vectors, terms)
+        for lo in range(0, n, decontaminate.UNIT):
+            hi = min(lo + 16, n)
+            assert np.allclose(sums[-(-hi // decontaminate.UNIT)] - sums[lo // decontaminate.UNIT], vectors[terms[lo:hi]].sum(axis=0), atol=1e-3)
