@@ -84,9 +84,9 @@ class SegmentStore:
 
     def __init__(self, encode, limit: int):
         self.encode, self.limit = encode, limit  # encode: list of texts -> list of id lists
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.ends = np.zeros(1, np.int64)  # of each stored segment's ids in ``flat``
         self.flat = np.zeros(0, np.uint32)
@@ -100,7 +100,7 @@ class SegmentStore:
 
     def _numbers(self, texts: list[str]) -> np.ndarray:
         if len(self.number) > self.limit:
-            self._clear()
+            self.clear()
         new = [t for t in texts if t not in self.number]
         self.number.update(zip(new, self._add(self.encode(new)).tolist(), strict=True))
         return np.fromiter(map(self.number.__getitem__, texts), np.int64, len(texts))

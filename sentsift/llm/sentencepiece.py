@@ -6,7 +6,7 @@ by following the backpointers of all live ends to their common ancestor, tried o
 
 Between two characters that stand together in no piece is always such a boundary, so the ids of the stretches in between
 do not depend on their surroundings: a batch is cut there on its bytes, each different stretch is searched once, and the
-ids are laid out by array operations. A bounded store per worker keeps the ids of stretches met before.
+ids are laid out by array operations. A bounded store per task keeps the ids of stretches met before.
 
 Scores come from the model file. A BPE file holds merge ranks instead of log probabilities; they become Zipf
 log probabilities, log(1 / ((rank + 2) H)). Characters without a piece cost the lowest score - 10 and are written as
@@ -15,7 +15,7 @@ written as byte pieces too, so decoding is exact. Nothing is trained here.
 
 Edge cases: null text gives null ids and back; empty text gives an empty list; texts of any length stream; repeated rows
 encode alike; no shuffle, so hot keys and extra columns do not matter; an empty table gives an empty result; ids
-outside the vocabulary decode to nothing.
+outside the vocabulary decode to nothing, bytes that are no UTF-8 to replacement signs.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ from sentsift.llm.segments import SegmentStore, cut_between, pieces_of
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
-BATCH_BYTES = 2 << 20
-MEMO = 200_000  # stretches whose ids a worker keeps
+BATCH_BYTES = 1 << 20
+MEMO = 200_000  # stretches whose ids a task keeps
 _END = 0  # trie key of a piece end; other keys are characters
 
 
@@ -91,6 +91,7 @@ class Codec:
         raw = {b: bytes([k]) for k, b in enumerate(v.byte_ids)}
         self.bytes = [raw.get(i, p.replace(SPACE, " ").encode() if ok else b"")
                       for i, (p, ok) in enumerate(zip(v.pieces, v.normal, strict=True))]
+        self.table = pa.array([*self.bytes, b""], pa.large_binary())  # the last entry for ids outside the vocabulary
 
     def _spell(self, c: str) -> list[int]:
         return [self.v.byte_ids[b] for b in c.encode()] if self.v.byte_ids else [self.v.unknown]
@@ -185,6 +186,26 @@ class Codec:
         text = b"".join([table[i] for i in ids if 0 <= i < n]).decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of a column of id lists: the bytes of all ids at once, ended row by row; nulls have none."""
+        n = len(self.bytes)
+        ids = lists.flatten().cast(pa.int64()).fill_null(n).to_numpy(zero_copy_only=False)
+        parts = self.table.take(pa.array(np.where((ids >= 0) & (ids < n), ids, n)))
+        rows = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+        _, ends, data = parts.buffers()
+        ends = np.frombuffer(ends, np.int64)[parts.offset:][rows] if len(ids) else np.zeros(len(rows), np.int64)
+        data = np.frombuffer(data, np.uint8)[: ends[-1]] if data is not None else np.zeros(0, np.uint8)
+        led = ends[:-1] < ends[1:]
+        led[led] = data[ends[:-1][led]] == ord(" ")
+        data, ends = np.delete(data, ends[:-1][led]), ends - np.append(0, np.cumsum(led))
+        texts = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(ends), pa.py_buffer(data))
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:  # some text is no UTF-8
+            return pa.array([None if x is None else self.decode([i for i in x if i is not None]) for x in lists.to_pylist()],
+                            pa.string())
+        return pc.if_else(lists.is_valid(), texts.cast(pa.string()), pa.scalar(None, pa.string()))
+
 
 def _bytes(c: str) -> bytes:
     return (" " if c == SPACE else c).encode()
@@ -194,7 +215,7 @@ _CODECS: dict[int, Codec] = {}
 
 
 def codec(v: Vocabulary) -> Codec:
-    """The worker's codec; reused between tasks, so that its memo stays."""
+    """The worker's codec; reused between tasks, without what it stored."""
     key = hash(v)
     if key not in _CODECS:
         _CODECS.clear()
@@ -213,13 +234,16 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", vocabu
 
     def run(batches):
         c = codec(shared.value)
-        for batch in batches:
-            at = batch.schema.names.index(text_col)
-            for part in pieces_of(batch, at, BATCH_BYTES):
-                ends, flat = c.encode(part.column(at))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)),
-                                                 mask=part.column(at).is_null())
-                yield _append(part, lists, out_col)
+        try:
+            for batch in batches:
+                at = batch.schema.names.index(text_col)
+                for part in pieces_of(batch, at, BATCH_BYTES):
+                    ends, flat = c.encode(part.column(at))
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)),
+                                                     mask=part.column(at).is_null())
+                    yield _append(part, lists, out_col)
+        finally:
+            c.store.clear()  # the worker lives on in later stages
 
     columns = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
     source = docs.select(*columns)
@@ -238,8 +262,7 @@ def decode(docs: DataFrame, ids_col: str = "ids", out_col: str = "decoded", voca
             at = batch.schema.names.index(ids_col)
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                texts = [None if ids is None else c.decode(ids) for ids in part.column(at).to_pylist()]
-                yield _append(part, pa.array(texts, pa.string()), out_col)
+                yield _append(part, c.decode_all(part.column(at)), out_col)
 
     columns = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
     source = docs.select(*columns)

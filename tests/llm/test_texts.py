@@ -246,3 +246,25 @@ def test_html_marginals_are_exact():
         total += p
         ones += p * np.array(x)
     assert np.allclose(html_extract.infer(unary, pair, parent, depth)[0], ones / total)
+
+
+def test_sentencepiece_decodes_a_column_at_once(vocabulary, monkeypatch):
+    c = sentencepiece.Codec(vocabulary)
+    texts = pa.array(["plain words", None, "", " ", "  led", "日本 \x00 é", "a " * 5000, None])
+    ends, flat = c.encode(texts)
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)), mask=texts.is_null())
+    broken = pa.array([[vocabulary.byte_ids[0xC3]], None, [], [-1, 10 ** 6, *flat[:3].tolist()]], pa.list_(pa.int32()))
+    assert c.decode_all(broken).to_pylist() == [None if x is None else c.decode(x) for x in broken.to_pylist()]
+    monkeypatch.setattr(c, "decode", None)  # no text by itself
+    assert c.decode_all(lists).to_pylist() == texts.to_pylist()
+    assert c.decode_all(lists.slice(4, 3)).to_pylist() == texts.slice(4, 3).to_pylist()
+
+
+def test_sentencepiece_leaves_nothing_stored_in_workers(spark, docs, vocabulary):
+    def stored(batches):
+        from sentsift.llm import sentencepiece as worker
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(c.store.number) for c in worker._CODECS.values())])], names=["n"])
+
+    sentencepiece.encode(docs, vocabulary=vocabulary).collect()
+    assert spark.range(64).repartition(16).mapInArrow(stored, "n long").agg(F.sum("n")).first()[0] == 0
