@@ -19,6 +19,7 @@ empty table gives an empty result; extra columns are kept by ``score``; a null i
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 from dataclasses import dataclass
 
@@ -162,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         for batch in batches:
             at, flat = _lists(batch.column(1))
             for k, lo, hi in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
-                one[k, flat[lo:hi].tobytes()] = (flat[lo:hi], k)
+                one[k, hashlib.sha256(flat[lo:hi]).digest()] = (flat[lo:hi], k)
         model = train([t for t, _ in one.values()], np.array([k for _, k in one.values()], np.int64), languages)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
@@ -185,17 +186,20 @@ def _empty(languages: dict) -> ToxicityModel:
                          np.zeros(len(FUNCTION_WORDS) + 1))
 
 
-def association(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def association(once: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words whose presence goes with the label, and the signed root of their log-likelihood ratio beyond chance.
 
-    The root is about standard normal for an unrelated word, so ``CHANCE`` is taken off; words within it are left out.
+    ``once`` holds the distinct words of each text. The root is about standard normal for an unrelated word, so ``CHANCE`` is
+    taken off; words within it are left out.
     """
     ones, zeros = int(y.sum()), int((1 - y).sum())
-    once = [np.unique(s) for s in sets]
-    values, inverse = np.unique(np.concatenate(once), return_inverse=True)
-    label = np.repeat(y, [len(o) for o in once])
-    p = np.bincount(inverse, weights=label, minlength=len(values))
-    n = np.bincount(inverse, minlength=len(values)) - p
+    values, n = np.unique(np.concatenate(once), return_counts=True)
+    values, n = values[n >= MIN_DOCS], n[n >= MIN_DOCS].astype(float)  # most words are rare
+    seen_in, times = np.unique(np.concatenate([o for o, k in zip(once, y, strict=True) if k]), return_counts=True)
+    p = np.zeros(len(values))
+    _, at, found = np.intersect1d(values, seen_in, assume_unique=True, return_indices=True)
+    p[at] = times[found]
+    n -= p
     rate = (p + n) / (ones + zeros)
 
     def part(seen, expected):
@@ -204,7 +208,7 @@ def association(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.n
     ratio = 2 * (part(p, ones * rate) + part(n, zeros * rate) + part(ones - p, ones * (1 - rate))
                  + part(zeros - n, zeros * (1 - rate)))
     root = np.sqrt(np.maximum(ratio, 0)) * np.sign(p / ones - n / zeros)
-    keep = (np.abs(root) > CHANCE) & (p + n >= MIN_DOCS)
+    keep = np.abs(root) > CHANCE
     return values[keep], (np.abs(root[keep]) - CHANCE) * np.sign(root[keep])
 
 
@@ -222,8 +226,8 @@ def train(sets: list[np.ndarray], y: np.ndarray, languages: dict) -> ToxicityMod
     learn = np.flatnonzero(~calibrate)
     if len(set(y[learn])) < 2 or len(set(y[calibrate])) < 2:
         learn, calibrate = np.arange(len(y)), np.ones(len(y), bool)
-    halves = [[s & 0xFFFFFFFF for s in sets], [(s >> 32) & 0xFFFFFFFF for s in sets]]
-    found = [association([half[i] for i in learn], y[learn]) for half in halves]
+    halves = [lambda s: s.astype(np.uint32), lambda s: (s >> 32).astype(np.uint32)]  # made text by text
+    found = [association([np.unique(half(sets[i])) for i in learn], y[learn]) for half in halves]
     known = [k for k, _ in found]
     if not any(map(len, known)):
         return m
@@ -234,9 +238,9 @@ def train(sets: list[np.ndarray], y: np.ndarray, languages: dict) -> ToxicityMod
     filters = rng.normal(0, 0.2, (DIM, sum(WIDTHS) * FILTERS)).astype(np.float32)
     bias = np.zeros((len(WIDTHS), FILTERS), np.float32)
     weight = rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32)
-    first = [1, 1 + len(known[0])]
-    short = [_shorten(np.stack([np.where(np.isin(half[i], k), np.searchsorted(k, half[i]) + f, 0)
-                                for half, k, f in zip(halves, known, first, strict=True)])) for i in range(len(sets))]
+    first, learned = [1, 1 + len(known[0])], set(learn.tolist())
+    short = [_shorten(np.stack([_places(half(s), k, f) for half, k, f in zip(halves, known, first, strict=True)]))
+             if i in learned else None for i, s in enumerate(sets)]
     params = {"vectors": vectors, "filters": filters, "bias": bias, "weight": weight}
     state = {k: np.full_like(v, 1e-2) for k, v in params.items()}
     intercept, spots, widest = 0.0, np.cumsum([0, *WIDTHS]), max(WIDTHS)
@@ -286,6 +290,12 @@ def train(sets: list[np.ndarray], y: np.ndarray, languages: dict) -> ToxicityMod
     return m
 
 
+def _places(half: np.ndarray, known: np.ndarray, first: int) -> np.ndarray:
+    """Row of every word among the sorted ``known`` ones, counted on from ``first``; 0 for others."""
+    at = np.minimum(np.searchsorted(known, half), max(len(known) - 1, 0)).astype(np.int32)
+    return np.where(known[at] == half, at + np.int32(first), 0) if len(known) else np.zeros(len(half), np.int32)
+
+
 def _shorten(words: np.ndarray) -> np.ndarray:
     """Zero words further than one filter width from any other are dropped, but for one such window at the end."""
     near = words.any(axis=0)
@@ -294,7 +304,7 @@ def _shorten(words: np.ndarray) -> np.ndarray:
         wide[1:] |= near[:-1]
         wide[:-1] |= near[1:]
         near = wide
-    return np.hstack([words[:, near], np.zeros((2, max(WIDTHS)), np.int64)])
+    return np.hstack([words[:, near], np.zeros((2, max(WIDTHS)), words.dtype)])
 
 
 def _best_cut(z: np.ndarray, y: np.ndarray) -> float:

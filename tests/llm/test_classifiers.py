@@ -1,6 +1,7 @@
 """Trained operators: toxicity, quality, decontamination; and the pipeline."""
 
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -17,6 +18,20 @@ def labelled(spark):
     return read(spark, SF, "documents"), read(spark, SF, "labels")
 
 
+def test_toxicity_training_holds_no_copies_of_all_words(monkeypatch):
+    monkeypatch.setattr(toxicity, "EPOCHS", 0)
+    monkeypatch.setattr(toxicity, "_calibrate", lambda *_: None)
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(-2 ** 62, 2 ** 62, 60_000) for _ in range(60)]
+    for i, s in enumerate(sets):
+        s[:10] = 7 + i % 2
+    tracemalloc.start()
+    toxicity.train(sets, np.arange(60) % 2, {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * sum(s.nbytes for s in sets)
+
+
 def test_toxicity_held_out(spark, labelled):
     docs, labels = labelled
     model = toxicity.fit(docs, labels)
