@@ -19,6 +19,8 @@ ORACLE_SQL = None
 #: Rows that go to a Python worker at once. Documents are long: Spark's default of 10,000 rows is some 100 MB in every worker
 #: and as much beside the JVM's heap.
 BATCH_ROWS = 1000
+#: The same where each batch is worked off by itself, so that its size changes no sum.
+FEW_ROWS = 250
 
 
 def _batches(spark: SparkSession, rows: int | None) -> None:
@@ -28,7 +30,7 @@ def _batches(spark: SparkSession, rows: int | None) -> None:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _batches(spark, BATCH_ROWS)
+    _batches(spark, FEW_ROWS)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), "toxic")
     return toxicity.score(docs, model, out_col="__toxic").filter("__toxic < 0.5").drop("__toxic")
 
@@ -51,7 +53,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _batches(spark, BATCH_ROWS)
+    _batches(spark, FEW_ROWS)
     return sentencepiece.encode(docs).withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
 
 

@@ -34,8 +34,8 @@ from sentsift.llm.common import tidy
 BITS, DIM, FILTERS, WIDTHS = 17, 16, 16, (1, 2, 3)
 MAX_POSITIVE, MAX_NEGATIVE = 2000, 3000
 MIN_DOCS, CHANCE, EPOCHS, RATE, DECAY, SEED = 3, 4.0, 5, 0.05, 1e-4, 7
-CHUNK = 1 << 16
-WORDS = 500_000  # scored at a time
+CHUNK = 1 << 14
+WORDS = 1 << 17  # scored at a time
 PREFIX = 5
 SHRINK = 40
 #: Function words by language (fixed values).
@@ -243,25 +243,24 @@ def train(sets: list[np.ndarray], y: np.ndarray, languages: dict) -> ToxicityMod
              if i in learned else None for i, s in enumerate(sets)]
     params = {"vectors": vectors, "filters": filters, "bias": bias, "weight": weight}
     state = {k: np.full_like(v, 1e-2) for k, v in params.items()}
-    intercept, spots, widest = 0.0, np.cumsum([0, *WIDTHS]), max(WIDTHS)
+    intercept, spots = 0.0, np.cumsum([0, *WIDTHS])
     balance = np.where(y == 1, 0.5 / max(1, (y[learn] == 1).sum()), 0.5 / max(1, (y[learn] == 0).sum())) * len(learn)
     for _ in range(EPOCHS):
         order = rng.permutation(learn)
         batches = [order[i: i + 64] for i in range(0, len(order), 64)]
         for batch in batches:
-            length = max(widest, max(short[d].shape[1] for d in batch))
-            words = np.zeros((2, len(batch), length), np.int64)
+            words = np.zeros((2, len(batch), max(short[d].shape[1] for d in batch)), np.int32)
             for r, d in enumerate(batch):
                 words[:, r, : short[d].shape[1]] = short[d]
-            x = vectors[words[0]] + vectors[words[1]]
-            tops, places = [], []
-            for k, w in enumerate(WIDTHS):
-                n = length - w + 1
-                z = sum(x[:, j: j + n] @ filters[:, (spots[k] + j) * FILTERS:(spots[k] + j + 1) * FILTERS]
-                        for j in range(w)) + bias[k]
-                places.append(z.argmax(axis=1))
-                tops.append(np.maximum(z.max(axis=1), 0))
-            top = np.hstack(tops)
+            top, places = np.zeros((len(batch), len(weight)), np.float32), np.zeros((len(WIDTHS), len(batch), FILTERS), np.int64)
+            for r, d in enumerate(batch):  # by themselves: together all texts would be as long as the longest
+                x = vectors[short[d][0]] + vectors[short[d][1]]
+                for k, w in enumerate(WIDTHS):
+                    n = len(x) - w + 1
+                    z = sum(x[j: j + n] @ filters[:, (spots[k] + j) * FILTERS:(spots[k] + j + 1) * FILTERS]
+                            for j in range(w)) + bias[k]
+                    places[k, r] = z.argmax(axis=0)
+                    top[r, k * FILTERS:(k + 1) * FILTERS] = np.maximum(z.max(axis=0), 0)
             logit = top @ weight + intercept
             g = (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - y[batch]) * balance[batch] / len(batch)
             dz = g[:, None] * weight * (top > 0)
@@ -273,7 +272,8 @@ def train(sets: list[np.ndarray], y: np.ndarray, languages: dict) -> ToxicityMod
                 for j in range(w):
                     cols = slice((spots[k] + j) * FILTERS, (spots[k] + j + 1) * FILTERS)
                     at = places[k] + j
-                    grads["filters"][:, cols] += np.einsum("bfd,bf->df", x[rows, at], part)
+                    here = vectors[words[0][rows, at]] + vectors[words[1][rows, at]]
+                    grads["filters"][:, cols] += np.einsum("bfd,bf->df", here, part)
                     slope = (part[:, :, None] * filters[:, cols].T[None]).reshape(-1, DIM)
                     for half in words:
                         np.add.at(grads["vectors"], half[rows, at].ravel(), slope)

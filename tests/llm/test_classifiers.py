@@ -32,6 +32,31 @@ def test_toxicity_training_holds_no_copies_of_all_words(monkeypatch):
     assert peak < 5 * sum(s.nbytes for s in sets)
 
 
+def _peak(run) -> int:
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_toxicity_training_takes_a_long_text_alone(monkeypatch):
+    """A batch of 64 texts is not widened to its longest one."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    monkeypatch.setattr(toxicity, "_calibrate", lambda *_: None)
+    sets = [np.full(10, 7 + i % 2, np.int64) for i in range(200)]
+    sets[1] = sets[0] = np.tile(np.array([7, 8], np.int64), 15_000)
+    assert _peak(lambda: toxicity.train(sets, np.arange(200) % 2, {})) < 60_000_000
+
+
+def test_toxicity_scoring_holds_a_small_block():
+    """Filters of some 16,000 words at once; beside them a few numbers a word."""
+    words = np.random.default_rng(1).integers(-2 ** 62, 2 ** 62, 100_000)
+    model = toxicity._empty({})
+    assert _peak(lambda: model.scores(words, np.arange(0, 100_001, 500))) < 20_000_000
+
+
 def test_toxicity_held_out(spark, labelled):
     docs, labels = labelled
     model = toxicity.fit(docs, labels)
