@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from sentsift.functions import fixed_values as fv
 from sentsift.functions import text as tx
 from sentsift.operators import clean, rank, retrieve, scoring, vectors
+from sentsift.operators import paragraph_vectors as pv
 
 
 def test_scores_by_sentence_hold_every_score(spark, monkeypatch):
@@ -94,3 +96,20 @@ def test_passing_tables_are_deleted(spark, tmp_path):
     more = clean.apply_lemmas(docs.withColumn("n", F.lit(5)), "doc_id", {"body_text": "b"}, spark.createDataFrame([("mice", "mouse")], "word string, lemma string"))
     assert more.columns == ["doc_id", "b", "abstract", "n"]
     assert {(r.doc_id, r.b, r.n) for r in more.collect()} == {(1, "", 5), (2, "two boxes of mouse", 5)}
+
+
+def test_runs_are_added_up_as_numpy_does():
+    """Sums of runs of any length are those of ``reduceat`` to the last bit, sorted rows or not, and inputs stay as they were."""
+    rng = np.random.default_rng(0)
+    for sizes in ([1] * 50, [*range(1, 30), 200, 1, 1], [2, 2, 3], [300]):
+        values = rng.normal(size=(sum(sizes), 33)).astype(np.float32)
+        first = np.cumsum(sizes) - np.array(sizes)
+        wanted = np.add.reduceat(values, first, axis=0)
+        assert (pv._sums_of_runs(values, first) == wanted).all()
+        rows, before = np.repeat(np.arange(len(sizes)), sizes), values.copy()
+        for order in (np.arange(len(rows)), rng.permutation(len(rows))):
+            sums = np.zeros((len(sizes), 33), np.float32)
+            pv._add(sums, rows[order], values[order])
+            assert np.allclose(sums, wanted, atol=1e-4)
+        pv._add(np.zeros((len(sizes), 33), np.float32), rows, values)
+        assert (values == before).all()
